@@ -97,8 +97,8 @@ def page_elements(text: str | Column, first: Column, last: Column, page_chars: i
     return F.when(
         last >= first,
         F.transform(
-            F.sequence(first, last),
-            lambda p: element(F.lit("text"), page_slice(text, p - first + 1, page_chars), p - 1),
+            F.transform(F.sequence(first, last), lambda p: page_slice(text, p - first + 1, page_chars)),
+            lambda content, i: element(F.lit("text"), content, i + first - 1),
         ),
     ).otherwise(F.array().cast(ELEMENTS))
 
@@ -121,9 +121,13 @@ def html_elements(html: str | Column) -> Column:
 
     def one(block: Column) -> Column:
         tag = F.lower(F.regexp_extract(block, r"^<([A-Za-z0-9]+)", 1))
+        content = F.when(tag == "table", block).otherwise(html_text(block))
+        return F.struct(tag.alias("tag"), content.alias("content"))
+
+    def typed(b: Column) -> Column:
         kind = F.lit("text")
         for name, value in HTML_TYPES.items():
-            kind = F.when(tag == name, value).otherwise(kind)
-        return element(kind, F.when(tag == "table", block).otherwise(html_text(block)), F.lit(0))
+            kind = F.when(b["tag"] == name, value).otherwise(kind)
+        return element(kind, b["content"], F.lit(0))
 
-    return F.transform(blocks, one)
+    return F.transform(F.transform(blocks, one), typed)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` refers to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def tokens(text: str | Column) -> Column:
     """Lower-case runs of letters."""
     return F.filter(F.split(F.lower(_col(text)), WORD_BREAK), lambda t: t != "")
@@ -26,8 +33,8 @@ def sentences(text: str | Column) -> Column:
 
 def letter_share(text: str | Column) -> Column:
     """Share of characters that are letters, 0 for empty text."""
-    letters = F.length(F.regexp_replace(_col(text), r"[^\p{L}]", ""))
-    return F.when(F.length(_col(text)) > 0, letters / F.length(_col(text))).otherwise(F.lit(0.0))
+    letters = F.length(F.regexp_replace(_col(text), WORD_BREAK, ""))
+    return F.coalesce(F.try_divide(letters, F.length(_col(text))), F.lit(0.0))
 
 
 def normalised(text: str | Column) -> Column:
@@ -41,8 +48,7 @@ def truncated(text: str | Column, n: int) -> Column:
 
 def jaccard(a: Column, b: Column) -> Column:
     """Overlap of two token arrays as sets; NULL if both are empty."""
-    union = F.size(F.array_union(a, b))
-    return F.when(union > 0, F.size(F.array_intersect(a, b)) / union)
+    return F.try_divide(F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b)))
 
 
 def text_similarity(a: str | Column, b: str | Column) -> Column:

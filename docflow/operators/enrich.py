@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docflow.functions.lexicon import LABEL_TERMS, NEGATIVE, POSITIVE
-from docflow.functions.text import lexicon_hits, pig_latin, sentences, tokens
+from docflow.functions.text import let, lexicon_hits, pig_latin, sentences, tokens
 
 RESPONSE = "struct<response:array<string>,error_message:string>"
 
@@ -22,20 +22,19 @@ def label_scores(text: str | Column, lexicon: dict[str, list[str]]) -> Column:
     """``array<struct<score, label>>`` counted in the row: one pass over the tokens, then over the few hits."""
     every = sorted({t for terms in lexicon.values() for t in terms})
     hits = F.filter(tokens(text), lambda t: t.isin(every))
-    # Wrapping the hits in an array computes them once for all labels.
-    per_label = F.transform(
-        F.array(hits),
+    return let(
+        hits,
         lambda h: F.array(*[F.struct(lexicon_hits(h, terms).alias("score"), F.lit(label).alias("label")) for label, terms in lexicon.items()]),
     )
-    return F.element_at(per_label, 1)
 
 
 def best_label(scores: Column, other: str = "other") -> Column:
     """Label with the highest score, ties by name; ``other`` if nothing was hit."""
-    ranked = F.array_sort(F.transform(scores, lambda s: F.struct((-s["score"]).alias("rank"), s["label"].alias("label"))))
-    best = F.get(ranked, 0)
-    return F.when(best["rank"] < 0, F.struct(best["label"].alias("label"), (-best["rank"]).alias("score"))).otherwise(
-        F.struct(F.lit(other).alias("label"), F.lit(0).alias("score"))
+    ranked = F.transform(scores, lambda s: F.struct((-s["score"]).alias("rank"), s["label"].alias("label")))
+    none = F.struct(F.lit(other).alias("label"), F.lit(0).alias("score"))
+    return let(
+        F.array_min(ranked),
+        lambda best: F.when(best["rank"] < 0, F.struct(best["label"].alias("label"), (-best["rank"]).alias("score"))).otherwise(none),
     )
 
 
@@ -86,10 +85,12 @@ def extract_field(text: str | Column, rule: tuple[str, int, float]) -> Column:
     """``struct<value, offset, confidence>``: first match, its place (from 1) as citation, the rule's weight."""
     col = F.col(text) if isinstance(text, str) else text
     pattern, group, weight = rule
-    value = F.nullif(F.regexp_extract(col, pattern, group), F.lit(""))
-    return F.when(
-        value.isNotNull(),
-        F.struct(value.alias("value"), F.instr(col, value).alias("offset"), F.lit(weight).alias("confidence")),
+    return let(
+        F.nullif(F.regexp_extract(col, pattern, group), F.lit("")),
+        lambda value: F.when(
+            value.isNotNull(),
+            F.struct(value.alias("value"), F.instr(col, value).alias("offset"), F.lit(weight).alias("confidence")),
+        ),
     )
 
 
@@ -191,9 +192,14 @@ def sentiment(text: str | Column, positive: list[str] | None = None, negative: l
     """``struct<score, sentiment>``: positive minus negative words."""
     pos, neg = positive or POSITIVE, negative or NEGATIVE
     hits = F.filter(tokens(text), lambda t: t.isin([*pos, *neg]))
-    score = F.element_at(F.transform(F.array(hits), lambda h: lexicon_hits(h, pos) - lexicon_hits(h, neg)), 1)
-    label = F.when(score > 0, "positive").when(score < 0, "negative").otherwise("neutral")
-    return F.struct(score.alias("score"), label.alias("sentiment"))
+    score = let(hits, lambda h: lexicon_hits(h, pos) - lexicon_hits(h, neg))
+    return let(
+        score,
+        lambda n: F.struct(
+            n.alias("score"),
+            F.when(n > 0, "positive").when(n < 0, "negative").otherwise("neutral").alias("sentiment"),
+        ),
+    )
 
 
 # ---- combined results -------------------------------------------------------------------------

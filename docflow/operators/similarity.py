@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docflow.functions.text import jaccard, normalised, tokens
+from docflow.functions.text import jaccard, let, normalised, tokens
 
 SHINGLE = 3
 BANDS = 8
@@ -19,30 +19,25 @@ def permutation(j: int) -> tuple[int, int]:
 
 
 def shingles(text: str | Column, n: int = SHINGLE) -> Column:
-    """Distinct 32-bit hashes of word n-grams; a shorter text is one shingle."""
-    words = tokens(text)
+    """Distinct word n-grams; a shorter text is one shingle."""
 
     def grams(w: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1)))
         return F.transform(starts, lambda i: F.array_join(F.slice(w, i, n), " "))
 
-    hashed = F.transform(
-        F.element_at(F.transform(F.array(words), grams), 1),
-        lambda g: F.conv(F.substring(F.md5(g), 1, 8), 16, 10).cast("bigint"),
-    )
-    return F.array_distinct(hashed)
-
+    return F.array_distinct(let(tokens(text), grams))
 
-def band_keys(hashes: Column, bands: int = BANDS, rows: int = ROWS) -> Column:
-    """One bucket key per band from the minimum of each permutation."""
 
-    def smallest(j: int) -> Column:
-        a, b = permutation(j)
-        return F.array_min(F.transform(hashes, lambda h: F.pmod(F.pmod(h, F.lit(PRIME)) * a + b, F.lit(PRIME))))
+def bucket_keys(df: DataFrame, text: str, key: str, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``key, bucket``: one row per band, named by the least value of each permutation over the shingles.
 
-    return F.array(
-        *[F.concat_ws("-", F.lit(str(band)), *[smallest(band * rows + r).cast("string") for r in range(rows)]) for band in range(bands)]
-    )
+    The minima are plain aggregates, combined inside each document's task: one short row per document is shuffled.
+    """
+    code = F.pmod(F.conv(F.substring(F.md5("gram"), 1, 8), 16, 10).cast("bigint"), F.lit(PRIME))
+    hashed = df.select(key, F.explode(shingles(text)).alias("gram")).select(key, code.alias("h"))
+    mins = [F.min((F.col("h") * a + b) % PRIME).alias(f"m{j}") for j, (a, b) in enumerate(map(permutation, range(bands * rows)))]
+    names = [F.concat_ws("-", F.lit(str(b)), *[F.col(f"m{b * rows + r}") for r in range(rows)]) for b in range(bands)]
+    return hashed.groupBy(key).agg(*mins).select(key, F.explode(F.array(*names)).alias("bucket"))
 
 
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = 0.8) -> DataFrame:
@@ -60,17 +55,17 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", thre
         .filter(F.col(key) != F.col("_first"))
         .select(key, F.col("_first").alias("duplicate_of"), F.lit(1.0).alias("similarity"))
     )
-    distinct = df.join(groups.select(F.col("_first").alias(key)), key, "left_semi")
-    sets = distinct.select(key, shingles(text).alias("_set"))
-    buckets = sets.select(key, F.explode(band_keys(F.col("_set"))).alias("_bucket"))
-    leaders = buckets.groupBy("_bucket").agg(F.min(key).alias("_leader"), F.count("*").alias("_n")).filter(F.col("_n") > 1)
+    distinct = df.join(groups.select(F.col("_first").alias(key)), key, "left_semi").select(key, text)
+    buckets = bucket_keys(distinct, text, key)
+    leaders = buckets.groupBy("bucket").agg(F.min(key).alias("_leader"), F.count("*").alias("_n")).filter(F.col("_n") > 1)
     pairs = (
-        buckets.join(leaders.drop("_n"), "_bucket")
+        buckets.join(leaders.drop("_n"), "bucket")
         .filter(F.col("_leader") < F.col(key))
         .select(key, "_leader")
         .distinct()
     )
-    theirs = sets.select(F.col(key).alias("_leader"), F.col("_set").alias("_lset"))
+    sets = distinct.select(key, shingles(text).alias("_set"))
+    theirs = distinct.select(F.col(key).alias("_leader"), shingles(text).alias("_lset"))
     verified = (
         pairs.join(sets, key)
         .join(theirs, "_leader")

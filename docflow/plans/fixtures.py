@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docflow.functions import elements as E
 from docflow.operators.flatten import flatten_elements
+from docflow.sources.files import spread_small_scan
 
 PAGE_LIMIT = 10
 
@@ -42,8 +43,13 @@ STAGES = [
 ]
 
 
+# Tables of long texts, with their keys: their rows are worth spreading if the scan itself does not.
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return spread_small_scan(df, TEXT_KEYS[name]) if name in TEXT_KEYS else df
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:

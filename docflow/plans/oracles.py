@@ -260,7 +260,7 @@ SELECT doc_id, {last("path")} AS file_name, label AS category, {field("text", FI
        {field("text", FIELD_RULES["author"])} AS author, CAST(ceil(page_count / 10) AS INTEGER) AS n_ranges
 FROM docs JOIN labelled USING (doc_id)"""
 ORACLES["extract_fields"] = "\nUNION ALL ".join(
-    f"""SELECT doc_id, {lit(name)} AS field, v AS value, CAST(CASE WHEN v IS NOT NULL THEN instr(text, v) END AS INTEGER) AS "offset",
+    f"""SELECT doc_id, {lit(name)} AS field, v AS value, CAST(CASE WHEN v IS NOT NULL THEN instr(text, v) ELSE 0 END AS INTEGER) AS "offset",
   CAST(CASE WHEN v IS NOT NULL THEN {rule[2]} END AS DOUBLE) AS confidence
 FROM (SELECT doc_id, text, {field("text", rule)} AS v FROM documents)"""
     for name, rule in CONTACT_RULES.items()
@@ -276,7 +276,7 @@ ORACLES["sentiment"] = f"""WITH scored AS (
   FROM (SELECT conv_id, turn, {tok("text")} AS tokens FROM conversations))
 SELECT *, CASE WHEN score > 0 THEN 'positive' WHEN score < 0 THEN 'negative' ELSE 'neutral' END AS sentiment FROM scored"""
 ORACLES["enrichment_chain"] = f"""WITH {LABELLED}, {SUMMARY}
-SELECT doc_id, label AS category, CAST(len({hits("text", "label")}) AS INTEGER) AS n_entities, summary_words
+SELECT doc_id, label AS category, CAST(len({hits("text", "label")}) AS INTEGER) AS n_entities, coalesce(summary_words, 0) AS summary_words
 FROM documents JOIN labelled USING (doc_id) LEFT JOIN summaries USING (doc_id)"""
 _FIELDS = ", ".join(f"{field('text', FIELD_RULES[n])} AS {n}" for n in ("title", "company", "product", "author", "date"))
 ORACLES["enriched_documents"] = f"""WITH {DOCS}, {LABELLED}, {SUMMARY}, {TOPICS},
@@ -291,21 +291,24 @@ ORACLES["model_enrich"] = """SELECT doc_id,
 # ---- similarity and search
 
 
-def _band(band: int) -> str:
-    mins = []
-    for r in range(ROWS):
-        a, b = permutation(band * ROWS + r)
-        mins.append(f"CAST(list_min(list_transform(s, lambda h: ((h % {PRIME}) * {a} + {b}) % {PRIME})) AS VARCHAR)")
-    return f"concat_ws('-', '{band}', {', '.join(mins)})"
-
+_MINS = ", ".join(
+    f"min((h * {a} + {b}) % {PRIME}) AS m{j}" for j, (a, b) in enumerate(permutation(j) for j in range(BANDS * ROWS))
+)
+_KEYS = ", ".join(f"concat_ws('-', '{b}', {', '.join(f'm{b * ROWS + r}' for r in range(ROWS))})" for b in range(BANDS))
 
 ORACLES["near_duplicates"] = f"""WITH tokenised AS (SELECT doc_id, {tok("text")} AS w FROM documents),
 hashed AS (SELECT doc_id, w, min(doc_id) OVER (PARTITION BY array_to_string(w, ' ')) AS rep FROM tokenised),
-sets AS (
-  SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(w) - 2, 1) + 1),
-           lambda i: CAST('0x' || substr(md5(array_to_string(list_slice(w, i, i + 2), ' ')), 1, 8) AS BIGINT))) AS s
-  FROM hashed WHERE doc_id = rep),
-buckets AS (SELECT doc_id, unnest([{", ".join(_band(b) for b in range(BANDS))}]) AS bucket FROM sets),
+words AS (
+  SELECT doc_id, pos, n, concat_ws(' ', term, lead(term, 1) OVER o, lead(term, 2) OVER o) AS g
+  FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term, unnest(range(len(w))) AS pos FROM hashed WHERE doc_id = rep)
+  WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+grams AS (
+  SELECT DISTINCT doc_id, g FROM words WHERE pos <= greatest(n - 3, 0)
+  UNION ALL SELECT doc_id, '' FROM hashed WHERE doc_id = rep AND len(w) = 0),
+sets AS (SELECT doc_id, list(g) AS s FROM grams GROUP BY doc_id),
+mins AS (
+  SELECT doc_id, {_MINS} FROM (SELECT doc_id, CAST('0x' || substr(md5(g), 1, 8) AS BIGINT) % {PRIME} AS h FROM grams) GROUP BY doc_id),
+buckets AS (SELECT doc_id, unnest([{_KEYS}]) AS bucket FROM mins),
 leaders AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY bucket) AS leader FROM buckets),
 pairs AS (SELECT DISTINCT doc_id, leader FROM leaders WHERE leader < doc_id),
 verified AS (
@@ -383,7 +386,7 @@ def _metrics(rules: dict[str, str], source: str, by: str = "") -> str:
 
 
 ORACLES["expectation_metrics"] = _metrics(X.RULES, "documents")
-_DAILY = _metrics(X.EVENT_RULES, "(SELECT *, CAST(ts AS DATE) AS day FROM events)", "day")
+_DAILY = _metrics(X.EVENT_RULES, "(SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM events)", "day")
 ORACLES["quality_trend"] = f"""SELECT day, rule, pass_rate, lag(pass_rate) OVER (PARTITION BY rule ORDER BY day) AS previous_rate,
   round(avg(pass_rate) OVER (PARTITION BY rule ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS mean_rate FROM ({_DAILY})"""
 ORACLES["quality_alerts"] = f"SELECT day, rule, total, failed, pass_rate FROM ({_DAILY}) WHERE pass_rate < 0.8"

@@ -284,7 +284,8 @@ def sql_functions(spark, sf):
 
 @query
 def extract_fields(spark, sf):
-    return enrich.extract_fields(X.documents(spark, sf), "text", enrich.CONTACT_RULES)
+    found = enrich.extract_fields(X.documents(spark, sf), "text", enrich.CONTACT_RULES)
+    return found.withColumn("offset", F.coalesce("offset", F.lit(0)))
 
 
 @query
@@ -319,7 +320,7 @@ def enrichment_chain(spark, sf):
     hits = enrich.category_hits("text", F.col("category"), X.CATEGORY_PATTERNS, X.CATEGORY_DEFAULT)
     entities = d.select("doc_id", "category", F.size(hits).alias("n_entities"))
     summaries = enrich.summarize(d).select("doc_id", "summary_words")
-    return enrich.combine(entities, "doc_id", summaries)
+    return enrich.combine(entities, "doc_id", summaries).fillna(0, ["summary_words"])
 
 
 @query
@@ -453,7 +454,7 @@ def stage_metrics(spark, sf):
 
 
 def _daily(spark, sf):
-    e = X.events(spark, sf).withColumn("day", F.to_date("ts"))
+    e = X.events(spark, sf).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
     return quality.expectation_metrics(e, X.EVENT_RULES, ["day"])
 
 
