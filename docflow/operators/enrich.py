@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docflow.functions.lexicon import LABEL_TERMS, NEGATIVE, POSITIVE
+from docflow.functions.rows import array_rows
 from docflow.functions.text import let, lexicon_hits, pig_latin, sentences, tokens
 
 RESPONSE = "struct<response:array<string>,error_message:string>"
@@ -102,11 +103,8 @@ def extract(text: str | Column, rules: dict[str, tuple[str, int, float]] | None
 def extract_fields(df: DataFrame, text: str, rules: dict, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per document and field: keys, ``field, value, offset, confidence``."""
     pairs = [F.struct(F.lit(name).alias("field"), extract_field(text, rule).alias("found")) for name, rule in rules.items()]
-    return (
-        df.select(*keys, F.array(*pairs).alias("_f"))
-        .select(*keys, F.explode("_f").alias("_f"))
-        .select(*keys, "_f.field", "_f.found.value", "_f.found.offset", "_f.found.confidence")
-    )
+    rows = array_rows(df, F.array(*pairs), "_f", keep=keys)
+    return rows.select(*keys, "_f.field", "_f.found.value", "_f.found.offset", "_f.found.confidence")
 
 
 def topic_list(value: str | Column) -> Column:
@@ -135,12 +133,8 @@ def summarize(df: DataFrame, text: str = "text", key: str = "doc_id", max_words:
     sentence that is longer by itself is cut. Documents are hashed once by key; every later window and aggregation
     works inside that partitioning.
     """
-    rows = (
-        df.select(key, text)
-        .repartition(key)
-        .select(key, F.posexplode(sentences(text)).alias("pos", "sentence"))
-    )
-    words = rows.select(key, "pos", F.explode(tokens("sentence")).alias("term"))
+    rows = array_rows(df.select(key, text).repartition(key), sentences(text), "sentence", "pos", [key])
+    words = array_rows(rows, tokens("sentence"), "term", keep=[key, "pos"])
     weighted = words.withColumn("tf", F.count("*").over(W.partitionBy(key, "term")))
     scored = weighted.groupBy(key, "pos").agg(
         (F.sum("tf") / F.count("*")).alias("score"), F.count("*").alias("n_words")
@@ -176,7 +170,7 @@ def key_topics(df: DataFrame, text: str = "text", key: str = "doc_id", n: int =
     The join on terms meets hot words; the document-frequency side holds one row per term, so a skewed partition
     splits cheaply. The rank limit is applied before the shuffle by document.
     """
-    tf = df.select(key, F.explode(tokens(text)).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    tf = array_rows(df, tokens(text), "term", keep=[key]).groupBy(key, "term").agg(F.count("*").alias("tf"))
     df_ = tf.groupBy("term").agg(F.count("*").alias("df"))
     total = df.agg(F.count("*").alias("n"))
     idf = F.log((F.lit(1.0) + total.scalar()) / (F.lit(1.0) + F.col("df")))

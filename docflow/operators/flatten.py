@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docflow.functions.elements import ELEMENTS
+from docflow.functions.elements import ELEMENTS, html_text
+from docflow.functions.rows import array_rows
 
 CHUNK_CHARS = 1000
 TEXT_TYPES = ["text", "title", "section_header", "table"]
@@ -23,8 +24,7 @@ def flatten_elements(
 ) -> DataFrame:
     """One row per non-blank element: keys, ``pos``, ``type``, ``content``, ``confidence``, ``page_no``, ``description``."""
     source = F.col(elements) if isinstance(elements, str) else elements
-    # The array is built before the explode, so the document text is not copied into every row.
-    rows = df.select(*keys, source.alias("_e")).select(*keys, F.posexplode("_e").alias("pos", "_e"))
+    rows = array_rows(df, source, "_e", "pos", keys)
     out = rows.select(
         *keys,
         "pos",
@@ -119,13 +119,7 @@ def nested_pages(elements: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def html_table_cells(df: DataFrame, html: str, keys: tuple[str, ...]) -> DataFrame:
     """Cells of the HTML table in a column: ``keys, row_no, col_no, cell`` (both from 0)."""
-    from docflow.functions.elements import html_text
-
     rows = F.regexp_extract_all(F.col(html), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
     cells = F.regexp_extract_all(F.col("_row"), F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), F.lit(1))
-    return (
-        df.select(*keys, rows.alias("_rows"))
-        .select(*keys, F.posexplode("_rows").alias("row_no", "_row"))
-        .select(*keys, "row_no", F.posexplode(cells).alias("col_no", "_cell"))
-        .select(*keys, "row_no", "col_no", html_text(F.col("_cell")).alias("cell"))
-    )
+    found = array_rows(array_rows(df, rows, "_row", "row_no", keys), cells, "_cell", "col_no", [*keys, "row_no"])
+    return found.select(*keys, "row_no", "col_no", html_text(F.col("_cell")).alias("cell"))

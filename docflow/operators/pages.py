@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docflow.functions.rows import array_rows
+
 PAGE_LIMIT = 500
 
 
@@ -30,7 +32,7 @@ def explode_page_ranges(df: DataFrame, size: int = PAGE_LIMIT, page_count: str =
     """
     bounds = F.split("page_range", "-")
     return (
-        df.select("*", F.posexplode(chunk_page_ranges(page_count, size)).alias("chunk_idx", "page_range"))
+        array_rows(df, chunk_page_ranges(page_count, size), "page_range", "chunk_idx", df.columns)
         .withColumn("first_page", F.element_at(bounds, 1).cast("int"))
         .withColumn("last_page", F.element_at(bounds, 2).cast("int"))
     )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from docflow.functions import elements as E
 from docflow.functions.paths import extension, file_name
+from docflow.functions.rows import array_rows
 from docflow.operators.office import parse_office
 from docflow.operators.pages import PAGE_LIMIT, explode_page_ranges, route_by_page_count
 
@@ -42,8 +43,14 @@ def error_status(parsed: str | Column = "parsed") -> Column:
     return F.try_variant_get(v, "$.error_status", "string")
 
 
+def parse_status(df: DataFrame, keys: list[str], parsed: str = "parsed") -> DataFrame:
+    """One pass over all rows: keys, ``status`` (ok or quarantined) and ``reason``."""
+    marked = df.select(*keys, F.when(F.col(parsed).isNull(), "not parsed").otherwise(error_status(parsed)).alias("reason"))
+    return marked.select(*keys, F.when(F.col("reason").isNull(), "ok").otherwise("quarantined").alias("status"), "reason")
+
+
 def split_parse_errors(df: DataFrame, parsed: str = "parsed") -> tuple[DataFrame, DataFrame]:
-    """(parsed rows, quarantined rows with ``parse_error``)."""
+    """(parsed rows, quarantined rows with ``parse_error``). Give it a stored table: both sides read it."""
     marked = df.withColumn("parse_error", error_status(parsed))
     good = marked.filter(F.col("parse_error").isNull() & F.col(parsed).isNotNull()).drop("parse_error")
     bad = marked.filter(F.col("parse_error").isNotNull() | F.col(parsed).isNull()).drop(parsed)
@@ -94,12 +101,7 @@ def text_chunks(df: DataFrame, size: int, text: str = "text", page_chars: int =
         ),
     )
     keep = [c for c in df.columns if c != text]
-    return (
-        df.filter(F.col("page_count") > 0)
-        .select(*keep, cut.alias("_cut"))
-        .select(*keep, F.explode("_cut").alias("_c"))
-        .select(*keep, "_c.*")
-    )
+    return array_rows(df.filter(F.col("page_count") > 0), cut, "_c", keep=keep).select(*keep, "_c.*")
 
 
 def parse_text_chunks(chunks: DataFrame, text: str = "text", path: str = "path", page_chars: int = E.PAGE_CHARS) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docflow.functions.lexicon import STOP_WORDS
+from docflow.functions.rows import array_rows
 from docflow.functions.text import tokens
 
 K1 = 1.2
@@ -26,7 +27,7 @@ def analyse(text: str | Column, stop_words: list[str] | None = None) -> Column:
 
 def postings(df: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_id",), stop_words: list[str] | None = None) -> DataFrame:
     """``term, keys, tf``. Counts are combined inside each document before the shuffle."""
-    rows = df.select(*keys, F.explode(analyse(text, stop_words)).alias("term"))
+    rows = array_rows(df, analyse(text, stop_words), "term", keep=keys)
     return rows.groupBy("term", *keys).agg(F.count("*").alias("tf"))
 
 
@@ -38,7 +39,7 @@ def inverted_index(posts: DataFrame) -> DataFrame:
 def term_hits(df: DataFrame, text: str, keys: tuple[str, ...], terms: list[str]) -> DataFrame:
     """Occurrences of the given terms: ``keys, term, tf``. Other tokens never leave the row."""
     found = F.filter(tokens(text), lambda t: t.isin(terms))
-    return df.select(*keys, F.explode(found).alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
+    return array_rows(df, found, "term", keep=keys).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
 
 
 def search_bm25(
@@ -60,8 +61,7 @@ def search_bm25(
     rows = docs.select(key, analyse(text, stop_words).alias("_t"))
     lengths = rows.agg(F.struct(F.count("*").alias("n"), F.avg(F.size("_t")).alias("avg_len")).alias("s"))
     hits = (
-        rows.select(key, F.size("_t").alias("len"), F.filter("_t", lambda t: t.isin(terms)).alias("_t"))
-        .select(key, "len", F.explode("_t").alias("term"))
+        array_rows(rows.withColumn("len", F.size("_t")), F.filter("_t", lambda t: t.isin(terms)), "term", keep=[key, "len"])
         .groupBy(key, "len", "term")
         .agg(F.count("*").alias("tf"))
     )

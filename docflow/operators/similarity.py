@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docflow.functions.rows import array_rows
 from docflow.functions.text import jaccard, let, normalised, tokens
+from docflow.session import scratch_path
+from docflow.sinks.tables import materialise
 
 SHINGLE = 3
 BANDS = 8
@@ -34,10 +37,10 @@ def bucket_keys(df: DataFrame, text: str, key: str, bands: int = BANDS, rows: in
     The minima are plain aggregates, combined inside each document's task: one short row per document is shuffled.
     """
     code = F.pmod(F.conv(F.substring(F.md5("gram"), 1, 8), 16, 10).cast("bigint"), F.lit(PRIME))
-    hashed = df.select(key, F.explode(shingles(text)).alias("gram")).select(key, code.alias("h"))
+    hashed = array_rows(df, shingles(text), "gram", keep=[key]).select(key, code.alias("h"))
     mins = [F.min((F.col("h") * a + b) % PRIME).alias(f"m{j}") for j, (a, b) in enumerate(map(permutation, range(bands * rows)))]
     names = [F.concat_ws("-", F.lit(str(b)), *[F.col(f"m{b * rows + r}") for r in range(rows)]) for b in range(bands)]
-    return hashed.groupBy(key).agg(*mins).select(key, F.explode(F.array(*names)).alias("bucket"))
+    return array_rows(hashed.groupBy(key).agg(*mins), F.array(*names), "bucket", keep=[key])
 
 
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = 0.8) -> DataFrame:
@@ -48,7 +51,8 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", thre
     lowest one at or above the threshold. Work and output grow with the number of documents however large a bucket
     is, because members of a bucket are never paired with each other.
     """
-    hashed = df.select(key, F.sha2(normalised(text), 256).alias("_h"))
+    # Never NULL, so the join on the hash adds no null check that would compute it again.
+    hashed = df.select(key, F.coalesce(F.sha2(normalised(text), 256), F.lit("")).alias("_h"))
     groups = hashed.groupBy("_h").agg(F.min(key).alias("_first"))
     copies = (
         hashed.join(groups, "_h")
@@ -56,7 +60,8 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", thre
         .select(key, F.col("_first").alias("duplicate_of"), F.lit(1.0).alias("similarity"))
     )
     distinct = df.join(groups.select(F.col("_first").alias(key)), key, "left_semi").select(key, text)
-    buckets = bucket_keys(distinct, text, key)
+    # Used twice below: stored once in the shared folder instead of tokenised twice.
+    buckets = materialise(bucket_keys(distinct, text, key), scratch_path(df.sparkSession, "buckets"))
     leaders = buckets.groupBy("bucket").agg(F.min(key).alias("_leader"), F.count("*").alias("_n")).filter(F.col("_n") > 1)
     pairs = (
         buckets.join(leaders.drop("_n"), "bucket")
@@ -64,12 +69,12 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", thre
         .select(key, "_leader")
         .distinct()
     )
-    sets = distinct.select(key, shingles(text).alias("_set"))
-    theirs = distinct.select(F.col(key).alias("_leader"), shingles(text).alias("_lset"))
+    # Texts meet only for candidate pairs; their shingles are built after the joins.
+    theirs = distinct.select(F.col(key).alias("_leader"), F.col(text).alias("_ltext"))
     verified = (
-        pairs.join(sets, key)
+        pairs.join(distinct, key)
         .join(theirs, "_leader")
-        .select(key, "_leader", F.round(jaccard(F.col("_set"), F.col("_lset")), 6).alias("_sim"))
+        .select(key, "_leader", F.round(jaccard(shingles(text), shingles("_ltext")), 6).alias("_sim"))
         .filter(F.col("_sim") >= threshold)
     )
     near = verified.groupBy(key).agg(F.min(F.struct("_leader", "_sim")).alias("_best"))

@@ -191,9 +191,7 @@ def parse_quarantine(spark, sf):
     error = parsing.text_error(F.col("text"))
     n = F.lit(0)
     v = parsing.parsed_variant(E.line_elements(F.coalesce("text", F.lit(""))), parsing.page_list(F.lit(1), n), error, P.file_name("path"))
-    good, bad = parsing.split_parse_errors(d.select("doc_id", "path", v.alias("parsed")))
-    ok = good.select("doc_id", "path", F.lit("ok").alias("status"), F.lit(None).cast("string").alias("reason"))
-    return ok.unionByName(bad.select("doc_id", "path", F.lit("quarantined").alias("status"), F.col("parse_error").alias("reason")))
+    return parsing.parse_status(d.select("doc_id", "path", v.alias("parsed")), ["doc_id", "path"])
 
 
 @query

@@ -24,7 +24,8 @@ def with_rescue(df: DataFrame, line: str, schema: StructType) -> DataFrame:
 
 def rescued_fields(df: DataFrame, line: str, known: list[str], keys: tuple[str, ...]) -> DataFrame:
     """One row per rescued field: keys, ``rescued_key, rescued_value``."""
-    return df.select(*keys, F.explode(rescued_map(line, known)).alias("rescued_key", "rescued_value"))
+    rows = df.select(*keys, F.explode_outer(rescued_map(line, known)).alias("rescued_key", "rescued_value"))
+    return rows.filter(F.col("rescued_key").isNotNull())
 
 
 def read_json_rescued(
