@@ -76,7 +76,8 @@ def model_enrich(
         rows = df.withColumn("_prompt", text)
         out_schema = StructType([*rows.schema.fields, StructField("result", StringType()), StructField("error_message", StringType())])
         return _parse_result(rows.mapInPandas(_call_model(model, ["_prompt"], fail_on_error), out_schema).drop("_prompt"), schema)
-    keyed = df.withColumn("_prompt", text).withColumn("_hash", F.sha2(F.coalesce("_prompt", F.lit("")), 256))
+    mark = F.coalesce(F.sha2("_prompt", 256), F.lit(""))
+    keyed = df.withColumn("_prompt", text).withColumn("_hash", mark)
     distinct = keyed.select("_hash", "_prompt").dropDuplicates(["_hash"])
     if partitions:
         distinct = distinct.repartition(partitions, "_hash")

@@ -128,7 +128,7 @@ def read_excel(
 
 
 def _frame(rows: list[tuple[str, int, dict[int, str]]]) -> pd.DataFrame:
-    return pd.DataFrame({"path": [r[0] for r in rows], "row_no": [r[1] for r in rows], "cells": [list(r[2].items()) for r in rows]})
+    return pd.DataFrame({"path": [r[0] for r in rows], "row_no": [r[1] for r in rows], "cells": [r[2] for r in rows]})
 
 
 def _infer(body: DataFrame, columns: dict) -> dict[str, str]:
