@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from docflow.functions.paths import doc_key, extension
 from docflow.operators import bronze, enrich, flatten, pages, parsing, quality
 from docflow.sinks import bulk
-from docflow.sinks.tables import materialise, read_snapshot, save_table
+from docflow.sinks.tables import materialise, read_current, save_table
 from docflow.sources.files import read_files
 from docflow.streaming.flows import foreach_batch, process_changed_files, upsert_batches, write_stream
 
@@ -68,7 +68,6 @@ def run_stages(
     rules: dict | None = None,
 ) -> None:
     """All stages for the given files; results are merged into the gold table and published."""
-    spark = files.sparkSession
     here = f"{root}/runs/run={run:020d}"
     raw = materialise(bronze.bronze_files(files), f"{here}/01_bronze")
     parsed = materialise(silver(raw, limit, parsers), f"{here}/02_parsed")
@@ -83,7 +82,8 @@ def run_stages(
     ]
     named = [m.withColumn("stage", F.lit(s)).withColumn("run", F.lit(run)) for s, m in zip(("bronze", "parsed", "enriched"), counts)]
     named[0].unionByName(named[1]).unionByName(named[2]).write.mode("overwrite").parquet(f"{here}/metrics")
-    upsert_batches(spark, f"{root}/gold", ["doc_key"], "modificationTime", GOLD_SCHEMA)(enriched, run)
+    columns = [c.split()[0] for c in GOLD_SCHEMA.split(", ")]
+    upsert_batches(f"{root}/gold", ["doc_key"], "modificationTime")(enriched.select(*columns), run)
     bulk.publish(index_rows(enriched, index), f"{root}/index", batch=run)
 
 
@@ -103,7 +103,8 @@ def run_stream(spark: SparkSession, source: str, root: str, pattern: str | None
 
 
 def read_gold(spark: SparkSession, root: str) -> DataFrame:
-    return read_snapshot(spark, f"{root}/gold", GOLD_SCHEMA)
+    """The newest version of every enriched document."""
+    return read_current(spark, f"{root}/gold", ["doc_key"], "modificationTime", GOLD_SCHEMA)
 
 
 def read_metrics(spark: SparkSession, root: str) -> DataFrame:

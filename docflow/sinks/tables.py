@@ -1,12 +1,13 @@
-"""Table writes: managed tables, part folders and snapshots.
+"""Table writes: managed tables, part folders and keyed tables.
 
-A part or snapshot folder counts only when its job has committed (Spark's ``_SUCCESS`` mark), so a lost executor or
+A part folder counts only when its job has committed (Spark's ``_SUCCESS`` mark), so a lost executor or
 a crashed driver leaves nothing half visible, and repeating a write replaces the same folder.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docflow.session import hadoop_fs
 
@@ -62,23 +63,58 @@ def append_aligned(spark: SparkSession, df: DataFrame, table: str, part: str, me
     df.write.mode("overwrite").parquet(f"{table}/{part}")
 
 
-# ---- snapshots: the result of an upsert is a new version folder ---------------------------------
+# ---- keyed tables: batches of changed rows, merged when read -------------------------------------
+#
+# A batch writes only its own rows (``batch=<n>``), whatever the size of the table. ``compact`` folds the state up to
+# a batch into one folder (``state=<n>``); readers take the newest state and the batches after it.
 
 
-def versions(spark: SparkSession, table: str) -> list[str]:
-    return [f for f in committed_parts(spark, table) if f.rsplit("/", 1)[-1].startswith("version=")]
+def _numbered(folders: list[str], prefix: str) -> dict[int, str]:
+    named = [(f.rsplit("/", 1)[-1], f) for f in folders]
+    return {int(name[len(prefix) :]): f for name, f in named if name.startswith(prefix)}
 
 
-def read_snapshot(spark: SparkSession, table: str, schema: str | None = None) -> DataFrame:
-    """The newest committed version; an empty frame of ``schema`` before the first one."""
-    found = versions(spark, table)
-    if not found:
-        if schema is None:
-            raise ValueError(f"no snapshot in {table}")
-        return spark.createDataFrame([], schema)
-    return spark.read.parquet(found[-1])
+def batches(spark: SparkSession, table: str) -> list[int]:
+    """Numbers of the committed batches that are not part of a compacted state."""
+    parts = committed_parts(spark, table)
+    floor = max(_numbered(parts, "state="), default=-1)
+    return sorted(n for n in _numbered(parts, "batch=") if n > floor)
+
+
+def last_batch(spark: SparkSession, table: str) -> int:
+    """Number of the newest batch, -1 before the first."""
+    parts = committed_parts(spark, table)
+    return max([*_numbered(parts, "batch="), *_numbered(parts, "state=")], default=-1)
+
 
+def write_changes(df: DataFrame, table: str, batch: int) -> None:
+    """Write the rows that a batch inserts or updates. The same batch number replaces itself."""
+    df.write.mode("overwrite").parquet(f"{table}/batch={batch:020d}")
 
-def write_snapshot(df: DataFrame, table: str, version: int) -> None:
-    """Write a version. The version number comes from the caller (a batch id), so a replay replaces itself."""
-    df.write.mode("overwrite").parquet(f"{table}/version={version:020d}")
+
+def read_current(spark: SparkSession, table: str, keys: list[str], version: str, schema: str, upto: int | None = None) -> DataFrame:
+    """Newest row per key by ``version``; on equal versions the earlier batch stays, as in an upsert.
+
+    ``upto`` reads the state as it was after that batch.
+    """
+    parts = committed_parts(spark, table)
+    states = {n: f for n, f in _numbered(parts, "state=").items() if upto is None or n <= upto}
+    floor = max(states, default=-1)
+    later = {n: f for n, f in _numbered(parts, "batch=").items() if n > floor and (upto is None or n <= upto)}
+    found = {**({floor: states[floor]} if states else {}), **later}
+    if not found:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).parquet(*[found[n] for n in sorted(found)])
+    if len(found) == 1:
+        return rows
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"(?:batch|state)=([0-9]+)/[^/]*$", 1).cast("bigint")
+    rest = [c for c in rows.columns if c not in keys]
+    ranked = rows.select(*keys, F.struct(*rest).alias("_row"), F.struct(F.col(version).alias("v"), (-number).alias("n")).alias("_order"))
+    return ranked.groupBy(*keys).agg(F.max_by("_row", "_order").alias("_row")).select(*keys, "_row.*").select(*rows.columns)
+
+
+def compact(spark: SparkSession, table: str, keys: list[str], version: str, schema: str) -> None:
+    """Fold all batches so far into one state. Batches stay until they are removed by hand."""
+    newest = last_batch(spark, table)
+    if newest >= 0:
+        read_current(spark, table, keys, version, schema).write.mode("overwrite").parquet(f"{table}/state={newest:020d}")

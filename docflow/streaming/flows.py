@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from docflow.operators.bronze import bronze_events, event_schema
-from docflow.operators.changes import changed_documents, latest_version, merge_upsert
-from docflow.sinks.tables import read_snapshot, versions, write_snapshot
+from docflow.operators.changes import changed_documents, latest_version
+from docflow.sinks.tables import last_batch, read_current, write_changes
 from docflow.sources.files import read_files
 from docflow.sources.load_log import list_files
 from docflow.sources.rescue import read_json_rescued
@@ -77,22 +77,16 @@ def append_flows(flows: dict[str, DataFrame], target: str, checkpoints: str) ->
     ]
 
 
-def upsert_batches(
-    spark: SparkSession, table: str, keys: list[str], version: str, schema: str, stage: Stage | None = None
-) -> Callable[[DataFrame, int], None]:
-    """Callback that keeps a derived table current: newest row per key of the micro-batch, merged by version.
+def upsert_batches(table: str, keys: list[str], version: str, stage: Stage | None = None) -> Callable[[DataFrame, int], None]:
+    """Callback that keeps a keyed table current: the newest row per key of the micro-batch, under its batch id.
 
-    The result is snapshot ``batch_id``, built on the newest earlier snapshot: a replayed batch starts from the
-    same state and writes the same folder.
+    Only changed rows are written; ``read_current`` merges them. A replayed batch replaces itself.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
         changed = stage(df) if stage else df
-        source = latest_version(changed, keys, [version, *[c for c in changed.columns if c not in (*keys, version)]])
-        before = [v for v in versions(spark, table) if int(v.rsplit("=", 1)[-1]) < batch_id]
-        target = spark.read.parquet(before[-1]) if before else spark.createDataFrame([], schema)
-        merged = merge_upsert(target, source.select(*target.columns), keys, version).drop("action")
-        write_snapshot(merged, table, batch_id)
+        rest = [c for c in changed.columns if c not in (*keys, version)]
+        write_changes(latest_version(changed, keys, [version, *rest]), table, batch_id)
 
     return write
 
@@ -108,19 +102,16 @@ def process_changed_files(
     ``work`` gets the changed files with content and a run number to write under. Tracking is written last: a run
     that breaks off is repeated with the same number.
     """
-    known = versions(spark, tracking)
-    run = 1 + (int(known[-1].rsplit("=", 1)[-1]) if known else -1)
-    before = read_snapshot(spark, tracking, TRACKING_SCHEMA)
-    listing = list_files(spark, source, pattern)
-    changed = changed_documents(listing, before)
+    run = 1 + last_batch(spark, tracking)
+    before = read_current(spark, tracking, ["path"], "last_processed", TRACKING_SCHEMA)
+    changed = changed_documents(list_files(spark, source, pattern), before)
     # Paths only: Spark's own file index holds the listing on the driver as well. Contents stay in the tasks.
     paths = [r["path"] for r in changed.select("path").toLocalIterator()]
     if not paths:
         return 0
     files = spark.read.format("binaryFile").load(paths)
     work(files, run)
-    done = changed.select("path", F.col("modificationTime").alias("last_processed"))
-    write_snapshot(merge_upsert(before, done, ["path"], "last_processed").drop("action"), tracking, run)
+    write_changes(changed.select("path", F.col("modificationTime").alias("last_processed")), tracking, run)
     return len(paths)
 
 

@@ -58,13 +58,20 @@ def test_changed_and_as_of(spark):
     assert {r["path"]: r["change"] for r in changes.changed_documents(now, seen).collect()} == {"a": "updated", "c": "new"}
 
 
-def test_snapshot_ignores_uncommitted_versions(spark, tmp_path):
-    root = str(tmp_path / "snap")
-    df = spark.createDataFrame([(1,)], "id int")
-    tables.write_snapshot(df, root, 0)
-    tables.write_snapshot(df.unionByName(df), root, 1)
-    (tmp_path / "snap" / "version=00000000000000000001" / "_SUCCESS").unlink()
-    assert tables.read_snapshot(spark, root).count() == 1
+def test_keyed_table_batches_and_compaction(spark, tmp_path):
+    root, schema = str(tmp_path / "t"), "k int, ts int, v string"
+    current = lambda **kw: {r["k"]: r["v"] for r in tables.read_current(spark, root, ["k"], "ts", schema, **kw).collect()}
+    assert current() == {} and tables.last_batch(spark, root) == -1
+    tables.write_changes(spark.createDataFrame([(1, 5, "a"), (2, 5, "b")], schema), root, 0)
+    tables.write_changes(spark.createDataFrame([(1, 6, "a2"), (2, 5, "tie"), (3, 1, "c")], schema), root, 1)
+    assert current() == {1: "a2", 2: "b", 3: "c"} and current(upto=0) == {1: "a", 2: "b"}
+    tables.compact(spark, root, ["k"], "ts", schema)
+    assert tables.batches(spark, root) == [] and current() == {1: "a2", 2: "b", 3: "c"}
+    tables.write_changes(spark.createDataFrame([(3, 0, "late"), (4, 1, "d")], schema), root, 2)
+    assert current() == {1: "a2", 2: "b", 3: "c", 4: "d"}
+    # A batch whose job did not commit does not exist for readers.
+    (tmp_path / "t" / "batch=00000000000000000002" / "_SUCCESS").unlink()
+    assert current() == {1: "a2", 2: "b", 3: "c"}
 
 
 def docs(spark, *rows):
@@ -136,7 +143,7 @@ def test_stream_to_index_and_upserted_table(spark, tmp_path):
         stream = flows.stream_table(spark, src, lambda df: df, schema)
         publish = bulk.batch_publisher(index, "docs", bulk.document_id("path"), {"path": "keyword", "category": "keyword"})
         flows.foreach_batch(stream, publish, str(tmp_path / "cp1")).awaitTermination()
-        upsert = flows.upsert_batches(spark, gold, ["path"], "v", schema)
+        upsert = flows.upsert_batches(gold, ["path"], "v")
         flows.foreach_batch(stream, upsert, str(tmp_path / "cp2")).awaitTermination()
 
     add(("a", "x", 1), ("b", "x", 1))
@@ -144,13 +151,14 @@ def test_stream_to_index_and_upserted_table(spark, tmp_path):
     add(("a", "y", 2), ("b", "old", 0), ("c", "z", 1))
     run()
     run()
-    got = {r["path"]: r["category"] for r in tables.read_snapshot(spark, gold).collect()}
+    state = lambda: {r["path"]: r["category"] for r in tables.read_current(spark, gold, ["path"], "v", schema).collect()}
+    got = state()
     assert got == {"a": "y", "b": "x", "c": "z"}
     assert bulk.read_index(spark, index, "path string, category string").count() == 3
-    # A replayed batch starts from the same state.
-    replay = flows.upsert_batches(spark, gold, ["path"], "v", schema)
+    # A replayed batch replaces itself.
+    replay = flows.upsert_batches(gold, ["path"], "v")
     replay(spark.createDataFrame([("a", "y", 2), ("b", "old", 0), ("c", "z", 1)], schema), 1)
-    assert {r["path"]: r["category"] for r in tables.read_snapshot(spark, gold).collect()} == got
+    assert state() == got
 
 
 def test_append_flows(spark, tmp_path):
