@@ -130,10 +130,11 @@ def summarize(df: DataFrame, text: str = "text", key: str = "doc_id", max_words:
 
     A sentence scores the mean frequency of its words in the document. Sentences are taken by score, ties by
     position, while the running word count stays within ``max_words``, and are put back in text order; a best
-    sentence that is longer by itself is cut. Documents are hashed once by key; every later window and aggregation
+    sentence that is longer by itself is cut. Texts are hashed once by key; every later window, aggregation and join
     works inside that partitioning.
     """
-    rows = array_rows(df.select(key, text).repartition(key), sentences(text), "sentence", "pos", [key])
+    docs = df.filter(F.col(key).isNotNull()).select(key, text).repartition(key)
+    rows = array_rows(docs, sentences(text), "sentence", "pos", [key])
     words = array_rows(rows, tokens("sentence"), "term", keep=[key, "pos"])
     weighted = words.withColumn("tf", F.count("*").over(W.partitionBy(key, "term")))
     scored = weighted.groupBy(key, "pos").agg(
@@ -145,16 +146,12 @@ def summarize(df: DataFrame, text: str = "text", key: str = "doc_id", max_words:
         .withColumn("place", F.row_number().over(best_first))
         .filter((F.col("running") <= max_words) | (F.col("place") == 1))
     )
-    kept = (
-        rows.join(ranked, [key, "pos"])
-        .groupBy(key)
-        .agg(
-            F.array_sort(F.collect_list(F.struct("pos", "sentence"))).alias("_s"),
-            F.count("*").alias("sentences_kept"),
-            F.sum("n_words").alias("_n"),
-        )
-        .withColumn("_s", F.array_join(F.col("_s.sentence"), " "))
+    chosen = ranked.groupBy(key).agg(
+        F.array_sort(F.collect_list("pos")).alias("_pos"), F.count("*").alias("sentences_kept"), F.sum("n_words").alias("_n")
     )
+    # The chosen sentences are cut out of the text again: joining on the key alone needs no further shuffle.
+    picked = let(sentences(text), lambda s: F.array_join(F.transform("_pos", lambda p: F.element_at(s, p + 1)), " "))
+    kept = docs.join(chosen, key).select(key, "sentences_kept", "_n", picked.alias("_s"))
     cut = F.array_join(F.slice(F.split("_s", " "), 1, max_words), " ")
     return kept.select(
         key,
@@ -170,8 +167,10 @@ def key_topics(df: DataFrame, text: str = "text", key: str = "doc_id", n: int =
     The join on terms meets hot words; the document-frequency side holds one row per term, so a skewed partition
     splits cheaply. The rank limit is applied before the shuffle by document.
     """
-    tf = array_rows(df, tokens(text), "term", keep=[key]).groupBy(key, "term").agg(F.count("*").alias("tf"))
-    df_ = tf.groupBy("term").agg(F.count("*").alias("df"))
+    # Keys are checked here, so that both uses of ``tf`` are the same plan and share one shuffle.
+    tf = array_rows(df.filter(F.col(key).isNotNull()), tokens(text), "term", keep=[key]).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    # Counting on ``tf`` keeps the column in this branch as well, or the shuffle would not be shared.
+    df_ = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     total = df.agg(F.count("*").alias("n"))
     idf = F.log((F.lit(1.0) + total.scalar()) / (F.lit(1.0) + F.col("df")))
     scored = tf.join(df_, "term").select(key, "term", F.round(F.col("tf") * idf, 6).alias("score"))
@@ -220,10 +219,10 @@ def enriched_documents(
     skip = {"key_topics", "summary"}
     label = classify(text, lexicon)["label"]
     error = F.when(F.col(text).isNull(), "no text")
-    response = classification_response(label, error)
-    category, message = response_label(response)
+    category, message = response_label("_response")
     keep = [c for c in df.columns if c != text]
-    base = df.select(
+    # The response is its own step: Catalyst keeps it apart because it is used more than once.
+    base = df.withColumn("_response", classification_response(label, error)).select(
         *keep,
         category.alias("category"),
         message.alias("error_message"),

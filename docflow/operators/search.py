@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -42,34 +42,13 @@ def term_hits(df: DataFrame, text: str, keys: tuple[str, ...], terms: list[str])
     return array_rows(df, found, "term", keep=keys).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
 
 
-def search_bm25(
-    df: DataFrame,
-    queries: dict[str, list[str]],
-    text: str = "text",
-    key: str = "doc_id",
-    where: Column | None = None,
-    k: int = 10,
-    stop_words: list[str] | None = None,
-) -> DataFrame:
-    """Top ``k`` documents per query: ``query, rank, key, score``. ``where`` filters on keyword fields.
-
-    Term statistics are those of the filtered documents. Only query terms leave a row, each with its document's
-    length; the statistics joined to them hold one row per query term.
-    """
-    terms = sorted({t for q in queries.values() for t in q})
-    docs = df if where is None else df.filter(where)
-    rows = docs.select(key, analyse(text, stop_words).alias("_t"))
-    lengths = rows.agg(F.struct(F.count("*").alias("n"), F.avg(F.size("_t")).alias("avg_len")).alias("s"))
-    hits = (
-        array_rows(rows.withColumn("len", F.size("_t")), F.filter("_t", lambda t: t.isin(terms)), "term", keep=[key, "len"])
-        .groupBy(key, "len", "term")
-        .agg(F.count("*").alias("tf"))
-    )
+def rank_bm25(hits: DataFrame, lengths: DataFrame, queries: dict[str, list[str]], key: str, k: int) -> DataFrame:
+    """Top ``k`` per query from ``hits`` (key, len, term, tf) of the query terms and ``lengths`` (len) of all documents."""
+    totals = lengths.agg(F.struct(F.count("*").alias("n"), F.avg("len").alias("avg_len")).alias("s")).scalar()
     stats = hits.groupBy("term").agg(F.count("*").alias("df"))
     wanted = F.explode(
         F.array(*[F.struct(F.lit(q).alias("query"), F.array(*[F.lit(t) for t in ts]).alias("terms")) for q, ts in queries.items()])
     )
-    totals = lengths.scalar()
     idf = F.log(F.lit(1.0) + (totals["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.lit(K1) * (F.lit(1.0) - F.lit(B) + F.lit(B) * F.col("len") / totals["avg_len"])
     weight = idf * F.col("tf") * F.lit(K1 + 1.0) / (F.col("tf") + norm)
@@ -84,6 +63,62 @@ def search_bm25(
     return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def _terms(queries: dict[str, list[str]]) -> list[str]:
+    return sorted({t for q in queries.values() for t in q})
+
+
+def search_bm25(
+    df: DataFrame,
+    queries: dict[str, list[str]],
+    text: str = "text",
+    key: str = "doc_id",
+    where: Column | None = None,
+    k: int = 10,
+    stop_words: list[str] | None = None,
+) -> DataFrame:
+    """Top ``k`` documents per query: ``query, rank, key, score``. ``where`` filters on keyword fields.
+
+    Term statistics are those of the filtered documents. Only query terms leave a row, each with its document's
+    length; the statistics joined to them hold one row per query term. To search the same documents often, store
+    their postings once (``write_postings``).
+    """
+    docs = df if where is None else df.filter(where)
+    rows = docs.select(key, analyse(text, stop_words).alias("_t")).withColumn("len", F.size("_t"))
+    found = F.filter("_t", lambda t: t.isin(_terms(queries)))
+    hits = array_rows(rows, found, "term", keep=[key, "len"]).groupBy(key, "len", "term").agg(F.count("*").alias("tf"))
+    return rank_bm25(hits, rows, queries, key, k)
+
+
+def write_postings(
+    df: DataFrame,
+    root: str,
+    text: str = "text",
+    key: str = "doc_id",
+    keywords: tuple[str, ...] = (),
+    stop_words: list[str] | None = None,
+) -> None:
+    """Store the postings of documents, sorted by term, with document length and keyword fields.
+
+    Range partitions by term and key: a common word spreads over several files, and a query reads only the row
+    groups of its own terms.
+    """
+    docs = df.select(key, *keywords, analyse(text, stop_words).alias("_t")).withColumn("len", F.size("_t"))
+    docs.select(key, *keywords, "len").write.mode("overwrite").parquet(f"{root}/documents")
+    posts = array_rows(docs, "_t", "term", keep=[key, *keywords, "len"]).groupBy("term", key, *keywords, "len").agg(F.count("*").alias("tf"))
+    posts.repartitionByRange("term", key).sortWithinPartitions("term", key).write.mode("overwrite").parquet(f"{root}/postings")
+
+
+def search_postings(
+    spark: SparkSession, root: str, queries: dict[str, list[str]], key: str = "doc_id", where: Column | None = None, k: int = 10
+) -> DataFrame:
+    """``search_bm25`` over stored postings."""
+    posts = spark.read.parquet(f"{root}/postings").filter(F.col("term").isin(_terms(queries)))
+    lengths = spark.read.parquet(f"{root}/documents")
+    if where is not None:
+        posts, lengths = posts.filter(where), lengths.filter(where)
+    return rank_bm25(posts.select(key, "len", "term", "tf"), lengths, queries, key, k)
+
+
 def match_all(index: DataFrame, order: str, size: int = 1000) -> DataFrame:
     """The first ``size`` documents of an index in id order."""
     return index.orderBy(order).limit(size)

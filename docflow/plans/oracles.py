@@ -344,6 +344,8 @@ scored AS (
 SELECT query, doc_id, score, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored
 QUALIFY rank <= 10"""
 
+ORACLES["search_postings"] = ORACLES["search_bm25"]
+
 ORACLES["page_index"] = f"""WITH {DOCS}, {PAGED}
 SELECT doc_id, page_no, term, count(*) AS tf FROM (SELECT doc_id, page_no, unnest({tok("content")}) AS term FROM paged)
 WHERE term IN ({words(X.PAGE_TERMS)}) GROUP BY doc_id, page_no, term"""

@@ -376,6 +376,13 @@ def search_bm25(spark, sf):
     return search.search_bm25(d, X.QUERIES, where=F.col("lang") == "en")
 
 
+@query
+def search_postings(spark, sf):
+    root = scratch_path(spark, "postings")
+    search.write_postings(X.table(spark, sf, "documents"), root, keywords=("lang",))
+    return search.search_postings(spark, root, X.QUERIES, where=F.col("lang") == "en")
+
+
 @query
 def page_index(spark, sf):
     d = X.documents(spark, sf)
