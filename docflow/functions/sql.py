@@ -52,8 +52,8 @@ def register_functions(
             "SELECT CASE WHEN text IS NULL THEN NULL WHEN best.rank < 0 THEN best.label ELSE 'other' END FROM ranked)"
         ),
         "extract_document": (
-            f"(text STRING) RETURNS STRUCT<{shape}> RETURN (WITH extracted AS (SELECT {columns}) "
-            f"SELECT named_struct({values}) FROM extracted)"
+            f"(text STRING) RETURNS STRUCT<{shape}> RETURN (WITH fields AS (SELECT {columns}) "
+            f"SELECT named_struct({values}) FROM fields)"
         ),
         "summarize_document": (
             "(text STRING, max_words INT DEFAULT 300) RETURNS STRING RETURN (WITH words AS (SELECT "

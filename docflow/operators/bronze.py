@@ -46,17 +46,22 @@ def condition_events(
     A value that cannot be cast becomes NULL. The checksum covers the incoming columns (or ``checked``) after
     conditioning.
     """
-    incoming = checked or df.columns
-    source = F.lit(None).cast("string") if source_file is None else source_file
-    return (
-        df.withColumn("event_ts", F.try_to_timestamp(F.col("event_ts")))
-        .withColumn("amount", F.col("amount").try_cast("double"))
-        .withColumn("region", F.upper(F.trim("region")))
-        .withColumn("_ingest_ts", F.current_timestamp())
-        .withColumn("_ingest_date", F.to_date("_ingest_ts"))
-        .withColumn("_source_file", source)
-        .withColumn("_raw_checksum", column_checksum(incoming, null_token))
-        .filter(F.col("event_ts").isNotNull() & F.col("transaction_id").isNotNull())
+    typed = df.withColumns(
+        {
+            "event_ts": F.try_to_timestamp(F.col("event_ts")),
+            "amount": F.col("amount").try_cast("double"),
+            "region": F.upper(F.trim("region")),
+        }
+    )
+    kept = typed.filter(F.col("event_ts").isNotNull() & F.col("transaction_id").isNotNull())
+    now = F.current_timestamp()
+    return kept.withColumns(
+        {
+            "_ingest_ts": now,
+            "_ingest_date": F.to_date(now),
+            "_source_file": F.lit(None).cast("string") if source_file is None else source_file,
+            "_raw_checksum": column_checksum(checked or df.columns, null_token),
+        }
     )
 
 

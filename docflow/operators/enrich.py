@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docflow.functions.lexicon import LABEL_TERMS, NEGATIVE, POSITIVE
-from docflow.functions.rows import array_rows
+from docflow.functions.rows import array_rows, token_rows
 from docflow.functions.text import let, lexicon_hits, pig_latin, sentences, tokens
 
 RESPONSE = "struct<response:array<string>,error_message:string>"
@@ -135,7 +135,7 @@ def summarize(df: DataFrame, text: str = "text", key: str = "doc_id", max_words:
     """
     docs = df.filter(F.col(key).isNotNull()).select(key, text).repartition(key)
     rows = array_rows(docs, sentences(text), "sentence", "pos", [key])
-    words = array_rows(rows, tokens("sentence"), "term", keep=[key, "pos"])
+    words = token_rows(rows, "sentence", keep=[key, "pos"])
     weighted = words.withColumn("tf", F.count("*").over(W.partitionBy(key, "term")))
     scored = weighted.groupBy(key, "pos").agg(
         (F.sum("tf") / F.count("*")).alias("score"), F.count("*").alias("n_words")
@@ -168,7 +168,7 @@ def key_topics(df: DataFrame, text: str = "text", key: str = "doc_id", n: int =
     splits cheaply. The rank limit is applied before the shuffle by document.
     """
     # Keys are checked here, so that both uses of ``tf`` are the same plan and share one shuffle.
-    tf = array_rows(df.filter(F.col(key).isNotNull()), tokens(text), "term", keep=[key]).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    tf = token_rows(df.filter(F.col(key).isNotNull()), text, keep=[key]).groupBy(key, "term").agg(F.count("*").alias("tf"))
     # Counting on ``tf`` keeps the column in this branch as well, or the shuffle would not be shared.
     df_ = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     total = df.agg(F.count("*").alias("n"))

@@ -87,6 +87,15 @@ def model_enrich(
     return _parse_result(keyed.drop("_prompt").join(answers, "_hash", "left").drop("_hash"), schema)
 
 
+def translate(df: DataFrame, text: str, lang: str, target: str, model: ModelFactory, template: str | None = None, **options) -> DataFrame:
+    """Add ``result`` in the target language. Rows that are in it already keep their text and are not sent."""
+    asked = template or "Translate from {lang} to {target}: {text}"
+    foreign = df.filter(~F.col(lang).eqNullSafe(F.lit(target)))
+    sent = model_enrich(foreign, prompt(asked, lang=lang, target=F.lit(target), text=text), model, **options)
+    same = df.filter(F.col(lang).eqNullSafe(F.lit(target)))
+    return sent.unionByName(same.withColumn("result", F.col(text)).withColumn("error_message", F.lit(None).cast("string")))
+
+
 def _parse_result(df: DataFrame, schema: str | None) -> DataFrame:
     if schema is None:
         return df

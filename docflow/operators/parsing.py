@@ -137,13 +137,12 @@ def merge_chunks(chunks: DataFrame, keys: list[str], parsed: str = "parsed") ->
         part("pages").alias("_pages"),
         F.try_variant_get(v, "$.metadata", "variant").alias("_metadata"),
     )
+    kept = F.when(F.col("_ok"), F.struct("chunk_idx", "_elements", "_pages", "_metadata"))
     grouped = rows.groupBy(*keys).agg(
         F.count_if("_ok").alias("chunk_count"),
         F.count_if(~F.col("_ok")).alias("failed_chunks"),
-        F.expr(
-            "array_sort(collect_list(case when _ok then struct(chunk_idx, _elements, _pages, _metadata) end), "
-            "(l, r) -> l.chunk_idx - r.chunk_idx)"
-        ).alias("_c"),
+        # A comparator, because VARIANT has no order of its own.
+        F.array_sort(F.collect_list(kept), lambda a, b: a["chunk_idx"] - b["chunk_idx"]).alias("_c"),
     )
     first = F.get(F.col("_c"), 0)
     return grouped.select(

@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docflow.functions.lexicon import STOP_WORDS
-from docflow.functions.rows import array_rows
+from docflow.functions.rows import array_rows, token_rows
 from docflow.functions.text import tokens
 
 K1 = 1.2
@@ -27,7 +27,9 @@ def analyse(text: str | Column, stop_words: list[str] | None = None) -> Column:
 
 def postings(df: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_id",), stop_words: list[str] | None = None) -> DataFrame:
     """``term, keys, tf``. Counts are combined inside each document before the shuffle."""
-    rows = array_rows(df, analyse(text, stop_words), "term", keep=keys)
+    stop = STOP_WORDS if stop_words is None else stop_words
+    rows = token_rows(df, text, keep=keys)
+    rows = rows.filter(~F.col("term").isin(stop)) if stop else rows
     return rows.groupBy("term", *keys).agg(F.count("*").alias("tf"))
 
 

@@ -72,6 +72,15 @@ def test_prompt_template(spark):
     assert df.select(model.prompt("Translate to {lang}: {text}", lang="l", text="t").alias("p")).first()["p"] == "Translate to fr: hello"
 
 
+def test_translation_skips_rows_in_the_target_language(spark):
+    def connect():
+        return lambda p: "-> " + p.rsplit(": ", 1)[1]
+
+    df = spark.createDataFrame([("bonjour", "fr"), ("hello", "en"), ("hm", None)], "t string, l string")
+    got = {r["t"]: r["result"] for r in model.translate(df, "t", "l", "en", connect).collect()}
+    assert got == {"bonjour": "-> bonjour", "hello": "hello", "hm": "-> hm"}
+
+
 def test_default_classifier_and_response(spark):
     rows = [("The revenue and profit margin",), ("nothing",), (None,), ("agreement: party to the contract",)]
     df = spark.createDataFrame(rows, "t string")
@@ -182,3 +191,31 @@ def test_expectations(spark):
         quality.expect_or_fail(df, rules).collect()
     good, bad = quality.quarantine(df, rules)
     assert good.count() == 1 and [r["failed_rules"] for r in bad.collect()] == [["small"], ["small"]]
+
+
+def test_one_key_with_a_third_of_the_rows(spark):
+    """Results stay whole when one key, text or word holds a third of all rows."""
+    from docflow.operators import changes
+
+    n = 3000
+    df = spark.range(n).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("user_id"),
+        F.when(F.col("id") % 3 == 0, "hot words here again").otherwise(F.concat(F.lit("text hot "), F.translate(F.hex("id"), "0123456789", "ghijklmnop"))).alias("text"),
+    )
+    newest = changes.latest_version(df, ["user_id"], ["doc_id"])
+    assert newest.count() == 1 + n - n // 3
+    assert newest.filter("user_id = 0").first()["doc_id"] == 2997
+    assert changes.dedup_documents(df, T.normalised("text")).agg(F.sum("copies"), F.max("copies")).first()[0:2] == (n, n // 3)
+    topics = enrich.key_topics(df, n=2)
+    assert topics.select("doc_id").distinct().count() == n
+    stats = {r["term"]: r for r in search.inverted_index(search.postings(df, stop_words=[])).filter("term IN ('hot', 'again')").collect()}
+    assert stats["hot"]["df"] == n and stats["again"]["df"] == n // 3
+    assert enrich.summarize(df).count() == n
+
+    def connect():
+        return lambda p: p[:3]
+
+    assert model.model_enrich(df.select("doc_id", "text"), "text", connect).filter("result = 'hot'").count() == n // 3
+    links = similarity.near_duplicates(df.filter("doc_id % 3 = 0"))
+    assert links.count() == n // 3 - 1 and links.select("duplicate_of").distinct().count() == 1
