@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,9 +49,13 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", thre
     """Links ``key, duplicate_of, similarity`` of documents to an earlier document.
 
     Exact copies (equal words) link to the lowest key of their group. The remaining distinct texts meet in the
-    buckets of their bands; each is compared with the lowest key of each of its buckets, exactly, and links to the
-    lowest one at or above the threshold. Work and output grow with the number of documents however large a bucket
-    is, because members of a bucket are never paired with each other.
+    buckets of their bands. In a bucket the lowest key leads: all others are compared with it, exactly; those at or
+    above the threshold link to it, and the rest go on to the next round with a leader of their own, until nobody is
+    left. A document links to the lowest of its leaders.
+
+    A group of alike texts, however large, takes one round of one comparison per member: members are never paired
+    with each other. The number of rounds is that of unlike texts in one bucket. Each round is stored in the shared
+    folder, so a lost executor costs at most the current one.
     """
     # Never NULL, so the join on the hash adds no null check that would compute it again.
     hashed = df.select(key, F.coalesce(F.sha2(normalised(text), 256), F.lit("")).alias("_h"))
@@ -59,26 +65,36 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", thre
         .filter(F.col(key) != F.col("_first"))
         .select(key, F.col("_first").alias("duplicate_of"), F.lit(1.0).alias("similarity"))
     )
+    scratch = scratch_path(df.sparkSession, "near-duplicates")
     distinct = df.join(groups.select(F.col("_first").alias(key)), key, "left_semi").select(key, text)
-    # Used twice below: stored once in the shared folder instead of tokenised twice.
-    buckets = materialise(bucket_keys(distinct, text, key), scratch_path(df.sparkSession, "buckets"))
-    leaders = buckets.groupBy("bucket").agg(F.min(key).alias("_leader"), F.count("*").alias("_n")).filter(F.col("_n") > 1)
-    pairs = (
-        buckets.join(leaders.drop("_n"), "bucket")
-        .filter(F.col("_leader") < F.col(key))
-        .select(key, "_leader")
+    left = materialise(bucket_keys(distinct, text, key), f"{scratch}/buckets")
+    links = None
+    for round_ in count():
+        judged = materialise(_compare_with_leaders(left, df, text, key), f"{scratch}/round={round_}")
+        found = judged.filter(F.col("similarity") >= threshold)
+        links = found if links is None else links.unionByName(found)
+        left = judged.filter(F.col("similarity") < threshold).select(key, "bucket")
+        if left.isEmpty():
+            break
+    lowest = links.groupBy(key).agg(F.min(F.struct("leader", "similarity")).alias("_l"))
+    return copies.unionByName(lowest.select(key, F.col("_l.leader").alias("duplicate_of"), F.col("_l.similarity").alias("similarity")))
+
+
+def _compare_with_leaders(members: DataFrame, texts: DataFrame, text: str, key: str) -> DataFrame:
+    """``bucket, key, leader, similarity`` of every member that is not the lowest of its bucket."""
+    leaders = members.groupBy("bucket").agg(F.min(key).alias("leader"), F.count("*").alias("_n")).filter(F.col("_n") > 1)
+    met = members.join(leaders.drop("_n"), "bucket").filter(F.col("leader") < F.col(key))
+    # Texts meet only for distinct pairs; their shingles are built after the joins.
+    mine = texts.select(key, text)
+    theirs = texts.select(F.col(key).alias("leader"), F.col(text).alias("_leader_text"))
+    compared = (
+        met.select(key, "leader")
         .distinct()
+        .join(mine, key)
+        .join(theirs, "leader")
+        .select(key, "leader", F.round(jaccard(shingles(text), shingles("_leader_text")), 6).alias("similarity"))
     )
-    # Texts meet only for candidate pairs; their shingles are built after the joins.
-    theirs = distinct.select(F.col(key).alias("_leader"), F.col(text).alias("_ltext"))
-    verified = (
-        pairs.join(distinct, key)
-        .join(theirs, "_leader")
-        .select(key, "_leader", F.round(jaccard(shingles(text), shingles("_ltext")), 6).alias("_sim"))
-        .filter(F.col("_sim") >= threshold)
-    )
-    near = verified.groupBy(key).agg(F.min(F.struct("_leader", "_sim")).alias("_best"))
-    return copies.unionByName(near.select(key, F.col("_best._leader").alias("duplicate_of"), F.col("_best._sim").alias("similarity")))
+    return met.join(compared, [key, "leader"]).select("bucket", key, "leader", "similarity")
 
 
 def compare_extractions(a: DataFrame, b: DataFrame, keys: list[str], text: str = "text") -> DataFrame:

@@ -159,7 +159,7 @@ ORACLES["rescued_fields"] = """SELECT event_id, k AS rescued_key, json_extract_s
 FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM events) WHERE k NOT IN ('channel', 'region')"""
 
 ORACLES["multi_source_union"] = """
-SELECT 'documents' AS source_kind, doc_id AS key, CAST(length(text) AS INTEGER) AS n_chars, lang, NULL AS url, NULL AS role FROM documents
+SELECT 'documents' AS source_kind, doc_id AS key, CAST(length(text) AS BIGINT) AS n_chars, lang, NULL AS url, NULL AS role FROM documents
 UNION ALL SELECT 'pages', page_id, length(html), NULL, url, NULL FROM pages
 UNION ALL SELECT 'conversations', conv_id, length(text), NULL, NULL, role FROM conversations"""
 
@@ -296,7 +296,9 @@ _MINS = ", ".join(
 )
 _KEYS = ", ".join(f"concat_ws('-', '{b}', {', '.join(f'm{b * ROWS + r}' for r in range(ROWS))})" for b in range(BANDS))
 
-ORACLES["near_duplicates"] = f"""WITH tokenised AS (SELECT doc_id, {tok("text")} AS w FROM documents),
+_SIM = "round(len(list_intersect(a.s, b.s)) / (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s))), 6)"
+
+ORACLES["near_duplicates"] = f"""WITH RECURSIVE tokenised AS (SELECT doc_id, {tok("text")} AS w FROM documents),
 hashed AS (SELECT doc_id, w, min(doc_id) OVER (PARTITION BY array_to_string(w, ' ')) AS rep FROM tokenised),
 words AS (
   SELECT doc_id, pos, n, concat_ws(' ', term, lead(term, 1) OVER o, lead(term, 2) OVER o) AS g
@@ -309,11 +311,16 @@ sets AS (SELECT doc_id, list(g) AS s FROM grams GROUP BY doc_id),
 mins AS (
   SELECT doc_id, {_MINS} FROM (SELECT doc_id, CAST('0x' || substr(md5(g), 1, 8) AS BIGINT) % {PRIME} AS h FROM grams) GROUP BY doc_id),
 buckets AS (SELECT doc_id, unnest([{_KEYS}]) AS bucket FROM mins),
-leaders AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY bucket) AS leader FROM buckets),
-pairs AS (SELECT DISTINCT doc_id, leader FROM leaders WHERE leader < doc_id),
+rounds AS (
+  SELECT bucket, doc_id, min(doc_id) OVER (PARTITION BY bucket) AS leader FROM buckets
+  UNION ALL
+  SELECT bucket, doc_id, min(doc_id) OVER (PARTITION BY bucket) AS leader
+  FROM (SELECT r.bucket, r.doc_id FROM rounds r JOIN sets a ON a.doc_id = r.doc_id JOIN sets b ON b.doc_id = r.leader
+        WHERE r.leader < r.doc_id AND {_SIM} < 0.8)),
 verified AS (
-  SELECT p.doc_id, p.leader, round(len(list_intersect(a.s, b.s)) / (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s))), 6) AS sim
-  FROM pairs p JOIN sets a ON a.doc_id = p.doc_id JOIN sets b ON b.doc_id = p.leader)
+  SELECT p.doc_id, p.leader, {_SIM} AS sim
+  FROM (SELECT DISTINCT doc_id, leader FROM rounds WHERE leader < doc_id) p
+  JOIN sets a ON a.doc_id = p.doc_id JOIN sets b ON b.doc_id = p.leader)
 SELECT doc_id, rep AS duplicate_of, CAST(1.0 AS DOUBLE) AS similarity FROM hashed WHERE doc_id <> rep
 UNION ALL SELECT doc_id, min(leader), arg_min(sim, leader) FROM verified WHERE sim >= 0.8 GROUP BY doc_id"""
 

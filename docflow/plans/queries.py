@@ -53,7 +53,8 @@ def multi_source_union(spark, sf):
     docs = X.table(spark, sf, "documents").select(F.col("doc_id").alias("key"), F.length("text").alias("n_chars"), "lang")
     web = X.table(spark, sf, "pages").select(F.col("page_id").alias("key"), F.length("html").alias("n_chars"), "url")
     chat = X.table(spark, sf, "conversations").select(F.col("conv_id").alias("key"), F.length("text").alias("n_chars"), "role")
-    return files.union_sources(documents=docs, pages=web, conversations=chat)
+    out = files.union_sources(documents=docs, pages=web, conversations=chat)
+    return out.withColumn("n_chars", F.col("n_chars").cast("bigint"))
 
 
 @query

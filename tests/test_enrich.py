@@ -169,6 +169,40 @@ def test_near_duplicates_of_a_hot_group(spark):
     assert pairs == []
 
 
+def greedy_links(texts: dict[int, str], buckets: dict[str, list[int]], threshold: float) -> dict[int, int]:
+    """Leaders of each bucket in key order; a text joins the first leader that is alike."""
+    best: dict[int, int] = {}
+    for members in buckets.values():
+        leaders: list[int] = []
+        for d in sorted(members):
+            alike = [x for x in leaders if brute_jaccard(texts[d], texts[x]) >= threshold]
+            if alike:
+                best[d] = min(best.get(d, alike[0]), alike[0])
+            else:
+                leaders.append(d)
+    return best
+
+
+def test_near_duplicates_match_brute_force_over_several_rounds(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    shared, texts = [word() for _ in range(60)], {}
+    for family in range(6):
+        own = [word() for _ in range(25)]
+        for i in range(6):
+            tail = list(own)
+            if i:
+                tail[-1] = word()
+            texts[i * 6 + family] = " ".join(shared + tail)
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    buckets: dict[str, list[int]] = {}
+    for r in similarity.bucket_keys(df, "text", "doc_id").collect():
+        buckets.setdefault(r["bucket"], []).append(r["doc_id"])
+    want = greedy_links(texts, buckets, 0.9)
+    got = {r["doc_id"]: r["duplicate_of"] for r in similarity.near_duplicates(df, threshold=0.9).collect()}
+    assert got == want and len(set(want.values())) > 1
+
+
 def test_text_similarity(spark):
     df = spark.createDataFrame([("a b c", "B c d"), ("", "")], "x string, y string").select(T.text_similarity("x", "y").alias("s"))
     assert [r["s"] for r in df.collect()] == [0.5, None]
