@@ -48,7 +48,10 @@ def truncated(text: str | Column, n: int) -> Column:
 
 def jaccard(a: Column, b: Column) -> Column:
     """Overlap of two token arrays as sets; NULL if both are empty."""
-    return F.try_divide(F.size(F.array_intersect(a, b)), F.size(F.array_union(a, b)))
+    return let(
+        F.struct(a.alias("a"), b.alias("b")),
+        lambda s: F.try_divide(F.size(F.array_intersect(s["a"], s["b"])), F.size(F.array_union(s["a"], s["b"]))),
+    )
 
 
 def text_similarity(a: str | Column, b: str | Column) -> Column:

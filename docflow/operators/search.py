@@ -47,7 +47,8 @@ def term_hits(df: DataFrame, text: str, keys: tuple[str, ...], terms: list[str])
 def rank_bm25(hits: DataFrame, lengths: DataFrame, queries: dict[str, list[str]], key: str, k: int) -> DataFrame:
     """Top ``k`` per query from ``hits`` (key, len, term, tf) of the query terms and ``lengths`` (len) of all documents."""
     totals = lengths.agg(F.struct(F.count("*").alias("n"), F.avg("len").alias("avg_len")).alias("s")).scalar()
-    stats = hits.groupBy("term").agg(F.count("*").alias("df"))
+    # Counting on ``tf`` keeps the column in both uses of the hits, so that they share one shuffle.
+    stats = hits.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     wanted = F.explode(
         F.array(*[F.struct(F.lit(q).alias("query"), F.array(*[F.lit(t) for t in ts]).alias("terms")) for q, ts in queries.items()])
     )
