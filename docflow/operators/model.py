@@ -22,6 +22,13 @@ def prompt(template: str, **parts: str | Column) -> Column:
     return out
 
 
+def hash_batch(key: str | Column, n: int) -> Column:
+    """Batch number 0..n-1 of a row from its key: even batches without counting or sorting the table."""
+    col = F.col(key) if isinstance(key, str) else key
+    code = F.conv(F.substring(F.md5(col.cast("string")), 1, 8), 16, 10).cast("bigint")
+    return F.pmod(code, F.lit(n))
+
+
 def _call_model(factory: ModelFactory, fields: list[str], fail_on_error: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = factory()

@@ -80,7 +80,8 @@ def run_stages(
         quality.expectation_metrics(parsed, {**quality.PARSED_RULES, "no_error": "try_variant_get(parsed, '$.error_status', 'string') IS NULL"}),
         quality.expectation_metrics(enriched, quality.ENRICHED_RULES),
     ]
-    named = [m.withColumn("stage", F.lit(s)).withColumn("run", F.lit(run)) for s, m in zip(("bronze", "parsed", "enriched"), counts)]
+    stamp = {"run": F.lit(run), "recorded_at": F.current_timestamp()}
+    named = [m.withColumns({"stage": F.lit(s), **stamp}) for s, m in zip(("bronze", "parsed", "enriched"), counts)]
     named[0].unionByName(named[1]).unionByName(named[2]).write.mode("overwrite").parquet(f"{here}/metrics")
     columns = [c.split()[0] for c in GOLD_SCHEMA.split(", ")]
     upsert_batches(f"{root}/gold", ["doc_key"], "modificationTime")(enriched.select(*columns), run)
@@ -102,6 +103,33 @@ def run_stream(spark: SparkSession, source: str, root: str, pattern: str | None
     return foreach_batch(files, lambda df, batch: run_stages(df, batch, root, **options), f"{root}/checkpoint")
 
 
+def run_chain(
+    df: DataFrame,
+    root: str,
+    lexicon: dict[str, list[str]],
+    patterns: dict[str, str],
+    default: str,
+    limits: dict[str, int] | None = None,
+    key: str = "doc_id",
+    max_words: int = 300,
+) -> dict[str, DataFrame]:
+    """Classify, extract by category, summarise by category: three stored tables below ``root``.
+
+    ``patterns`` maps a category to what is extracted from it, ``limits`` to the length of its summaries.
+    """
+    classified = materialise(df.select(key, "text", enrich.classify("text", lexicon)["label"].alias("category")), f"{root}/classified")
+    hits = enrich.category_hits("text", F.col("category"), patterns, default)
+    entities = materialise(classified.select(key, "category", hits.alias("entities")), f"{root}/entities")
+    groups = {**{c: max_words for c in [*lexicon, "other"]}, **(limits or {})}
+    summaries = None
+    for words in sorted(set(groups.values())):
+        part = classified.filter(F.col("category").isin([c for c, n in groups.items() if n == words]))
+        done = enrich.summarize(part, key=key, max_words=words)
+        summaries = done if summaries is None else summaries.unionByName(done)
+    summaries = classified.select(key, "category").join(summaries, key)
+    return {"classified": classified, "entities": entities, "summaries": materialise(summaries, f"{root}/summaries")}
+
+
 def read_gold(spark: SparkSession, root: str) -> DataFrame:
     """The newest version of every enriched document."""
     return read_current(spark, f"{root}/gold", ["doc_key"], "modificationTime", GOLD_SCHEMA)

@@ -12,8 +12,9 @@ from docflow.functions import paths as P
 from docflow.functions import text as T
 from docflow.functions.sql import register_functions
 from docflow.operators import bronze, changes, enrich, flatten, pages, parsing, quality, routing, search, similarity
-from docflow.operators.model import model_enrich, train_label_model
+from docflow.operators.model import hash_batch, model_enrich, train_label_model
 from docflow.plans import fixtures as X
+from docflow.plans.medallion import run_chain
 from docflow.session import scratch_path
 from docflow.sinks import bulk
 from docflow.sources import files, rescue
@@ -315,11 +316,11 @@ def sentiment(spark, sf):
 
 @query
 def enrichment_chain(spark, sf):
-    d = X.documents(spark, sf).select("doc_id", "text", enrich.classify("text", X.LEXICON)["label"].alias("category"))
-    hits = enrich.category_hits("text", F.col("category"), X.CATEGORY_PATTERNS, X.CATEGORY_DEFAULT)
-    entities = d.select("doc_id", "category", F.size(hits).alias("n_entities"))
-    summaries = enrich.summarize(d).select("doc_id", "summary_words")
-    return enrich.combine(entities, "doc_id", summaries).fillna(0, ["summary_words"])
+    root = scratch_path(spark, "chain")
+    d = X.documents(spark, sf).select("doc_id", "text")
+    steps = run_chain(d, root, X.LEXICON, X.CATEGORY_PATTERNS, X.CATEGORY_DEFAULT)
+    found = steps["entities"].select("doc_id", "category", F.size("entities").alias("n_entities"))
+    return enrich.combine(found, "doc_id", steps["summaries"].select("doc_id", "summary_words")).fillna(0, ["summary_words"])
 
 
 @query
@@ -520,8 +521,7 @@ def dedup_documents(spark, sf):
 @query
 def enrichment_batches(spark, sf):
     d = X.table(spark, sf, "documents")
-    code = F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 8), 16, 10).cast("bigint")
-    batches = d.select("doc_id", F.pmod(code, F.lit(8)).alias("batch"))
+    batches = d.select("doc_id", hash_batch("doc_id", 8).alias("batch"))
     return batches.groupBy("batch").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
 
 

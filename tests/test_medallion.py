@@ -58,6 +58,16 @@ def test_stream_end_to_end(spark, tmp_path):
     assert read_index(spark, f"{root}/index", INDEX).count() == 2
 
 
+def test_chain_with_a_summary_length_per_category(spark, tmp_path):
+    rows = [(1, "The revenue of 2024 was 100. It grew."), (2, "Plain words here. And more words there."), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    steps = medallion.run_chain(df, str(tmp_path), {"financial": ["revenue"]}, {"financial": "[0-9]+"}, "[A-Z][a-z]+", {"financial": 2})
+    entities = {r["doc_id"]: r["entities"] for r in spark.read.parquet(str(tmp_path / "entities")).collect()}
+    assert entities == {1: ["2024", "100"], 2: ["Plain", "And"], 3: None}
+    summaries = {r["doc_id"]: (r["category"], r["summary_words"]) for r in steps["summaries"].collect()}
+    assert summaries == {1: ("financial", 2), 2: ("other", 7)}
+
+
 def test_declared_datasets(spark, tmp_path):
     df = spark.range(3)
     medallion.declare(df, "v_docs")
