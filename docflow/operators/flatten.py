@@ -111,7 +111,8 @@ def confidence_stats(elements: DataFrame, threshold: float = 0.8) -> DataFrame:
 
 def nested_pages(elements: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per document with its pages nested as ``array<struct<page, text>>``."""
-    pages = elements.groupBy(key, "page_no").agg(
+    # Hashed by document alone, so that both groupings work in the same partitions.
+    pages = elements.repartition(key).groupBy(key, "page_no").agg(
         F.array_join(F.array_sort(F.collect_list(F.struct("pos", "content")))["content"], "\n").alias("text")
     )
     return pages.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col("page_no").alias("page"), "text"))).alias("pages"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -51,6 +53,11 @@ def read_files(
     return reader.load(path)
 
 
+def literal_path(path: str) -> str:
+    """A listed path for ``load``, which would read brackets and the like in a file name as a pattern."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
 def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
     """Hash the rows by key if the scan has fewer tasks than the cluster has cores.
 

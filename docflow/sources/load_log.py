@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docflow.operators.changes import new_files_only
 from docflow.session import hadoop_fs
 from docflow.sinks.tables import append_aligned, committed_parts
+from docflow.sources.files import literal_path
 
 LOG_SCHEMA = "path string, loaded_at timestamp"
 
@@ -56,7 +57,7 @@ def copy_into(
         reader = reader.option("header", True).option("inferSchema", True).option("escape", '"')
     for name, value in options.items():
         reader = reader.option(name, value)
-    rows = reader.load(paths).withColumn("_source_file", F.col("_metadata.file_path"))
+    rows = reader.load([literal_path(p) for p in paths]).withColumn("_source_file", F.col("_metadata.file_path"))
     part = "load=" + hashlib.sha256("\n".join(paths).encode()).hexdigest()[:32]
     append_aligned(spark, rows, table, part, merge_schema)
     fresh.select("path", F.current_timestamp().alias("loaded_at")).write.mode("append").parquet(log)

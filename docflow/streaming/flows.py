@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from docflow.operators.bronze import bronze_events, event_schema
 from docflow.operators.changes import changed_documents, latest_version
 from docflow.sinks.tables import last_batch, read_current, write_changes
-from docflow.sources.files import read_files
+from docflow.sources.files import literal_path, read_files
 from docflow.sources.load_log import list_files
 from docflow.sources.rescue import read_json_rescued
 
@@ -109,7 +109,7 @@ def process_changed_files(
     paths = [r["path"] for r in changed.select("path").toLocalIterator()]
     if not paths:
         return 0
-    files = spark.read.format("binaryFile").load(paths)
+    files = spark.read.format("binaryFile").load([literal_path(p) for p in paths])
     work(files, run)
     write_changes(changed.select("path", F.col("modificationTime").alias("last_processed")), tracking, run)
     return len(paths)

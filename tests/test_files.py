@@ -119,7 +119,7 @@ def test_csv_scan_and_copy_into(spark, tmp_path):
     assert files.read_files(spark, str(src), format="csv").schema["id"].dataType.simpleString() == "int"
     assert copy_into(spark, table, str(src), pattern="*.csv") == 1
     assert copy_into(spark, table, str(src), pattern="*.csv") == 0
-    (src / "b.csv").write_text("id,name,extra\n3,z,9\n")
+    (src / "b[1].csv").write_text("id,name,extra\n3,z,9\n")
     with pytest.raises(ValueError, match="new column"):
         copy_into(spark, table, str(src), pattern="*.csv")
     assert copy_into(spark, table, str(src), pattern="*.csv", merge_schema=True) == 1
@@ -166,7 +166,7 @@ def test_new_and_modified_files(spark, tmp_path):
     time.sleep(0.05)
     (src / "a.txt").write_text("one again")
     os.utime(src / "a.txt", (time.time() + 10, time.time() + 10))
-    (src / "c.txt").write_text("three")
+    (src / "c [1]{x}.txt").write_text("three")
 
     def fails(df, run):
         raise RuntimeError("stop")
@@ -174,7 +174,7 @@ def test_new_and_modified_files(spark, tmp_path):
     with pytest.raises(RuntimeError):
         flows.process_changed_files(spark, str(src), tracking, fails)
     assert flows.process_changed_files(spark, str(src), tracking, work) == 2
-    assert seen == [[("a.txt", "one"), ("b.txt", "two")], [("a.txt", "one again"), ("c.txt", "three")]]
+    assert seen == [[("a.txt", "one"), ("b.txt", "two")], [("a.txt", "one again"), ("c [1]{x}.txt", "three")]]
     assert batches(spark, tracking) == [0, 1]
 
 
