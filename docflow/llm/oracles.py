@@ -90,3 +90,12 @@ bits AS (SELECT *, (CASE WHEN n_words < 10 THEN 1 ELSE 0 END
         + CASE WHEN word_chars < 2 * n_words OR word_chars > 20 * n_words THEN 16 ELSE 0 END)::BIGINT failed FROM measured)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed & 3) <> 0 base_failed, failed = 0 kept, failed FROM bits
 """
+
+ORACLES["op9_pivot_topk"] = """
+WITH vectors AS (SELECT row_number() OVER () r, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (SELECT q.r, q.vec_id query_id, c.vec_id, list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT score
+    FROM vectors q JOIN vectors c ON q.r <> c.r WHERE q.vec_id % 100 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INT rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import mixing, rule_ledger, simhash, url_trust
+from docflow.llm import bpe, cotraining, line_dedup, mixing, packing, pii, pivot_topk, rule_ledger, simhash, url_trust
 from docflow.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,12 +31,24 @@ def op1_url_trust(spark, sf):
     return judged.select("page_id", "url_filter.host", "url_filter.path", "url_filter.rule", "url_filter.verdict")
 
 
+@query
+def op2_packing(spark, sf):
+    return packing.packed(table(spark, sf, "documents"))
+
+
 @query
 def op3_simhash(spark, sf):
     groups = simhash.simhash_groups(table(spark, sf, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op4_cotraining(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+    model = cotraining.fit(docs, table(spark, sf, "labels"))
+    return cotraining.scored(docs, model).select("doc_id", "quality.*")
+
+
 @query
 def op5_systematic_mix(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "source", "text")
@@ -56,3 +68,27 @@ def op6_rule_ledger(spark, sf):
         rule_ledger.passes("failed").alias("kept"),
         "failed",
     )
+
+
+@query
+def op7_bpe(spark, sf):
+    return bpe.digests(table(spark, sf, "documents"))
+
+
+@query
+def op8_line_dedup(spark, sf):
+    out = line_dedup.remove_repeated_lines(table(spark, sf, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", "line_dedup.*")
+
+
+@query
+def op9_pivot_topk(spark, sf):
+    return pivot_topk.exact_top_k(table(spark, sf, "embeddings"))
+
+
+@query
+def op10_pii(spark, sf):
+    found = pii.find_pii(table(spark, sf, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["kind"].isin("email", "ip", "card", "phone"))
+    counts = [F.size(F.filter("pii", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+    return found.select("doc_id", *counts, F.sha2(pii.span_list(base), 256).alias("base_sha256"), pii.span_list(F.col("pii")).alias("spans"))
