@@ -9,7 +9,7 @@ from docflow.llm.common import free_name, stored, word_array
 
 WEIGHTS = (1, 2, 3)
 MAX_COPIES = 3
-BUCKET_ROWS = 65_536
+BUCKET_ROWS = 4096
 SEED = 42
 
 

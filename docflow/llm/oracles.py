@@ -62,7 +62,7 @@ stops AS (SELECT *, (total - capped) * weight >= 3 * source_size * (weights - pa
 targets AS (SELECT source, source_size, CASE WHEN stop THEN (3 * source_size)::DOUBLE
         ELSE (total - coalesce(sum(3 * source_size) FILTER (stop) OVER (), 0))::DOUBLE * weight / (weights - coalesce(sum(weight) FILTER (stop) OVER (), 0)) END target
     FROM stops),
-dealt AS (SELECT *, ('0x' || left(md5('42:' || coalesce(doc_id::VARCHAR, '')), 8))::BIGINT % greatest(1, ceil(count(*) OVER () / 65536.0))::BIGINT bucket FROM sized),
+dealt AS (SELECT *, ('0x' || left(md5('42:' || coalesce(doc_id::VARCHAR, '')), 8))::BIGINT % greatest(1, ceil(count(*) OVER () / 4096.0))::BIGINT bucket FROM sized),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY bucket, size, doc_id) place FROM dealt),
 planned AS (SELECT n.*, source_size, target, coalesce(target / nullif(source_size, 0), 0) rate,
         ('0x' || left(md5('42:' || CASE WHEN n.source IS NULL THEN 'n' ELSE 's' || n.source END), 5))::BIGINT / 1048576.0::DOUBLE shift

@@ -251,6 +251,10 @@ def find_pii(df: DataFrame, text: str = "text") -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in df.columns], pii_spans(F.col(f"`{text}`")).alias(free_name(df, "pii")))
 
 
+def count_of(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
 def span_list(spans: Column) -> Column:
     """``kind:start:end`` joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
