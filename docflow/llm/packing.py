@@ -148,6 +148,9 @@ def write_packed(df: DataFrame, path: str, rows_per_matrix: int = 256, seq_len:
     """
     schema = "n_rows int, seq_len int, ids binary, row_ids array<string>, n_tokens array<int>, cu_seqlens array<array<int>>, position_resets array<array<int>>"
 
+    ints = pa.list_(pa.int32())
+    typed = pa.schema([("n_rows", pa.int32()), ("seq_len", pa.int32()), ("ids", pa.binary()), ("row_ids", pa.list_(pa.string())), ("n_tokens", ints), ("cu_seqlens", pa.list_(ints)), ("position_resets", pa.list_(ints))])
+
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.to_pylist()
@@ -160,7 +163,7 @@ def write_packed(df: DataFrame, path: str, rows_per_matrix: int = 256, seq_len:
                 names = ("row_id", "n_tokens", "cu_seqlens", "position_resets")
                 own, tokens, cu, resets = ([r[c] for r in part] for c in names)
                 out.append({"n_rows": len(part), "seq_len": seq_len, "ids": matrix.tobytes(), "row_ids": own, "n_tokens": tokens, "cu_seqlens": cu, "position_resets": resets})
-            yield pa.RecordBatch.from_pylist(out)
+            yield pa.RecordBatch.from_pylist(out, schema=typed)
 
     df.mapInArrow(matrices, schema).write.parquet(path)
 
