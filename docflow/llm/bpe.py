@@ -12,9 +12,10 @@ from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docflow.llm.common import free_name
 
@@ -23,7 +24,9 @@ WINDOW_CHARS = 256
 # Tokens nearer to a cut than this prove nothing: a special token or a contraction may lie across the cut.
 MARGIN_CHARS = 32
 SAME_TOKENS = 4
-CACHE_RUNS = 400_000
+CACHE_RUNS = 250_000
+SLICE_ROWS = 256
+MARKS = frozenset([b".", b",", b";", b":", b"!", b"?"])
 
 Tokens = tuple[list[int], list[int], list[int]]
 
@@ -101,25 +104,39 @@ def _meeting(middle: Tokens, right: Tokens, low: int, high: int) -> tuple[int, i
 
 
 class RunEncoder:
-    """Encodes texts run by run; distinct runs are kept while there is room."""
+    """Encodes texts run by run. Runs are kept while there is room; then those stay that came up again."""
 
     def __init__(self, path: str, leaf: int = LEAF_CHARS, room: int = CACHE_RUNS):
         self.tokenizer, self.leaf, self.room = load(path), leaf, room
         self.known: dict[bytes, bytes] = {}
+        self.again: set[bytes] = set()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids as little-endian unsigned 32-bit integers, one string per text."""
         runs = [t.split() for t in texts]
-        new = set().union(*runs).difference(self.known)
-        if len(self.known) + len(new) > self.room:
-            self.known.clear()
-            new = set().union(*runs)
-        short = [r for r in new if len(r) <= self.leaf]
+        here = set().union(*runs)
+        self.again.update(here & self.known.keys())
+        if len(self.known) + len(here) > self.room:
+            kept = self.again if len(self.again) < self.room // 2 else set()
+            self.known = {r: self.known[r] for r in kept}
+            self.again = set()
+        self._learn(here.difference(self.known))
+        return [b"".join(map(self.known.__getitem__, r)) for r in runs]
+
+    def _learn(self, new: set[bytes]) -> None:
+        # A mark after an ASCII letter or digit is a piece of its own: only what stands before it is encoded.
+        marked = [r for r in new if r[-1:] in MARKS and r[-2:-1].isalnum()]
+        plain = new.difference(marked).union(r[:-1] for r in marked).difference(self.known)
+        short = [r for r in plain if len(r) <= self.leaf]
         for r, e in zip(short, self.tokenizer.encode_batch_fast([r.decode() for r in short], add_special_tokens=False)):
             self.known[r] = array("I", e.ids).tobytes()
-        for r in new.difference(short):
+        for r in plain.difference(short):
             self.known[r] = array("I", tree_encode(self.tokenizer, r.decode(), self.leaf)).tobytes()
-        return [b"".join(map(self.known.__getitem__, r)) for r in runs]
+        for r in marked:
+            mark = r[-1:]
+            if mark not in self.known:
+                self.known[mark] = array("I", self.tokenizer.encode(mark.decode(), add_special_tokens=False).ids).tobytes()
+            self.known[r] = self.known[r[:-1]] + self.known[mark]
 
 
 class Decoder:
@@ -134,44 +151,44 @@ class Decoder:
         return " ".join([names[i] for i in array("I", ids) if i in names])
 
 
-def encoded(text: str | Column, path: str | None = None, leaf: int = LEAF_CHARS) -> Column:
-    """Binary column of ids (little-endian unsigned 32-bit). NULL text counts as empty and has no ids."""
+def encode_documents(df: DataFrame, text: str = "text", path: str | None = None, leaf: int = LEAF_CHARS) -> DataFrame:
+    """``df`` with a struct column ``bpe``: ``n_tokens``, ``ids`` (little-endian unsigned 32-bit) and ``decoded``.
+
+    NULL text counts as empty and has no ids. No row is moved: there is no shuffle. Rows go out in small slices, so a
+    worker holds few results at a time.
+    """
     path = path or default_path()
+    name = free_name(df, "bpe")
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.StructType.fromDDL("n_tokens bigint, ids binary, decoded string"))])
+    at = df.columns.index(text)
 
-    @F.pandas_udf("binary")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = RunEncoder(path, leaf)
-        for texts in batches:
-            # Texts of one batch go in parts, so that the runs of very long ones aren't all held at once.
-            out: list[bytes] = []
-            for i in range(0, len(texts), 512):
-                out += encoder.encode([b"" if t is None else t.encode() for t in texts.iloc[i : i + 512]])
-            yield pd.Series(out, dtype=object)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = RunEncoder(path, leaf), Decoder(path)
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                ids = encoder.encode([(t or "").encode() for t in part.column(at).to_pylist()])
+                made = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.array(map(decoder.decode, ids), pa.string())]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.StructArray.from_arrays(made, ["n_tokens", "ids", "decoded"])], names=schema.names)
 
-    return run(text)
+    return df.mapInArrow(run, schema)
 
 
-def decoded(ids: str | Column, path: str | None = None) -> Column:
-    """Text column of an id column; NULL ids give an empty text."""
+def decode_ids(df: DataFrame, ids: str = "ids", path: str | None = None) -> DataFrame:
+    """``df`` with a column ``decoded``; NULL ids give an empty text."""
     path = path or default_path()
+    schema = T.StructType([*df.schema.fields, T.StructField(free_name(df, "decoded"), T.StringType())])
+    at = df.columns.index(ids)
 
-    @F.pandas_udf("string")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = Decoder(path)
         for batch in batches:
-            yield pd.Series([decoder.decode(x or b"") for x in batch], dtype=object)
-
-    return run(ids)
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                texts = pa.array([decoder.decode(x or b"") for x in part.column(at).to_pylist()], pa.string())
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=schema.names)
 
-
-def encode_documents(df: DataFrame, text: str = "text", path: str | None = None, leaf: int = LEAF_CHARS) -> DataFrame:
-    """``df`` with a struct column ``bpe``: ``n_tokens``, ``ids`` and ``decoded``. No row is moved: there is no shuffle."""
-    ids, back = free_name(df, "_ids"), free_name(df, "_decoded")
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    with_ids = df.select(*columns, encoded(F.col(f"`{text}`"), path, leaf).alias(ids))
-    both = with_ids.select("*", decoded(F.col(ids), path).alias(back))
-    out = F.struct((F.octet_length(ids) / 4).cast("long").alias("n_tokens"), F.col(ids).alias("ids"), F.col(back).alias("decoded"))
-    return both.select(*columns, out.alias(free_name(df, "bpe")))
+    return df.mapInArrow(run, schema)
 
 
 def digests(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
