@@ -22,6 +22,7 @@ ELEMENT_TYPES = [
 ]
 
 PAGE_CHARS = 500
+TO_THE_END = 2**31 - 1
 TITLE_MAX = 80
 HEADER_MAX = 40
 
@@ -47,12 +48,15 @@ HTML_ENTITIES = [
     ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
 ]
 
-HTML_SKIP = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
-_SIMPLE = "title|h[1-6]|p|li|figcaption|caption"
-HTML_BLOCK = (
-    r"(?is)<table\b.*?</table>|<nav\b.*?</nav>|<footer\b.*?</footer>|"
-    rf"<(?:{_SIMPLE})\b[^>]*>.*?(?:</(?:{_SIMPLE})>|<br\s*/?>|\z)"
-)
+HTML_SKIP = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|\x01"
+# Tags that end a line of text where they open and where they close.
+HTML_BREAKS = [
+    "html", "head", "body", "title", "h[1-6]", "p", "br", "hr", "div", "section", "article", "aside", "main", "header", "nav", "footer",
+    "address", "blockquote", "pre", "figure", "figcaption", "ul", "ol", "li", "dl", "dt", "dd", "table", "caption", "thead", "tbody",
+    "tfoot", "tr", "td", "th", "form", "fieldset", "legend", "option", "details", "summary",
+]
+# A whole table, navigation or footer is one block; any other block begins at a tag that ends a line.
+HTML_BLOCK = rf"(?is)(<table\b.*?</table>|<nav\b.*?</nav>|<footer\b.*?</footer>)|(</?(?:{'|'.join(HTML_BREAKS)})\b[^>]*>)"
 
 
 def element(kind: Column, content: Column, page_id: Column) -> Column:
@@ -93,11 +97,19 @@ def page_slice(text: str | Column, page: Column, page_chars: int = PAGE_CHARS) -
 
 
 def page_elements(text: str | Column, first: Column, last: Column, page_chars: int = PAGE_CHARS) -> Column:
-    """One text element for each page of the range ``first..last`` (from 1). ``text`` starts at page ``first``."""
+    """One text element for each page of the range ``first..last`` (from 1). ``text`` starts at page ``first``.
+
+    The last page takes all the rest of the text, so a page count that is too low loses nothing.
+    """
     return F.when(
         last >= first,
         F.transform(
-            F.transform(F.sequence(first, last), lambda p: page_slice(text, p - first + 1, page_chars)),
+            F.transform(
+                F.sequence(first, last),
+                lambda p: F.when(p < last, page_slice(text, p - first + 1, page_chars)).otherwise(
+                    F.substring(_col(text), (p - first) * page_chars + 1, F.lit(TO_THE_END))
+                ),
+            ),
             lambda content, i: element(F.lit("text"), content, i + first - 1),
         ),
     ).otherwise(F.array().cast(ELEMENTS))
@@ -116,12 +128,19 @@ def html_text(fragment: Column) -> Column:
 
 
 def html_elements(html: str | Column) -> Column:
-    """Elements of an HTML page in document order. Tables keep their markup."""
-    blocks = F.regexp_extract_all(F.regexp_replace(_col(html), HTML_SKIP, " "), F.lit(HTML_BLOCK), F.lit(0))
+    """Elements of an HTML page in document order. Tables keep their markup.
+
+    The page is split at block boundaries, so every visible character lands in exactly one element. Blocks without text
+    keep their position and are dropped on flattening.
+    """
+    marked = F.regexp_replace(F.regexp_replace(_col(html), HTML_SKIP, " "), HTML_BLOCK, "\x01$1$2")
+    # What follows a whole block is a block of its own.
+    closed = F.regexp_replace(marked, r"(?is)(\x01(?:<table\b[^\x01]*?</table>|<nav\b[^\x01]*?</nav>|<footer\b[^\x01]*?</footer>))", "$1\x01")
+    blocks = F.split(closed, "\x01")
 
     def one(block: Column) -> Column:
         tag = F.lower(F.regexp_extract(block, r"^<([A-Za-z0-9]+)", 1))
-        content = F.when(tag == "table", block).otherwise(html_text(block))
+        content = F.when((tag == "table") & F.lower(block).endswith("</table>"), block).otherwise(html_text(block))
         return F.struct(tag.alias("tag"), content.alias("content"))
 
     def typed(b: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from docflow.functions.lexicon import LABEL_TERMS
 from docflow.functions.text import SENTENCE, WORD_BREAK
-from docflow.operators.enrich import FIELD_RULES
+from docflow.operators.enrich import FIELD_RULES, TOPIC_BREAK
 
 
 def _q(value: str) -> str:
@@ -35,10 +35,18 @@ def register_functions(
     scores = ", ".join(
         f"named_struct('rank', -size(filter(hits, t -> t IN ({_words(terms)}))), 'label', '{label}')" for label, terms in lexicon.items()
     )
-    fields = {n: r for n, r in rules.items() if n != "key_topics"}
-    columns = ", ".join(f"nullif(regexp_extract(text, {_q(p)}, {g}), '') AS {n}" for n, (p, g, _) in rules.items())
-    shape = ", ".join(f"{n}: {'ARRAY<STRING>' if n == 'key_topics' else 'STRING'}" for n in rules)
-    values = ", ".join(f"'{n}', {n}" if n in fields else f"'{n}', CASE WHEN {n} IS NULL THEN NULL ELSE split({n}, ',\\\\s*') END" for n in rules)
+    shape, values = [], []
+    for name, (pattern, group, _) in rules.items():
+        value = f"nullif(regexp_extract(text, {_q(pattern)}, {group}), '')"
+        many = name == "key_topics"
+        shape.append(f"{name}: {'ARRAY<STRING>' if many else 'STRING'}")
+        values.append(f"'{name}', " + (f"split({value}, {_q(TOPIC_BREAK)})" if many else value))
+    # Sentences of the text, each with its place, its number of words and the mean frequency of its words.
+    sentence = f"filter(transform(regexp_extract_all(text, {_q(SENTENCE)}, 0), s -> trim(s)), s -> s <> '')"
+    
+    def tokens_of(x: str) -> str:
+        return f"filter(split(lower({x}), {_q(WORD_BREAK)}), t -> t <> '')"
+
     bodies = {
         "file_name": "(path STRING) RETURNS STRING RETURN regexp_extract(path, r'([^/]+)$', 1)",
         "chunk_page_ranges": (
@@ -52,13 +60,19 @@ def register_functions(
             "SELECT CASE WHEN text IS NULL THEN NULL WHEN best.rank < 0 THEN best.label ELSE 'other' END FROM ranked)"
         ),
         "extract_document": (
-            f"(text STRING) RETURNS STRUCT<{shape}> RETURN (WITH fields AS (SELECT {columns}) "
-            f"SELECT named_struct({values}) FROM fields)"
+            f"(text STRING) RETURNS STRUCT<{', '.join(shape)}> RETURN named_struct({', '.join(values)})"
         ),
         "summarize_document": (
-            "(text STRING, max_words INT DEFAULT 300) RETURNS STRING RETURN (WITH words AS (SELECT "
-            f"split(trim(array_join(regexp_extract_all(text, {_q(SENTENCE)}, 0), ' ')), r'\\s+') AS w) "
-            "SELECT array_join(slice(w, 1, max_words), ' ') FROM words)"
+            "(text STRING, max_words INT DEFAULT 300) RETURNS STRING RETURN (WITH "
+            f"cut AS (SELECT {sentence} AS s, {tokens_of('text')} AS w), "
+            f"told AS (SELECT s, w, transform(s, x -> {tokens_of('x')}) AS t FROM cut), "
+            "scored AS (SELECT s, filter(transform(t, (x, i) -> named_struct('rank', -aggregate(x, 0D, (a, y) -> a + size(filter(w, z -> z = y))) / "
+            "nullif(size(x), 0), 'pos', i, 'n', size(x))), x -> x.n > 0) AS r FROM told), "
+            "taken AS (SELECT s, aggregate(array_sort(r), named_struct('run', 0, 'words', 0, 'pos', cast(array() AS ARRAY<INT>)), (a, x) -> named_struct("
+            "'run', a.run + x.n, 'words', CASE WHEN a.run + x.n <= max_words OR a.run = 0 THEN a.words + x.n ELSE a.words END, "
+            "'pos', CASE WHEN a.run + x.n <= max_words OR a.run = 0 THEN array_append(a.pos, x.pos) ELSE a.pos END)) AS k FROM scored), "
+            "joined AS (SELECT k.words AS n, array_join(transform(array_sort(k.pos), p -> s[p]), ' ') AS j FROM taken) "
+            "SELECT CASE WHEN n > max_words THEN array_join(slice(split(j, ' '), 1, max_words), ' ') ELSE j END FROM joined)"
         ),
         "pig_latin": (
             "(text STRING) RETURNS STRING RETURN array_join(transform(split(lower(text), ' '), w -> CASE "

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from docflow.functions.pagecount import file_page_count
 from docflow.functions.paths import file_name
 from docflow.functions.text import column_checksum
+from docflow.operators import quality
 
 MAX_FILE_BYTES = 104_857_600
 
@@ -24,9 +25,21 @@ def event_schema() -> StructType:
     return StructType([StructField(c, StringType(), True) for c in EVENT_COLUMNS])
 
 
-def bronze_files(files: DataFrame, page_counter: Column | None = None) -> DataFrame:
-    """Files with content and a size below 100 MB, with file name and page count."""
-    kept = files.filter(F.col("content").isNotNull() & (F.col("length") > 0) & (F.col("length") < MAX_FILE_BYTES))
+def file_rules(max_bytes: int = MAX_FILE_BYTES) -> dict[str, str]:
+    """What a file must meet to be taken in."""
+    return {"has_content": "content IS NOT NULL", "valid_size": f"length > 0 AND length < {max_bytes}"}
+
+
+def refused_files(files: DataFrame, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """Files that ``bronze_files`` leaves out for their size, with ``failed_rules``. No file is opened for it."""
+    return quality.quarantine(files.drop("content"), {"valid_size": file_rules(max_bytes)["valid_size"]})[1]
+
+
+def bronze_files(
+    files: DataFrame, page_counter: Column | None = None, max_bytes: int = MAX_FILE_BYTES, counts: Observation | None = None
+) -> DataFrame:
+    """Files with content and a size below ``max_bytes``, with file name and page count. ``counts`` sees those left out."""
+    kept = quality.expect_or_drop(files, file_rules(max_bytes), counts)
     counter = file_page_count("content") if page_counter is None else page_counter
     return kept.select(
         file_name("path").alias("fileName"),

@@ -22,8 +22,16 @@ def as_of(df: DataFrame, keys: list[str], ts: str, at: Column, order: list[str]
     return latest_version(df.filter(F.col(ts) <= at), keys, order or [ts])
 
 
+# JSON writes times to the millisecond unless told otherwise.
+FULL_JSON = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def row_hash(columns: list[str]) -> Column:
-    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+    return F.sha2(F.to_json(F.struct(*columns), FULL_JSON), 256)
 
 
 def changed_documents(current: DataFrame, tracking: DataFrame, key: str = "path", mtime: str = "modificationTime") -> DataFrame:

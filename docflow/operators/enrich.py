@@ -107,10 +107,12 @@ def extract_fields(df: DataFrame, text: str, rules: dict, keys: tuple[str, ...]
     return rows.select(*keys, "_f.field", "_f.found.value", "_f.found.offset", "_f.found.confidence")
 
 
+TOPIC_BREAK = r",\s*"
+
+
 def topic_list(value: str | Column) -> Column:
     """Comma-separated topics to an array; NULL stays NULL."""
-    col = F.col(value) if isinstance(value, str) else value
-    return F.when(col.isNotNull(), F.split(col, r",\s*"))
+    return F.split(F.col(value) if isinstance(value, str) else value, TOPIC_BREAK)
 
 
 def category_hits(text: str | Column, category: Column, patterns: dict[str, str], default: str) -> Column:

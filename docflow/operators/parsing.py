@@ -60,20 +60,23 @@ def split_parse_errors(df: DataFrame, parsed: str = "parsed") -> tuple[DataFrame
 # ---- text documents by page range -------------------------------------------------------------
 
 
-def text_error(text: Column, min_letters: float = 0.6, max_chars: int = 20_000) -> Column:
+def text_error(text: Column, min_letters: float = 0.6) -> Column:
     """Why a text cannot be used, NULL if it can."""
     from docflow.functions.text import letter_share
 
     return (
         F.when(text.isNull() | (F.trim(text) == ""), "empty")
-        .when(F.length(text) > max_chars, "too_long")
         .when(letter_share(text) < min_letters, "unreadable")
     )
 
 
 def parse_text_short(df: DataFrame, text: str = "text", path: str = "path", page_chars: int = E.PAGE_CHARS) -> DataFrame:
-    """Parse whole texts: adds ``parsed`` and ``chunk_count = 1``, drops the text."""
-    n = F.coalesce(F.col("page_count"), F.lit(0))
+    """Parse whole texts: adds ``parsed`` and ``chunk_count = 1``, drops the text.
+
+    An unknown page count is taken from the text; any text has at least one page.
+    """
+    some = F.when(F.length(text) > 0, 1).otherwise(0)
+    n = F.greatest(F.coalesce(F.col("page_count"), E.page_count(text, page_chars)), some)
     return (
         df.withColumn(
             "parsed",
@@ -90,14 +93,18 @@ def parse_text_short(df: DataFrame, text: str = "text", path: str = "path", page
 
 
 def text_chunks(df: DataFrame, size: int, text: str = "text", page_chars: int = E.PAGE_CHARS) -> DataFrame:
-    """One row per page range holding only its own slice of the text."""
+    """One row per page range holding only its own slice of the text; the last one runs to the end of the text."""
     cut = F.transform(
         F.sequence(F.lit(1), F.col("page_count"), F.lit(size)),
         lambda s, i: F.struct(
             i.cast("int").alias("chunk_idx"),
             s.cast("int").alias("first_page"),
             F.least(s + (size - 1), F.col("page_count")).cast("int").alias("last_page"),
-            F.substring(F.col(text), (s - 1) * page_chars + 1, F.lit(size * page_chars)).alias(text),
+            F.substring(
+                F.col(text),
+                (s - 1) * page_chars + 1,
+                F.when(s + size > F.col("page_count"), E.TO_THE_END).otherwise(size * page_chars),
+            ).alias(text),
         ),
     )
     keep = [c for c in df.columns if c != text]

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 
 Rules = dict[str, str]
 
-# Rule sets of the three stages.
-BRONZE_RULES = {"has_content": "content IS NOT NULL", "valid_size": "length > 0 AND length < 104857600"}
+# Rule sets of the later stages; those of files are in ``bronze.file_rules``.
 PARSED_RULES = {
     "has_parsed": "parsed IS NOT NULL",
     "has_elements": "size(try_variant_get(parsed, '$.document.elements', 'array<variant>')) > 0",
@@ -41,10 +40,22 @@ def expect(df: DataFrame, rules: Rules, name: str = "expectations") -> tuple[Dat
     return df.observe(seen, F.count(F.lit(1)).alias("total"), *counts), seen
 
 
-def expect_or_drop(df: DataFrame, rules: Rules) -> DataFrame:
+def expect_or_drop(df: DataFrame, rules: Rules, counts: Observation | None = None) -> DataFrame:
+    """Rows that meet every rule. ``counts`` sees all rows on their way: ``total``, ``dropped`` and failures by rule."""
+    if counts is not None:
+        failures = [F.count_if(~_holds(c)).alias(rule) for rule, c in rules.items()]
+        df = df.observe(counts, F.count(F.lit(1)).alias("total"), F.count_if(~_all_hold(rules)).alias("dropped"), *failures)
     return df.filter(_all_hold(rules))
 
 
+def drop_counts(df: DataFrame, rules: Rules) -> DataFrame:
+    """``rule, total, failed, dropped`` of ``expect_or_drop``, in one pass over the rows before the drop."""
+    failures = [F.count_if(~_holds(c)).alias(f"_{i}") for i, c in enumerate(rules.values())]
+    sums = df.agg(F.count(F.lit(1)).alias("total"), F.count_if(~_all_hold(rules)).alias("dropped"), *failures)
+    rows = [F.struct(F.lit(r).alias("rule"), "total", F.col(f"_{i}").alias("failed"), "dropped") for i, r in enumerate(rules)]
+    return sums.select(F.inline(F.array(*rows)))
+
+
 def expect_or_fail(df: DataFrame, rules: Rules) -> DataFrame:
     """Stop the job on the first row that breaks a rule. Works in batch and in streams."""
     broken = F.array_join(failed_rules(rules), ", ")

@@ -47,17 +47,18 @@ def term_hits(df: DataFrame, text: str, keys: tuple[str, ...], terms: list[str])
 def rank_bm25(hits: DataFrame, lengths: DataFrame, queries: dict[str, list[str]], key: str, k: int) -> DataFrame:
     """Top ``k`` per query from ``hits`` (key, len, term, tf) of the query terms and ``lengths`` (len) of all documents."""
     totals = lengths.agg(F.struct(F.count("*").alias("n"), F.avg("len").alias("avg_len")).alias("s")).scalar()
-    # Counting on ``tf`` keeps the column in both uses of the hits, so that they share one shuffle.
-    stats = hits.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    # One small number per query term: a map, not a join. Counting on ``tf`` lets both uses of the hits share one shuffle.
+    counted = hits.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    found_in = counted.agg(F.map_from_entries(F.collect_list(F.struct("term", "df"))).alias("m")).scalar()
+    df_ = F.element_at(found_in, F.col("term"))
     wanted = F.explode(
         F.array(*[F.struct(F.lit(q).alias("query"), F.array(*[F.lit(t) for t in ts]).alias("terms")) for q, ts in queries.items()])
     )
-    idf = F.log(F.lit(1.0) + (totals["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    idf = F.log(F.lit(1.0) + (totals["n"] - df_ + 0.5) / (df_ + 0.5))
     norm = F.lit(K1) * (F.lit(1.0) - F.lit(B) + F.lit(B) * F.col("len") / totals["avg_len"])
     weight = idf * F.col("tf") * F.lit(K1 + 1.0) / (F.col("tf") + norm)
     scored = (
-        hits.join(stats, "term")
-        .select(key, "term", weight.alias("w"), wanted.alias("_q"))
+        hits.select(key, "term", weight.alias("w"), wanted.alias("_q"))
         .filter(F.array_contains(F.col("_q.terms"), F.col("term")))
         .groupBy(F.col("_q.query").alias("query"), key)
         .agg(F.round(F.sum("w"), 6).alias("score"))

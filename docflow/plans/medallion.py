@@ -6,7 +6,10 @@ read files instead of recomputing models or parsers, and a run that breaks off i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime, timezone
+from functools import reduce
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -66,23 +69,53 @@ def run_stages(
     parsers: dict | None = None,
     lexicon: dict | None = None,
     rules: dict | None = None,
+    max_bytes: int = bronze.MAX_FILE_BYTES,
 ) -> None:
-    """All stages for the given files; results are merged into the gold table and published."""
+    """All stages for the given files; results are merged into the gold table and published.
+
+    Files that are refused, and those that can't be parsed, are kept as quarantine.
+    """
     here = f"{root}/runs/run={run:020d}"
-    raw = materialise(bronze.bronze_files(files), f"{here}/01_bronze")
-    parsed = materialise(silver(raw, limit, parsers), f"{here}/02_parsed")
+    spark = files.sparkSession
+    times: list[tuple] = []
+
+    def stage(name: str, df: DataFrame, folder: str) -> DataFrame:
+        started = datetime.now(timezone.utc)
+        out = materialise(df, f"{here}/{folder}")
+        times.append((name, started, datetime.now(timezone.utc)))
+        return out
+
+    refused, taken_in = bronze.file_rules(max_bytes), Observation(f"bronze-{run}")
+    bronze.refused_files(files, max_bytes).write.mode("overwrite").parquet(f"{here}/01_quarantine")
+    raw = stage("bronze", bronze.bronze_files(files, max_bytes=max_bytes, counts=taken_in), "01_bronze")
+    parsed = stage("parsed", silver(raw, limit, parsers), "02_parsed")
     good, bad = parsing.split_parse_errors(parsed)
     bad.write.mode("overwrite").parquet(f"{here}/02_quarantine")
-    text = materialise(gold_text(good), f"{here}/03_text")
-    enriched = materialise(gold_enriched(good, text, lexicon, rules), f"{here}/03_enriched")
+    text = stage("text", gold_text(good), "03_text")
+    enriched = stage("enriched", gold_enriched(good, text, lexicon, rules), "03_enriched")
+    seen = taken_in.get
+    before = [(rule, seen["total"], seen["total"] - seen[rule], seen[rule]) for rule in refused]
+    offered = spark.createDataFrame(before, "rule string, total bigint, passed bigint, failed bigint")
     counts = [
+        # Counted on the way in, before the files that fail are left out.
+        offered.withColumn("pass_rate", F.round(F.try_divide("passed", "total"), 6)),
         quality.expectation_metrics(raw.drop("content"), {"counted_pages": "page_count IS NOT NULL"}),
         quality.expectation_metrics(parsed, {**quality.PARSED_RULES, "no_error": "try_variant_get(parsed, '$.error_status', 'string') IS NULL"}),
         quality.expectation_metrics(enriched, quality.ENRICHED_RULES),
     ]
     stamp = {"run": F.lit(run), "recorded_at": F.current_timestamp()}
-    named = [m.withColumns({"stage": F.lit(s), **stamp}) for s, m in zip(("bronze", "parsed", "enriched"), counts)]
-    named[0].unionByName(named[1]).unionByName(named[2]).write.mode("overwrite").parquet(f"{here}/metrics")
+    named = [m.withColumns({"stage": F.lit(s), **stamp}) for s, m in zip(("files", "bronze", "parsed", "enriched"), counts)]
+    reduce(DataFrame.unionByName, named).write.mode("overwrite").parquet(f"{here}/metrics")
+    # Rows, bytes and errors of each stage from what it stored.
+    sizes = {
+        "bronze": raw.agg(F.count("*").alias("rows"), F.sum("length").alias("bytes"), F.lit(seen["dropped"]).alias("errors")),
+        "parsed": parsed.agg(F.count("*").alias("rows"), F.sum("length").alias("bytes"), F.count_if(parsing.error_status().isNotNull()).alias("errors")),
+        "text": text.agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes"), F.lit(0).alias("errors")),
+        "enriched": enriched.agg(F.count("*").alias("rows"), F.sum(F.octet_length("full_text")).alias("bytes"), F.count_if(F.col("error_message").isNotNull()).alias("errors")),
+    }
+    clock = spark.createDataFrame(times, "stage string, started_at timestamp, ended_at timestamp")
+    measured = reduce(DataFrame.unionByName, [m.select(F.lit(s).alias("stage"), *[F.coalesce(F.col(c).cast("bigint"), F.lit(0)).alias(c) for c in ("rows", "bytes", "errors")]) for s, m in sizes.items()])
+    clock.join(measured, "stage").withColumn("run", F.lit(run)).write.mode("overwrite").parquet(f"{here}/stages")
     columns = [c.split()[0] for c in GOLD_SCHEMA.split(", ")]
     upsert_batches(f"{root}/gold", ["doc_key"], "modificationTime")(enriched.select(*columns), run)
     bulk.publish(index_rows(enriched, index), f"{root}/index", batch=run)
@@ -97,9 +130,11 @@ def run_changed(spark: SparkSession, source: str, root: str, pattern: str | None
     return process_changed_files(spark, source, f"{root}/tracking", work, pattern)
 
 
-def run_stream(spark: SparkSession, source: str, root: str, pattern: str | None = GLOB, **options) -> StreamingQuery:
-    """Process files as they arrive, one run per micro-batch."""
-    files = read_files(spark, source, stream=True, glob=pattern)
+def run_stream(
+    spark: SparkSession, source: str, root: str, pattern: str | None = GLOB, max_files_per_trigger: int = 1000, **options
+) -> StreamingQuery:
+    """Process files as they arrive, one run per micro-batch of at most ``max_files_per_trigger`` files."""
+    files = read_files(spark, source, stream=True, glob=pattern, max_files_per_trigger=max_files_per_trigger)
     return foreach_batch(files, lambda df, batch: run_stages(df, batch, root, **options), f"{root}/checkpoint")
 
 
@@ -139,6 +174,18 @@ def read_metrics(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/runs/*/metrics")
 
 
+def read_stages(spark: SparkSession, root: str) -> DataFrame:
+    """``run, stage, started_at, ended_at, rows, bytes, errors`` of all recorded runs."""
+    return spark.read.parquet(f"{root}/runs/*/stages")
+
+
+def slowest_stages(spark: SparkSession, root: str, n: int = 20) -> DataFrame:
+    """The recorded stages that took longest, with seconds, rows a second and share of errors."""
+    seconds = F.col("ended_at").cast("double") - F.col("started_at").cast("double")
+    rates = {"seconds": F.round(seconds, 3), "rows_per_second": F.round(F.try_divide("rows", seconds), 3), "error_share": F.round(F.try_divide("errors", "rows"), 6)}
+    return read_stages(spark, root).withColumns(rates).orderBy(F.desc("seconds"), "run", "stage").limit(n)
+
+
 def rebuild_index(spark: SparkSession, root: str, index: str = "documents") -> int:
     """Replace the index by one built from the gold table."""
     return bulk.publish(index_rows(read_gold(spark, root), index), f"{root}/index", mode="overwrite")

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from docflow.functions.elements import HTML_BLOCK, HTML_ENTITIES, HTML_SKIP, HTML_TYPES
 from docflow.functions.paths import MEDIA_TYPES
 from docflow.functions.lexicon import STOP_WORDS
 from docflow.operators.enrich import CONTACT_RULES, FIELD_RULES
-from docflow.operators.similarity import BANDS, PRIME, ROWS, permutation
 from docflow.plans import fixtures as X
 
 ORACLES: dict[str, str] = {}
@@ -119,17 +117,23 @@ def hits(text: str, category: str) -> str:
     return f"CASE {category} {whens} ELSE regexp_extract_all({text}, {lit(X.CATEGORY_DEFAULT)}) END"
 
 
-def decoded(x: str) -> str:
-    for name, value in HTML_ENTITIES:
-        x = f"replace({x}, {lit(name)}, {lit(value)})"
-    return x
-
-
-_KIND = "CASE tag " + " ".join(f"WHEN {lit(t)} THEN {lit(k)}" for t, k in HTML_TYPES.items()) + " ELSE 'text' END"
-_PLAIN = decoded(r"trim(regexp_replace(regexp_replace(block, '(?s)<[^>]*>', ' ', 'g'), '[ \t\r\n]+', ' ', 'g'), ' ')")
-HTML = rf"""blocks AS (
-  SELECT page_id, unnest(b) AS block, CAST(unnest(range(len(b))) AS INTEGER) AS pos
-  FROM (SELECT page_id, regexp_extract_all(regexp_replace(html, {lit(HTML_SKIP)}, ' ', 'g'), {lit(HTML_BLOCK)}) AS b FROM pages)),
+# HTML, stated on its own: blocks begin at a block tag; tables, navigation and footers are whole.
+_TAGS = (
+    "html|head|body|title|h1|h2|h3|h4|h5|h6|p|br|hr|div|section|article|aside|main|header|nav|footer|address|blockquote|pre|figure|figcaption|"
+    "ul|ol|li|dl|dt|dd|table|caption|thead|tbody|tfoot|tr|td|th|form|fieldset|legend|option|details|summary"
+)
+_KIND = """CASE WHEN tag IN ('title', 'h1') THEN 'title' WHEN tag IN ('h2', 'h3', 'h4', 'h5', 'h6') THEN 'section_header'
+  WHEN tag = 'table' THEN 'table' WHEN tag IN ('caption', 'figcaption') THEN 'caption' WHEN tag = 'nav' THEN 'page_header'
+  WHEN tag = 'footer' THEN 'page_footer' ELSE 'text' END"""
+_BARE = r"trim(regexp_replace(regexp_replace(block, '(?s)<[^>]*>', ' ', 'g'), '[ \t\r\n]+', ' ', 'g'), ' ')"
+_PLAIN = _BARE
+for _name, _value in [("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("apos", "''"), ("nbsp", " "), ("copy", "©"), ("middot", "·"), ("amp", "&")]:
+    _PLAIN = f"replace({_PLAIN}, '&{_name};', '{_value}')"
+HTML = rf"""cleaned AS (
+  SELECT page_id, regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', ' ', 'g') AS h FROM pages),
+wholes AS (SELECT page_id, regexp_replace(h, '(?is)(<table\b.*?</table>|<nav\b.*?</nav>|<footer\b.*?</footer>)|(</?(?:{_TAGS})\b[^>]*>)', chr(2) || '\1\2', 'g') AS h FROM cleaned),
+parts AS (SELECT page_id, string_split(regexp_replace(h, '(?is)(\x02<(?:table|nav|footer)\b[^\x02]*?</(?:table|nav|footer)>)', '\1' || chr(2), 'g'), chr(2)) AS b FROM wholes),
+blocks AS (SELECT page_id, unnest(b) AS block, CAST(unnest(range(len(b))) AS INTEGER) AS pos FROM parts),
 web AS (
   SELECT page_id, pos, type, content
   FROM (SELECT page_id, pos, {_KIND} AS type, CASE WHEN tag = 'table' THEN block ELSE {_PLAIN} END AS content
@@ -214,11 +218,13 @@ SELECT doc_id, CAST(len(string_split(text, chr(10))) AS INTEGER) AS elements, pa
 ORACLES["merge_chunks"] = f"""WITH {DOCS}
 SELECT doc_id, CAST(ceil(page_count / 10) AS BIGINT) AS chunk_count, page_count AS elements, md5(text) AS text_md5
 FROM docs WHERE page_count > 0"""
-ORACLES["parsed_documents"] = f"""WITH {DOCS}
-SELECT doc_id, CAST(CASE WHEN page_count > 10 THEN ceil(page_count / 10) ELSE 1 END AS BIGINT) AS chunk_count,
-       page_count AS elements, md5(text) AS text_md5 FROM docs"""
+ORACLES["parsed_documents"] = f"""WITH {DOCS}, counted AS (
+  SELECT doc_id, text, page_count AS pages,
+         CAST(CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 5 = 0 THEN ceil(page_count / 2) ELSE page_count END AS INTEGER) AS given FROM docs)
+SELECT doc_id, CAST(CASE WHEN given > 10 THEN ceil(given / 10) ELSE 1 END AS BIGINT) AS chunk_count,
+       coalesce(given, pages) AS elements, md5(text) AS text_md5 FROM counted"""
 ORACLES["parse_quarantine"] = f"""WITH {DOCS}, judged AS (
-  SELECT doc_id, path, CASE WHEN text IS NULL OR trim(text, ' ') = '' THEN 'empty' WHEN length(text) > 20000 THEN 'too_long'
+  SELECT doc_id, path, CASE WHEN text IS NULL OR trim(text, ' ') = '' THEN 'empty'
                             WHEN {share("text")} < 0.6 THEN 'unreadable' END AS reason FROM docs
   UNION ALL SELECT doc_id, 'lost/' || path, 'empty' FROM docs)
 SELECT doc_id, path, CASE WHEN reason IS NULL THEN 'ok' ELSE 'quarantined' END AS status, reason FROM judged"""
@@ -291,45 +297,26 @@ ORACLES["model_enrich"] = """SELECT doc_id,
 # ---- similarity and search
 
 
-_MINS = ", ".join(
-    f"min((h * {a} + {b}) % {PRIME}) AS m{j}" for j, (a, b) in enumerate(permutation(j) for j in range(BANDS * ROWS))
-)
-_KEYS = ", ".join(f"concat_ws('-', '{b}', {', '.join(f'm{b * ROWS + r}' for r in range(ROWS))})" for b in range(BANDS))
-
-_SIM = "round(len(list_intersect(a.s, b.s)) / (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s))), 6)"
-
-ORACLES["near_duplicates"] = f"""WITH RECURSIVE tokenised AS (SELECT doc_id, {tok("text")} AS w FROM documents),
+ORACLES["near_duplicates"] = r"""WITH tokenised AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}]+'), lambda t: t <> '') AS w FROM documents),
 hashed AS (SELECT doc_id, w, min(doc_id) OVER (PARTITION BY array_to_string(w, ' ')) AS rep FROM tokenised),
-words AS (
-  SELECT doc_id, pos, n, concat_ws(' ', term, lead(term, 1) OVER o, lead(term, 2) OVER o) AS g
-  FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term, unnest(range(len(w))) AS pos FROM hashed WHERE doc_id = rep)
-  WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
 grams AS (
-  SELECT DISTINCT doc_id, g FROM words WHERE pos <= greatest(n - 3, 0)
-  UNION ALL SELECT doc_id, '' FROM hashed WHERE doc_id = rep AND len(w) = 0),
-sets AS (SELECT doc_id, list(g) AS s FROM grams GROUP BY doc_id),
-mins AS (
-  SELECT doc_id, {_MINS} FROM (SELECT doc_id, CAST('0x' || substr(md5(g), 1, 8) AS BIGINT) % {PRIME} AS h FROM grams) GROUP BY doc_id),
-buckets AS (SELECT doc_id, unnest([{_KEYS}]) AS bucket FROM mins),
-rounds AS (
-  SELECT bucket, doc_id, min(doc_id) OVER (PARTITION BY bucket) AS leader FROM buckets
-  UNION ALL
-  SELECT bucket, doc_id, min(doc_id) OVER (PARTITION BY bucket) AS leader
-  FROM (SELECT r.bucket, r.doc_id FROM rounds r JOIN sets a ON a.doc_id = r.doc_id JOIN sets b ON b.doc_id = r.leader
-        WHERE r.leader < r.doc_id AND {_SIM} < 0.8)),
-verified AS (
-  SELECT p.doc_id, p.leader, {_SIM} AS sim
-  FROM (SELECT DISTINCT doc_id, leader FROM rounds WHERE leader < doc_id) p
-  JOIN sets a ON a.doc_id = p.doc_id JOIN sets b ON b.doc_id = p.leader)
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM hashed WHERE doc_id = rep)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+alike AS (SELECT x, y, round(c / (p.n + q.n - c), 6) AS sim FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y)
 SELECT doc_id, rep AS duplicate_of, CAST(1.0 AS DOUBLE) AS similarity FROM hashed WHERE doc_id <> rep
-UNION ALL SELECT doc_id, min(leader), arg_min(sim, leader) FROM verified WHERE sim >= 0.8 GROUP BY doc_id"""
+UNION ALL SELECT y, min(x), arg_min(sim, x) FROM alike WHERE sim >= 0.8 GROUP BY y"""
 
-ORACLES["compare_extractions"] = f"""WITH {HTML}, firsts AS (
-  SELECT page_id, type, {tok("first(content ORDER BY pos)")} AS w FROM web WHERE type IN ('title', 'text') GROUP BY page_id, type)
-SELECT page_id, CAST(len(a.w) AS INTEGER) AS words_a, CAST(len(b.w) AS INTEGER) AS words_b,
-       round(CASE WHEN len(list_distinct(a.w || b.w)) > 0
-                  THEN len(list_intersect(list_distinct(a.w), list_distinct(b.w))) / len(list_distinct(a.w || b.w)) END, 6) AS similarity
-FROM (SELECT * FROM firsts WHERE type = 'title') a JOIN (SELECT * FROM firsts WHERE type = 'text') b USING (page_id)"""
+ORACLES["compare_extractions"] = rf"""WITH {HTML},
+a AS (SELECT page_id, {tok("string_agg(content, ' ' ORDER BY pos)")} AS w FROM web WHERE page_id % 10 <> 3 GROUP BY page_id),
+articles AS (SELECT page_id, regexp_extract(html, '(?is)<article\b.*</article>') AS block FROM pages WHERE page_id % 10 <> 7),
+b AS (SELECT page_id, {tok(_PLAIN)} AS w FROM articles),
+sides AS (SELECT page_id, coalesce(a.w, []) AS u, coalesce(b.w, []) AS v FROM a FULL JOIN b USING (page_id))
+SELECT page_id, CAST(len(u) AS INTEGER) AS words_a, CAST(len(v) AS INTEGER) AS words_b,
+       round(CASE WHEN len(list_distinct(u || v)) > 0 THEN len(list_intersect(list_distinct(u), list_distinct(v))) / len(list_distinct(u || v)) END, 6) AS similarity
+FROM sides"""
 
 _POSTS = f"""posts AS (
   SELECT term, doc_id, count(*) AS tf
@@ -379,6 +366,11 @@ ORACLES["match_all"] = f"WITH {DOCS}, {LABELLED}, {_INDEX} SELECT _id, path, {_R
 # ---- quality
 
 ORACLES["expect_or_drop"] = "SELECT doc_id, lang, n_chars FROM documents WHERE text IS NOT NULL AND n_chars > 0 AND n_chars < 5000"
+ORACLES["drop_counts"] = " UNION ALL ".join(
+    f"SELECT {lit(r)} AS rule, count(*) AS total, count(*) FILTER (NOT coalesce({c}, false)) AS failed, "
+    f"count(*) FILTER (NOT coalesce({' AND '.join(X.RULES.values())}, false)) AS dropped FROM documents"
+    for r, c in X.RULES.items()
+)
 ORACLES["quarantine"] = "SELECT doc_id, concat_ws(',', {}) AS failed_rules FROM documents".format(
     ", ".join(f"CASE WHEN NOT coalesce({c}, false) THEN {lit(r)} END" for r, c in X.RULES.items())
 )
@@ -415,18 +407,20 @@ SELECT user_id, "modificationTime", CASE WHEN seen IS NULL THEN 'new' ELSE 'upda
 FROM current LEFT JOIN tracking USING (user_id) WHERE seen IS NULL OR "modificationTime" > seen"""
 _FIVE = "user_id, ts, event_id, event_type, value"
 ORACLES["merge_upsert"] = f"""WITH t AS ({latest("event_type IN ('click', 'view')", columns=_FIVE)}),
-s AS ({latest("event_type IN ('purchase', 'error')", columns=_FIVE)}),
+s AS ({latest("event_type NOT IN ('click', 'view')", columns=_FIVE)}),
 m AS (
   SELECT s.* EXCLUDE (user_id), s.user_id AS user_id, CASE WHEN t.user_id IS NULL THEN 'insert' ELSE 'update' END AS action
   FROM s LEFT JOIN t ON s.user_id = t.user_id WHERE t.user_id IS NULL OR s.ts > t.ts
   UNION ALL BY NAME
   SELECT t.*, 'keep' AS action FROM t LEFT JOIN s ON s.user_id = t.user_id WHERE s.user_id IS NULL OR NOT s.ts > t.ts)
 SELECT user_id, ts, event_id, event_type, value, action FROM m"""
-ORACLES["change_feed"] = f"""WITH b AS ({latest("ts < TIMESTAMP '2024-01-16'", "user_id, event_type", "user_id, event_type, ts, event_id, value")}),
-a AS ({latest("ts >= TIMESTAMP '2024-01-12'", "user_id, event_type", "user_id, event_type, ts, event_id, value")})
-SELECT user_id, event_type, CASE WHEN b.ts IS NULL THEN 'insert' WHEN a.ts IS NULL THEN 'delete' ELSE 'update' END AS change
+_PAIR = "user_id, event_type"
+ORACLES["change_feed"] = f"""WITH b AS ({latest("ts < TIMESTAMP '2024-01-16'", _PAIR, "user_id, event_type, ts, event_id, value")}),
+a AS ({latest("ts >= TIMESTAMP '2024-01-12'", _PAIR, "user_id, event_type, ts, event_id, value")})
+SELECT user_id, event_type, CASE WHEN b.ts IS NULL THEN 'insert' WHEN a.ts IS NULL THEN 'delete' ELSE 'update' END AS change, 'days' AS feed
 FROM b FULL JOIN a USING (user_id, event_type)
-WHERE b.ts IS NULL OR a.ts IS NULL OR (a.ts, a.event_id, a.value) <> (b.ts, b.event_id, b.value)"""
+WHERE b.ts IS NULL OR a.ts IS NULL OR (a.ts, a.event_id, a.value) <> (b.ts, b.event_id, b.value)
+UNION ALL SELECT user_id, event_type, 'update', 'microseconds' FROM b WHERE event_id % 3 <> 0"""
 ORACLES["dedup_documents"] = f"""SELECT content_hash, min(doc_id) AS doc_id, count(*) AS copies
 FROM (SELECT doc_id, sha256(array_to_string({tok("text")}, ' ')) AS content_hash FROM documents) GROUP BY content_hash"""
 ORACLES["enrichment_batches"] = """SELECT batch, count(*) AS n, min(doc_id) AS first_id, max(doc_id) AS last_id

@@ -180,7 +180,9 @@ def merge_chunks(spark, sf):
 
 @query
 def parsed_documents(spark, sf):
-    d = X.documents(spark, sf).select("doc_id", "path", "page_count", "text")
+    # Unknown and stale page counts among the right ones.
+    count = F.when(F.col("doc_id") % 7 == 0, None).when(F.col("doc_id") % 5 == 0, F.ceil(F.col("page_count") / 2)).otherwise(F.col("page_count"))
+    d = X.documents(spark, sf).select("doc_id", "path", count.cast("int").alias("page_count"), "text")
     return _merged(parsing.parse_text_documents(d, X.PAGE_LIMIT, ["doc_id", "path"]))
 
 
@@ -362,9 +364,10 @@ def near_duplicates(spark, sf):
 @query
 def compare_extractions(spark, sf):
     rows = flatten.flatten_elements(X.table(spark, sf, "pages"), E.html_elements("html"), ("page_id",))
-    titles = rows.filter(F.col("type") == "title").groupBy("page_id").agg(F.min_by("content", "pos").alias("text"))
-    body = rows.filter(F.col("type") == "text").groupBy("page_id").agg(F.min_by("content", "pos").alias("text"))
-    return similarity.compare_extractions(titles, body, ["page_id"])
+    # Whole pages: all blocks against the article's text; each side lacks some pages.
+    page = rows.groupBy("page_id").agg(F.array_join(F.array_sort(F.collect_list(F.struct("pos", "content")))["content"], " ").alias("text"))
+    body = X.table(spark, sf, "pages").select("page_id", E.html_text(F.regexp_extract("html", r"(?is)<article\b.*</article>", 0)).alias("text"))
+    return similarity.compare_extractions(page.filter("page_id % 10 <> 3"), body.filter("page_id % 10 <> 7"), ["page_id"])
 
 
 @query
@@ -443,6 +446,11 @@ def expect_or_drop(spark, sf):
     return quality.expect_or_drop(X.table(spark, sf, "documents"), rules).select("doc_id", "lang", "n_chars")
 
 
+@query
+def drop_counts(spark, sf):
+    return quality.drop_counts(X.table(spark, sf, "documents"), X.RULES)
+
+
 @query
 def quarantine(spark, sf):
     good, bad = quality.quarantine(X.table(spark, sf, "documents"), X.RULES)
@@ -500,17 +508,21 @@ def changed_documents(spark, sf):
 def merge_upsert(spark, sf):
     e = X.events(spark, sf).select("user_id", "ts", "event_id", "event_type", "value")
     target = changes.latest_version(e.filter("event_type IN ('click', 'view')"), ["user_id"], ["ts", "event_id"])
-    source = changes.latest_version(e.filter("event_type IN ('purchase', 'error')"), ["user_id"], ["ts", "event_id"])
+    source = changes.latest_version(e.filter("event_type NOT IN ('click', 'view')"), ["user_id"], ["ts", "event_id"])
     return changes.merge_upsert(target, source, ["user_id"], "ts")
 
 
 @query
 def change_feed(spark, sf):
     e = X.events(spark, sf).select("user_id", "event_type", "ts", "event_id", "value")
+    # Some of the newer rows differ from the older ones by a few microseconds only.
+    late = F.expr("ts + make_dt_interval(0, 0, 0, (event_id % 3) * 0.000001)")
     keys, order = ["user_id", "event_type"], ["ts", "event_id"]
     before = changes.latest_version(e.filter(F.col("ts") < X.ts("2024-01-16")), keys, order)
     after = changes.latest_version(e.filter(F.col("ts") >= X.ts("2024-01-12")), keys, order)
-    return changes.change_feed(before, after, keys)
+    shifted = changes.latest_version(e.filter(F.col("ts") < X.ts("2024-01-16")), keys, order).withColumn("ts", late)
+    old = changes.change_feed(before, after, keys).withColumn("feed", F.lit("days"))
+    return old.unionByName(changes.change_feed(before, shifted, keys).withColumn("feed", F.lit("microseconds")))
 
 
 @query

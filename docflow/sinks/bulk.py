@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from docflow.session import hadoop_fs
-from docflow.sinks.tables import committed_parts
+from docflow.operators.changes import FULL_JSON
+from docflow.sinks.tables import committed_parts, next_folder
 
 # Field types of the document index.
 INDEX_MAPPING = {
@@ -65,36 +66,37 @@ def bulk_lines(docs: DataFrame) -> DataFrame:
     """Two lines per document in one value: action and source."""
     fields = [c for c in docs.columns if c not in ("_index", "_id")]
     action = F.to_json(F.struct(F.struct("_index", "_id").alias("index")))
-    source = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    source = F.to_json(F.struct(*fields), FULL_JSON)
     return docs.select(F.concat(action, F.lit("\n"), source).alias("value"))
 
 
 def publish(docs: DataFrame, root: str, batch: int | None = None, mode: str = "append") -> int:
     """Write a batch of an index folder and return its number.
 
-    ``append`` upserts: the reader prefers the newest batch of an id. ``overwrite`` replaces the index; older batches
-    are removed after the new one is committed. Documents without an id are refused.
+    ``append`` upserts: the reader prefers the newest batch of an id. ``overwrite`` replaces the index by a base folder:
+    readers see nothing that is older, so the change is made by the commit of that folder, and what it replaces is removed
+    afterwards. Numbers are the index's own; ``batch`` is the writer's count, which tells a replay of the newest batch.
+    Documents without an id are refused.
     """
     spark = docs.sparkSession
-    old = committed_parts(spark, root)
-    if batch is None:
-        batch = 1 + max((int(p.rsplit("=", 1)[-1]) for p in old), default=-1)
+    number, name = next_folder(spark, root, "base=" if mode == "overwrite" else "batch=", batch)
+    old = [p for p in committed_parts(spark, root) if not p.endswith(name)]
     checked = docs.withColumn("_id", F.coalesce("_id", F.raise_error(F.lit("document without id")).cast("string")))
-    bulk_lines(checked).write.mode("overwrite").text(f"{root}/batch={batch:020d}")
+    bulk_lines(checked).write.mode("overwrite").text(f"{root}/{name}")
     if mode == "overwrite":
         for part in old:
-            if not part.endswith(f"batch={batch:020d}"):
-                fs, path = hadoop_fs(spark, part)
-                fs.delete(path, True)
-    return batch
+            fs, path = hadoop_fs(spark, part)
+            fs.delete(path, True)
+    return number
 
 
 def read_index(spark: SparkSession, root: str, schema: str) -> DataFrame:
     """``_id`` and the fields of ``schema``: the newest version of every document.
 
-    A record starts at its action line and holds the source line, so the pair is never split.
+    A record starts at its action line and holds the source line, so the pair is never split. Which batch holds the
+    newest version is found on ids alone: source lines are not shuffled unless the ids of changed documents are many.
     """
-    parts = committed_parts(spark, root)
+    parts = _visible(committed_parts(spark, root))
     shape = StructType.fromDDL(schema)
     if not parts:
         return spark.createDataFrame([], f"_id string, {schema}")
@@ -104,10 +106,24 @@ def read_index(spark: SparkSession, root: str, schema: str) -> DataFrame:
     rows = raw.filter(F.trim("value") != "").select(
         F.get_json_object(F.element_at(lines, 1), "$.index._id").alias("_id"),
         F.from_json(F.element_at(lines, 2), shape).alias("_source"),
-        F.regexp_extract(F.col("_metadata.file_path"), r"batch=([0-9]+)", 1).alias("_batch"),
+        F.regexp_extract(F.col("_metadata.file_path"), r"(?:batch|base)=([0-9]+)", 1).cast("bigint").alias("_batch"),
     )
-    newest = rows.groupBy("_id").agg(F.max_by("_source", "_batch").alias("_source"))
-    return newest.select("_id", "_source.*")
+    if len(parts) == 1:
+        return rows.select("_id", "_source.*")
+    # Ids that later batches hold too: their older versions go. The first folder, the bulk of an index, only gives rows.
+    later = rows.filter(F.col("_batch") > min(map(_number_of, parts))).groupBy("_id").agg(F.max("_batch").alias("_newest"))
+    kept = rows.join(later, "_id", "left").filter(F.col("_newest").isNull() | (F.col("_batch") == F.col("_newest")))
+    return kept.select("_id", "_source.*")
+
+
+def _number_of(part: str) -> int:
+    return int(part.rsplit("/", 1)[-1].split("=")[1].split("-")[0])
+
+
+def _visible(parts: list[str]) -> list[str]:
+    """The newest base folder and the batches after it."""
+    base = max((_number_of(p) for p in parts if p.rsplit("/", 1)[-1].startswith("base=")), default=-1)
+    return [p for p in parts if _number_of(p) >= base]
 
 
 # ---- pluggable transport ------------------------------------------------------------------------
@@ -133,7 +149,7 @@ def send_bulk(docs: DataFrame, connect: Callable[[], Transport], size: int = 100
                     yield pd.DataFrame({"index": [index], "ok": [len(part) - failed], "errors": [failed]})
 
     fields = [c for c in docs.columns if c not in ("_index", "_id")]
-    source = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("_source")
+    source = F.to_json(F.struct(*fields), FULL_JSON).alias("_source")
     sent = docs.select("_index", "_id", source).mapInPandas(run, "index string, ok bigint, errors bigint")
     return sent.groupBy("index").agg(F.sum("ok").alias("ok"), F.sum("errors").alias("errors"))
 

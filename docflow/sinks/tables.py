@@ -12,10 +12,22 @@ from pyspark.sql import functions as F
 from docflow.session import hadoop_fs
 
 
-def save_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
-    """Write a managed table: ``overwrite`` takes the new schema, ``append`` matches columns by name."""
-    if mode == "append" and df.sparkSession.catalog.tableExists(name):
-        df = df.select(*df.sparkSession.table(name).columns)
+def save_table(df: DataFrame, name: str, mode: str = "overwrite", merge_schema: bool = False) -> None:
+    """Write a managed table: ``overwrite`` takes the new schema, ``append`` matches columns by name.
+
+    A column that the table does not have is refused on append; with ``merge_schema`` it is added to the table first.
+    """
+    spark = df.sparkSession
+    if mode == "append" and spark.catalog.tableExists(name):
+        known = {c.lower() for c in spark.table(name).columns}
+        new = [f for f in df.schema.fields if f.name.lower() not in known]
+        if new and not merge_schema:
+            raise ValueError(f"new columns {[f.name for f in new]}; use merge_schema")
+        if new:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+        have = {c.lower() for c in df.columns}
+        table = spark.table(name).schema.fields
+        df = df.select(*[F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name) for f in table])
     df.write.mode(mode).saveAsTable(name)
 
 
@@ -67,11 +79,28 @@ def append_aligned(spark: SparkSession, df: DataFrame, table: str, part: str, me
 #
 # A batch writes only its own rows (``batch=<n>``), whatever the size of the table. ``compact`` folds the state up to
 # a batch into one folder (``state=<n>``); readers take the newest state and the batches after it.
+#
+# The number is the table's own. A writer that counts by itself (a stream's batch, a run) gives its count as a tag, which
+# stands beside the number: only the newest batch can be repeated, so an equal tag there is a replay and replaces it,
+# while a writer that starts again from 0 gets the next number.
+
+
+def _number(name: str) -> int:
+    return int(name.split("=")[1].split("-")[0])
 
 
 def _numbered(folders: list[str], prefix: str) -> dict[int, str]:
     named = [(f.rsplit("/", 1)[-1], f) for f in folders]
-    return {int(name[len(prefix) :]): f for name, f in named if name.startswith(prefix)}
+    return {_number(name): f for name, f in named if name.startswith(prefix)}
+
+
+def next_folder(spark: SparkSession, table: str, prefix: str, tag: int | None = None) -> tuple[int, str]:
+    """Number and name of the folder for a new batch, or of the newest one if that has the same tag."""
+    names = {_number(n): n for n in (f.rsplit("/", 1)[-1] for f in committed_parts(spark, table)) if "=" in n}
+    newest = max(names, default=-1)
+    if tag is not None and newest >= 0 and names[newest].startswith(prefix) and names[newest].endswith(f"-of={tag}"):
+        return newest, names[newest]
+    return newest + 1, f"{prefix}{newest + 1:020d}" + (f"-of={tag}" if tag is not None else "")
 
 
 def batches(spark: SparkSession, table: str) -> list[int]:
@@ -87,13 +116,23 @@ def last_batch(spark: SparkSession, table: str) -> int:
     return max([*_numbered(parts, "batch="), *_numbered(parts, "state=")], default=-1)
 
 
-def write_changes(df: DataFrame, table: str, batch: int) -> None:
-    """Write the rows that a batch inserts or updates. The same batch number replaces itself."""
-    df.write.mode("overwrite").parquet(f"{table}/batch={batch:020d}")
+def write_changes(df: DataFrame, table: str, batch: int | None = None, tag: int | None = None) -> int:
+    """Write the rows that a batch inserts or updates and return its number.
+
+    The same ``batch`` replaces itself; without one the table's next number is taken, or the newest one again if it was
+    written under the same ``tag``.
+    """
+    if batch is None:
+        batch, name = next_folder(df.sparkSession, table, "batch=", tag)
+    else:
+        name = f"batch={batch:020d}"
+    df.write.mode("overwrite").parquet(f"{table}/{name}")
+    return batch
 
 
 def read_current(spark: SparkSession, table: str, keys: list[str], version: str, schema: str, upto: int | None = None) -> DataFrame:
-    """Newest row per key by ``version``; on equal versions the earlier batch stays, as in an upsert.
+    """Newest row per key by ``version``; on equal versions the earlier batch stays, as in an upsert. One rule for any
+    number of folders.
 
     ``upto`` reads the state as it was after that batch.
     """
@@ -105,9 +144,7 @@ def read_current(spark: SparkSession, table: str, keys: list[str], version: str,
     if not found:
         return spark.createDataFrame([], schema)
     rows = spark.read.schema(schema).parquet(*[found[n] for n in sorted(found)])
-    if len(found) == 1:
-        return rows
-    number = F.regexp_extract(F.col("_metadata.file_path"), r"(?:batch|state)=([0-9]+)/[^/]*$", 1).cast("bigint")
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"(?:batch|state)=([0-9]+)(?:-of=[0-9]+)?/[^/]*$", 1).cast("bigint")
     rest = [c for c in rows.columns if c not in keys]
     ranked = rows.select(*keys, F.struct(*rest).alias("_row"), F.struct(F.col(version).alias("v"), (-number).alias("n")).alias("_order"))
     return ranked.groupBy(*keys).agg(F.max_by("_row", "_order").alias("_row")).select(*keys, "_row.*").select(*rows.columns)

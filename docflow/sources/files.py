@@ -58,15 +58,6 @@ def literal_path(path: str) -> str:
     return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
 
 
-def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
-    """Hash the rows by key if the scan has fewer tasks than the cluster has cores.
-
-    A few files, or one row group, would leave most cores idle. A scan of many splits is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def with_extensions(files: DataFrame, *extensions: str, path: str = "path") -> DataFrame:
     """Keep files by extension whatever its case. A source glob is case-sensitive."""
     return files.filter(extension(path).isin([e.lower() for e in extensions]))

@@ -12,6 +12,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docflow.session import scratch_path
+from docflow.sinks.tables import materialise
+
 M = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
 _ADDRESS = re.compile(r"^(?:'?(?P<sheet>[^'!]+)'?!)?(?:(?P<c1>[A-Z]+)(?P<r1>\d+):(?P<c2>[A-Z]+)(?P<r2>\d+))?$")
@@ -71,6 +74,30 @@ def workbook_rows(content: bytes, sheet: str | None, box: tuple[int, int, int, i
                 row.clear()
 
 
+def workbook_cells(spark: SparkSession, path: str, data_address: str | None = None, glob: str = "*.xlsx") -> DataFrame:
+    """``path, row_no, cells, error`` of the workbooks below a path. A workbook that cannot be read to its end gives no
+    cells, only one row with ``error``."""
+    sheet, box = parse_address(data_address)
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for name, content in zip(pdf["path"], pdf["content"]):
+                try:
+                    out = [(name, number, cells, None) for number, cells in workbook_rows(bytes(content), sheet, box)]
+                except (zipfile.BadZipFile, KeyError, ValueError, IndexError, ET.ParseError) as err:
+                    out = [(name, None, None, f"{type(err).__name__}: {err}")]
+                for i in range(0, len(out), 10_000):
+                    yield _frame(out[i : i + 10_000])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    return files.select("path", "content").mapInPandas(scan, "path string, row_no int, cells map<int,string>, error string")
+
+
+def unreadable_workbooks(spark: SparkSession, path: str, data_address: str | None = None, glob: str = "*.xlsx") -> DataFrame:
+    """Quarantine of ``read_excel``: ``path, error``."""
+    return workbook_cells(spark, path, data_address, glob).filter("error IS NOT NULL").select("path", "error")
+
+
 def read_excel(
     spark: SparkSession,
     path: str,
@@ -82,42 +109,34 @@ def read_excel(
 ) -> DataFrame:
     """Rows of the workbooks below a path.
 
-    Column names come from the header row of the first file, or ``_c1, _c2, ...`` without one; other files are
-    matched by position. Types are inferred by one pass over the cells (bigint, double, else string), unless a
-    schema is given. A file that is no workbook gives no rows.
+    Column names come from each file's own header row, so files may have their columns in any order; without a header,
+    and with a schema, columns are taken by position. Types are inferred by one pass over the cells (bigint, double,
+    else string), unless a schema is given. Workbooks are parsed once into the shared folder. A file that cannot be read
+    gives no rows here and one in ``unreadable_workbooks``.
     """
-    sheet, box = parse_address(data_address)
+    from pyspark.sql.types import StructType
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for name, content in zip(pdf["path"], pdf["content"]):
-                out: list[tuple[str, int, dict[int, str]]] = []
-                try:
-                    for number, cells in workbook_rows(bytes(content), sheet, box):
-                        out.append((name, number, cells))
-                        if len(out) >= 10_000:
-                            yield _frame(out)
-                            out = []
-                except (zipfile.BadZipFile, KeyError, ValueError, ET.ParseError):
-                    pass
-                if out:
-                    yield _frame(out)
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
-    cells = files.select("path", "content").mapInPandas(scan, "path string, row_no int, cells map<int,string>")
+    _, box = parse_address(data_address)
+    cells = materialise(workbook_cells(spark, path, data_address, glob), scratch_path(spark, "workbooks")).filter("error IS NULL")
     first_row = box[1] if box else 1
-    if schema is None:
-        head = cells.groupBy().agg(F.min_by(F.struct("cells"), F.struct("path", "row_no")).alias("h")).first()
-        if head["h"] is None:
-            return spark.createDataFrame([], "path string")
-        names = {c: (head["h"]["cells"][c] if header_rows else f"_c{c}") for c in sorted(head["h"]["cells"])}
+    body = cells.filter(F.col("row_no") >= first_row + header_rows)
+    if schema is None and header_rows:
+        heads = cells.groupBy("path").agg(F.min_by("cells", "row_no").alias("head"))
+        pairs = heads.select("path", F.explode("head").alias("col", "name"))
+        order = pairs.groupBy("name").agg(F.min(F.struct("path", "col")).alias("at")).orderBy("at").select("name")
+        names = [r["name"] for r in order.collect()]
+        # Where each file has each name; one short row per file.
+        where = pairs.groupBy("path").agg(F.map_from_entries(F.array_distinct(F.collect_list(F.struct("name", F.col("col"))))).alias("where"))
+        body = body.join(where, "path")
+        columns = {n: F.col("cells")[F.col("where")[F.lit(n)]] for n in names}
+    elif schema is None:
+        found = body.select(F.explode(F.map_keys("cells")).alias("c")).distinct().orderBy("c").collect()
+        columns = {f"_c{r['c']}": F.col("cells")[r["c"]] for r in found}
     else:
-        from pyspark.sql.types import StructType
-
         start = box[0] if box else 1
-        names = {start + i: f.name for i, f in enumerate(StructType.fromDDL(schema).fields)}
-    body = cells.filter(F.col("row_no") >= first_row + header_rows)
-    columns = {n: F.col("cells")[c] for c, n in names.items()}
+        columns = {f.name: F.col("cells")[start + i] for i, f in enumerate(StructType.fromDDL(schema).fields)}
+    if not columns:
+        return spark.createDataFrame([], "path string")
     if schema is not None:
         types = {f.name: f.dataType.simpleString() for f in StructType.fromDDL(schema).fields}
     elif infer_schema:
@@ -128,7 +147,8 @@ def read_excel(
 
 
 def _frame(rows: list[tuple[str, int, dict[int, str]]]) -> pd.DataFrame:
-    return pd.DataFrame({"path": [r[0] for r in rows], "row_no": [r[1] for r in rows], "cells": [r[2] for r in rows]})
+    path, number, cells, error = zip(*rows)
+    return pd.DataFrame({"path": path, "row_no": pd.array(number, dtype="Int32"), "cells": cells, "error": error})
 
 
 def _infer(body: DataFrame, columns: dict) -> dict[str, str]:

@@ -77,16 +77,22 @@ def append_flows(flows: dict[str, DataFrame], target: str, checkpoints: str) ->
     ]
 
 
-def upsert_batches(table: str, keys: list[str], version: str, stage: Stage | None = None) -> Callable[[DataFrame, int], None]:
-    """Callback that keeps a keyed table current: the newest row per key of the micro-batch, under its batch id.
-
-    Only changed rows are written; ``read_current`` merges them. A replayed batch replaces itself.
+def upsert_batches(
+    table: str, keys: list[str], version: str, stage: Stage | None = None, rows: DataFrame | None = None, by: list[str] | None = None
+) -> Callable[[DataFrame, int], None]:
+    """Callback that keeps a keyed table current: the newest row per key of the micro-batch, tagged with its batch id.
+
+    Only changed rows are written; ``read_current`` merges them. A replayed batch replaces itself; a stream that starts
+    again with a new checkpoint goes on with the table's next number. With ``rows``, the whole source table, and
+    ``by``, ``stage`` is computed anew from all rows of the keys that the micro-batch touches.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
+        if rows is not None and by:
+            df = rows.join(df.select(*by).distinct(), by, "left_semi")
         changed = stage(df) if stage else df
         rest = [c for c in changed.columns if c not in (*keys, version)]
-        write_changes(latest_version(changed, keys, [version, *rest]), table, batch_id)
+        write_changes(latest_version(changed, keys, [version, *rest]), table, tag=batch_id)
 
     return write
 

@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import csv
-import json
 import os
 import pathlib
 import sys
@@ -32,14 +30,6 @@ def spark(tmp_path_factory):
 
 @pytest.fixture()
 def load_fixture(spark):
-    """Rows of a JSON or CSV file as a DataFrame; any other suffix is refused."""
-
-    def load(path: pathlib.Path):
-        if path.suffix.lower() == ".json":
-            return spark.createDataFrame(json.loads(path.read_text()))
-        if path.suffix.lower() == ".csv":
-            with path.open(newline="") as f:
-                return spark.createDataFrame(list(csv.DictReader(f)))
-        raise ValueError(f"unsupported fixture type: {path.name}")
-
-    return load
+    """Rows of a JSON or CSV file, read by Spark's own readers."""
+    readers = {".json": spark.read.option("multiLine", True).json, ".csv": spark.read.option("header", True).csv}
+    return lambda path: readers[path.suffix.lower()](str(path))

@@ -169,38 +169,57 @@ def test_near_duplicates_of_a_hot_group(spark):
     assert pairs == []
 
 
-def greedy_links(texts: dict[int, str], buckets: dict[str, list[int]], threshold: float) -> dict[int, int]:
-    """Leaders of each bucket in key order; a text joins the first leader that is alike."""
-    best: dict[int, int] = {}
-    for members in buckets.values():
-        leaders: list[int] = []
-        for d in sorted(members):
-            alike = [x for x in leaders if brute_jaccard(texts[d], texts[x]) >= threshold]
-            if alike:
-                best[d] = min(best.get(d, alike[0]), alike[0])
-            else:
-                leaders.append(d)
-    return best
-
-
-def test_near_duplicates_match_brute_force_over_several_rounds(spark):
+def lowest_alike(texts: dict[int, str], threshold: float) -> dict[int, int]:
+    def grams(t):
+        w = t.split()
+        return {tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))}
+
+    sets, links = {k: grams(t) for k, t in texts.items()}, {}
+    for b in sorted(texts):
+        for a in sorted(texts):
+            if a < b and len(sets[a] & sets[b]) >= threshold * len(sets[a] | sets[b]):
+                links[b] = a
+                break
+    return links
+
+
+def test_near_duplicates_match_brute_force(spark):
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
     shared, texts = [word() for _ in range(60)], {}
     for family in range(6):
         own = [word() for _ in range(25)]
-        for i in range(6):
+        for i in range(9):
             tail = list(own)
-            if i:
-                tail[-1] = word()
+            for _ in range(i % 4):
+                tail[rng.randrange(25)] = word()
             texts[i * 6 + family] = " ".join(shared + tail)
+    texts |= {100: "", 101: "a", 102: "a b", 103: texts[7], 104: " ".join(texts[8].split()[::-1])}
     df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
-    buckets: dict[str, list[int]] = {}
-    for r in similarity.bucket_keys(df, "text", "doc_id").collect():
-        buckets.setdefault(r["bucket"], []).append(r["doc_id"])
-    want = greedy_links(texts, buckets, 0.9)
-    got = {r["doc_id"]: r["duplicate_of"] for r in similarity.near_duplicates(df, threshold=0.9).collect()}
-    assert got == want and len(set(want.values())) > 1
+    for threshold in (0.8, 0.9):
+        want = lowest_alike(texts, threshold) | {103: 7}  # an exact copy links to its own kind
+        got = {r["doc_id"]: r["duplicate_of"] for r in similarity.near_duplicates(df, threshold=threshold).collect()}
+        assert got == want and len(set(want.values())) > 1
+
+
+def test_near_duplicates_take_the_same_jobs_whatever_the_data(spark, monkeypatch):
+    stored = []
+    real = similarity.materialise
+    monkeypatch.setattr(similarity, "materialise", lambda df, path: (stored.append(path), real(df, path))[1])
+
+    def links(texts):
+        stored.clear()
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+        return similarity.near_duplicates(df).count(), len(stored)
+
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    block = " ".join(word() for _ in range(100))
+    unlike = [block + " " + " ".join(word() for _ in range(25)) for _ in range(400)]
+    assert links(unlike) == (0, 5)
+    base = [word() for _ in range(150)]
+    alike = [" ".join([*base[:-2], word(), word()]) for _ in range(1500)]
+    assert links(alike) == (1499, 5)
 
 
 def test_text_similarity(spark):

@@ -44,6 +44,14 @@ def test_changed_files_end_to_end(spark, tmp_path):
     assert len(index) == 3 and index["a.docx"]["category"] == "other" and index["deck.pptx"]["file_type"] == "pptx"
     medallion.rebuild_index(spark, root)
     assert {r["path"] for r in read_index(spark, f"{root}/index", INDEX).collect()} == {r["path"] for r in gold.values()}
+    (src / "late.docx").write_bytes(docx("Late", ["one more file"]))
+    assert medallion.run_changed(spark, str(src), root, limit=3) == 1
+    assert read_index(spark, f"{root}/index", INDEX).count() == medallion.read_gold(spark, root).count() == 4
+    metrics = {(r["run"], r["stage"], r["rule"]): (r["total"], r["failed"]) for r in medallion.read_metrics(spark, root).collect()}
+    assert metrics[(0, "files", "valid_size")] == (4, 0)
+    stages = {(r["run"], r["stage"]): r for r in medallion.read_stages(spark, root).collect()}
+    assert stages[(0, "parsed")]["errors"] == 1 and all(r["ended_at"] >= r["started_at"] for r in stages.values())
+    assert medallion.slowest_stages(spark, root, 3).count() == 3
 
 
 def test_stream_end_to_end(spark, tmp_path):

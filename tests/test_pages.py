@@ -73,3 +73,11 @@ def test_failed_chunks_are_counted_and_null_elements_do_not_null_the_document(sp
 def test_equal_names_in_two_folders_stay_apart(spark):
     df = spark.createDataFrame([("x/a.pdf",), ("y/a.pdf",)], "path string").select(doc_key("path").alias("k"))
     assert df.distinct().count() == 2
+
+
+def test_unknown_and_stale_page_counts_lose_no_text(spark):
+    rows = [(1, "a", "some text here", None), (2, "b", "x" * 5200, 3), (3, "c", "y" * 5300, 8), (4, "d", "z" * 700, 0), (5, "e", "w" * 5000, None)]
+    df = spark.createDataFrame(rows, "doc_id int, path string, text string, page_count int")
+    parsed = parsing.parse_text_documents(df, 4, ["doc_id", "path"])
+    got = {r["doc_id"]: r["t"] for r in parsed.select("doc_id", F.array_join(F.transform(parsed_elements(), lambda e: e["content"]), "").alias("t")).collect()}
+    assert got == {r[0]: r[2] for r in rows}

@@ -172,3 +172,52 @@ def test_append_flows(spark, tmp_path):
     both = spark.read.option("mergeSchema", True).parquet(str(tmp_path / "all"))
     assert {r["source_kind"]: (r["url"], r["sender"]) for r in both.collect()} == {"site": ("site", None), "mail": (None, "mail")}
     assert flows.active_queries(spark) == []
+
+
+def test_append_with_a_new_column(spark):
+    one = spark.createDataFrame([(1,)], "id int")
+    tables.save_table(one, "grow")
+    more = spark.createDataFrame([("x", 2)], "extra string, id int")
+    with pytest.raises(ValueError, match="extra"):
+        tables.save_table(more, "grow", "append")
+    tables.save_table(more, "grow", "append", merge_schema=True)
+    assert sorted(map(tuple, spark.table("grow").collect())) == [(1, None), (2, "x")]
+    tables.save_table(one, "grow", "append")
+    assert spark.table("grow").count() == 3
+
+
+def test_stream_that_starts_again_after_compaction(spark, tmp_path):
+    root, schema = str(tmp_path / "t"), "k int, ts int, v string"
+    write = flows.upsert_batches(root, ["k"], "ts")
+    write(spark.createDataFrame([(1, 5, "a")], schema), 0)
+    write(spark.createDataFrame([(2, 5, "b")], schema), 1)
+    tables.compact(spark, root, ["k"], "ts", schema)
+    write(spark.createDataFrame([(1, 9, "new"), (2, 1, "old")], schema), 0)
+    assert {r["k"]: r["v"] for r in tables.read_current(spark, root, ["k"], "ts", schema).collect()} == {1: "new", 2: "b"}
+
+
+def test_change_below_a_millisecond(spark):
+    rows = spark.createDataFrame([(1, "2024-01-01 00:00:00.123456"), (2, "2024-01-01 00:00:00.5")], "k int, t string")
+    before = rows.select("k", F.col("t").cast("timestamp").alias("t"))
+    after = before.withColumn("t", F.when(F.col("k") == 1, F.lit("2024-01-01 00:00:00.123999").cast("timestamp")).otherwise(F.col("t")))
+    assert [tuple(r) for r in changes.change_feed(before, after, ["k"]).collect()] == [(1, "update")]
+
+
+def test_derived_table_sees_all_rows_of_a_touched_key(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "doc string, pos int, part string")
+    join = lambda df: df.groupBy("doc").agg(F.max("pos").alias("v"), F.concat_ws("", F.sort_array(F.collect_list("part"))).alias("text"))
+    write = flows.upsert_batches(str(tmp_path / "d"), ["doc"], "v", join, rows=rows, by=["doc"])
+    write(rows.filter("pos = 2"), 0)
+    got = tables.read_current(spark, str(tmp_path / "d"), ["doc"], "v", "doc string, v int, text string").collect()
+    assert [tuple(r) for r in got] == [("a", 2, "xy")]
+
+
+def test_overwritten_index_hides_older_batches_at_once(spark, tmp_path):
+    root = str(tmp_path / "i")
+    bulk.publish(docs(spark, ("a", "x", None, 1), ("b", "x", None, 1)), root, 0)
+    bulk.publish(docs(spark, ("a", "y", None, 2)), root, mode="overwrite")
+    # As after a crash before the old batch is removed.
+    bulk.bulk_lines(docs(spark, ("b", "x", None, 1))).write.text(f"{root}/batch={0:020d}-of=0")
+    bulk.publish(docs(spark, ("c", "z", None, 3)), root, 1)
+    got = {r["path"]: r["category"] for r in bulk.read_index(spark, root, SCHEMA).collect()}
+    assert got == {"a": "y", "c": "z"}
