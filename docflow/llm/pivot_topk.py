@@ -199,7 +199,7 @@ class Search:
                         yield flush()
             yield flush()
 
-        return probes.join(chunks.select("cell", "base", "ids", "v"), "cell").select("uids", "vs", "base", "ids", "v").mapInArrow(rows, HITS)
+        return probes.join(chunks.select("cell", "base", "ids", "v").hint("merge"), "cell").select("uids", "vs", "base", "ids", "v").mapInArrow(rows, HITS)
 
     def merged(self, states: DataFrame, hits: DataFrame, cells: int) -> DataFrame:
         found = hits.groupBy("uid").agg(F.flatten(F.collect_list(F.arrays_zip("scores", "ids"))).alias("new"))
