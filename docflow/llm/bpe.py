@@ -24,7 +24,7 @@ WINDOW_CHARS = 256
 # Tokens nearer to a cut than this prove nothing: a special token or a contraction may lie across the cut.
 MARGIN_CHARS = 32
 SAME_TOKENS = 4
-CACHE_RUNS = 250_000
+CACHE_RUNS = 150_000
 SLICE_ROWS = 256
 MARKS = frozenset([b".", b",", b";", b":", b"!", b"?"])
 
@@ -128,8 +128,10 @@ class RunEncoder:
         marked = [r for r in new if r[-1:] in MARKS and r[-2:-1].isalnum()]
         plain = new.difference(marked).union(r[:-1] for r in marked).difference(self.known)
         short = [r for r in plain if len(r) <= self.leaf]
-        for r, e in zip(short, self.tokenizer.encode_batch_fast([r.decode() for r in short], add_special_tokens=False)):
-            self.known[r] = array("I", e.ids).tobytes()
+        # One by one: a batch call would start threads in every worker, beside the tasks that already fill the cores.
+        encode = self.tokenizer.encode
+        for r in short:
+            self.known[r] = array("I", encode(r.decode(), add_special_tokens=False).ids).tobytes()
         for r in plain.difference(short):
             self.known[r] = array("I", tree_encode(self.tokenizer, r.decode(), self.leaf)).tobytes()
         for r in marked:
@@ -142,8 +144,7 @@ class RunEncoder:
 class Decoder:
     """The library's decode for a tokenizer without decoder: token strings joined by one space, unknown ids left out."""
 
-    def __init__(self, path: str):
-        tokenizer = load(path)
+    def __init__(self, tokenizer):
         self.names = {i: s for s, i in tokenizer.get_vocab(with_added_tokens=True).items()}
 
     def decode(self, ids: bytes) -> str:
@@ -163,7 +164,8 @@ def encode_documents(df: DataFrame, text: str = "text", path: str | None = None,
     at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = RunEncoder(path, leaf), Decoder(path)
+        encoder = RunEncoder(path, leaf)
+        decoder = Decoder(encoder.tokenizer)
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)
@@ -181,7 +183,7 @@ def decode_ids(df: DataFrame, ids: str = "ids", path: str | None = None) -> Data
     at = df.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(path)
+        decoder = Decoder(load(path))
         for batch in batches:
             for start in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(start, SLICE_ROWS)

@@ -37,7 +37,7 @@ def test_tree_concatenation_equals_the_library(kind):
 
 
 def test_runs_equal_the_library():
-    tokenizer, encoder, decoder = bpe.load(bpe.default_path()), bpe.RunEncoder(bpe.default_path(), leaf=200), bpe.Decoder(bpe.default_path())
+    tokenizer, encoder, decoder = bpe.load(bpe.default_path()), bpe.RunEncoder(bpe.default_path(), leaf=200), bpe.Decoder(bpe.load(bpe.default_path()))
     texts = ["", " \n\t", "The cat's  hat.\x0b\x0cI'll go\r\n", "a\u00a0b \u0085 \u2003x \x1c y", "e \u0301 e\u0301", "<|endoftext|> x<|startoftext|>y", "x" * 1000 + " " + "ab'" * 300, "İSTANBUL ſ ǅ \ufb01", "\u0301 a", "\0 \ufffd"]
     for text, ids in zip(texts, encoder.encode([t.encode() for t in texts])):
         want = tokenizer.encode(text, add_special_tokens=False).ids
