@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from docflow.functions.rows import token_rows
+
 # Builds one client per Python worker. The client maps a prompt (and file bytes, if asked for) to text.
 ModelFactory = Callable[[], Callable[..., "str | None"]]
 
@@ -130,16 +132,42 @@ def train_label_model(df: DataFrame, text: str = "text", label: str = "label", f
     return Pipeline(stages=stages).fit(df)
 
 
-def embed_text(df: DataFrame, text: str = "text", features: int = 256) -> DataFrame:
-    """Add ``embedding``, an ``array<double>`` of hashed TF-IDF weights."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
-    from pyspark.ml.functions import vector_to_array
+def label_by_words(docs: DataFrame, labelled: DataFrame, text: str = "text", key: str = "doc_id", label: str = "label") -> DataFrame:
+    """``key, label``: multinomial naive Bayes over words, from plain aggregates.
 
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"[^\p{L}]+"),
-        HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=features),
-        IDF(inputCol="_tf", outputCol="_tfidf"),
+    Word counts get one added (Laplace). Words that no labelled text has say nothing; scores are compared at 6 digits,
+    ties go to the smaller label. Counts are combined before each shuffle; only one row per label reaches the driver.
+    """
+    words = token_rows(labelled, text, keep=[label]).groupBy(label, "term").agg(F.count("*").alias("c"))
+    sizes = words.groupBy(label).agg(F.sum("c").alias("n"))
+    classes = labelled.groupBy(label).agg(F.count("*").alias("docs")).join(sizes, label, "left").orderBy(label).collect()
+    known = words.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct(label, "c"))).alias("m"))
+    vocabulary, total = known.count(), sum(r["docs"] for r in classes)
+    counts = token_rows(docs, text, keep=[key]).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    logs = [
+        F.sum(F.col("tf") * F.log((F.coalesce(F.element_at("m", F.lit(r[label])), F.lit(0)) + 1.0) / F.lit(float((r["n"] or 0) + vocabulary)))).alias(f"s{i}")
+        for i, r in enumerate(classes)
     ]
-    fitted = Pipeline(stages=stages).fit(df).transform(df)
-    return fitted.withColumn("embedding", vector_to_array("_tfidf")).drop("_tokens", "_tf", "_tfidf")
+    scored = docs.select(key).distinct().join(counts.join(known, "term").groupBy(key).agg(*logs), key, "left")
+    ranked = [
+        F.struct((-F.round(F.coalesce(f"s{i}", F.lit(0.0)) + F.log(F.lit(r["docs"] / total)), 6)).alias("s"), F.lit(r[label]).alias("l"))
+        for i, r in enumerate(classes)
+    ]
+    return scored.select(key, F.array_min(F.array(*ranked))["l"].alias(label))
+
+
+def embed_text(df: DataFrame, text: str = "text", key: str = "doc_id", features: int = 256) -> DataFrame:
+    """``df`` with ``embedding``, an ``array<double>`` of hashed TF-IDF weights; a text without words has zeros.
+
+    Counts of a document's hash places are combined inside it; the frequencies of the places are ``features`` numbers.
+    """
+    place = F.pmod(F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("bigint"), F.lit(features)).cast("int")
+    tf = token_rows(df, text, keep=[key]).groupBy(key, place.alias("place")).agg(F.count("*").alias("tf"))
+    counted = tf.groupBy("place").agg(F.count_if(F.col("tf") > 0).alias("f"))
+    frequency = counted.agg(F.map_from_entries(F.collect_list(F.struct("place", "f"))).alias("m")).scalar()
+    total = df.agg(F.count("*").alias("n")).scalar()
+    weight = F.col("tf") * F.log((F.lit(1.0) + total) / (F.lit(1.0) + F.element_at(frequency, F.col("place"))))
+    rows = tf.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("place", F.round(weight, 6)))).alias("_w"))
+    places = F.sequence(F.lit(0), F.lit(features - 1))
+    dense = F.transform(places, lambda i: F.coalesce(F.element_at("_w", i.cast("int")), F.lit(0.0)))
+    return df.join(rows, key, "left").withColumn("embedding", dense).drop("_w")

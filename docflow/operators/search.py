@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -188,3 +190,55 @@ def knn_cosine(
         return corpus.sparkSession.createDataFrame([], schema + ", rank int")
     order = W.partitionBy("query_id").orderBy(F.desc("score"), key)
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def plane_signs(dim: int, planes: int) -> list[list[float]]:
+    """Signs of fixed hyperplanes: by the first hexadecimal digit of an MD5."""
+    return [[1.0 if int(hashlib.md5(f"{p}:{d}".encode()).hexdigest()[0], 16) < 8 else -1.0 for d in range(dim)] for p in range(planes)]
+
+
+def dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+
+def plane_buckets(df: DataFrame, vector: str, dim: int, tables: int, bits: int, keep: list[Column]) -> DataFrame:
+    """``keep, table, bucket``: in each table, the sides of its hyperplanes on which the vector lies."""
+    v = F.col(vector).cast("array<double>")
+    signs = plane_signs(dim, tables * bits)
+    buckets = []
+    for t in range(tables):
+        sides = [F.when(dot(v, F.array(*map(F.lit, signs[t * bits + b]))) > 0, 1 << b).otherwise(0) for b in range(bits)]
+        buckets.append(F.struct(F.lit(t).alias("table"), reduce(lambda x, y: x + y, sides).alias("bucket")))
+    return df.select(*keep, F.inline(F.array(*buckets)))
+
+
+def knn_buckets(
+    corpus: DataFrame,
+    queries: DataFrame,
+    query_id: str,
+    query_vector: str,
+    dim: int,
+    key: str = "vec_id",
+    vector: str = "embedding",
+    k: int = 5,
+    tables: int = 8,
+    bits: int = 6,
+) -> DataFrame:
+    """Top ``k`` by cosine among the corpus vectors that share a hyperplane bucket with the query: ``query_id, rank, key,
+    score``. Scores are exact; rows on other sides in all tables are missed, so more tables find more.
+
+    Queries are a frame like any other: nothing is collected. A query never finds the row of its own id.
+    """
+    mine = plane_buckets(queries, query_vector, dim, tables, bits, [F.col(query_id).alias("query_id")])
+    theirs = plane_buckets(corpus, vector, dim, tables, bits, [F.col(key).alias("_key")])
+    pairs = mine.join(theirs, ["table", "bucket"]).filter("query_id <> _key").select("query_id", "_key").distinct()
+
+    def unit(df: DataFrame, of: str, id_: str, name: str, out: str) -> DataFrame:
+        v = F.col(of).cast("array<double>")
+        return df.select(F.col(id_).alias(name), v.alias(out), F.sqrt(dot(v, v)).alias(f"{out}_n"))
+
+    met = pairs.join(unit(queries, query_vector, query_id, "query_id", "_q"), "query_id").join(unit(corpus, vector, key, "_key", "_c"), "_key")
+    score = F.round(F.coalesce(F.try_divide(dot(F.col("_q"), F.col("_c")), F.col("_q_n") * F.col("_c_n")), F.lit(0.0)), 6)
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), key)
+    ranked = met.select("query_id", F.col("_key").alias(key), score.alias("score")).withColumn("rank", F.row_number().over(order))
+    return ranked.filter(F.col("rank") <= k)

@@ -354,6 +354,38 @@ scored AS (
 SELECT query_id, vec_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
 FROM scored QUALIFY rank <= 5"""
 
+ORACLES["knn_buckets"] = """WITH planes AS (
+  SELECT p, d, CASE WHEN md5(p || ':' || d)[1] IN ('0', '1', '2', '3', '4', '5', '6', '7') THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS s
+  FROM range(48) a(p), range(64) b(d)),
+flat AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(64)) AS d FROM embeddings),
+sides AS (SELECT vec_id, p, sum(x * s ORDER BY d) > 0 AS side FROM flat JOIN planes USING (d) GROUP BY vec_id, p),
+buckets AS (SELECT vec_id, p // 6 AS t, sum(CASE WHEN side THEN 1 << (p % 6)::INT ELSE 0 END) AS b FROM sides GROUP BY ALL),
+pairs AS (SELECT DISTINCT q.vec_id AS q, c.vec_id AS c FROM buckets q JOIN buckets c USING (t, b) WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+scored AS (
+  SELECT q AS query_id, c AS vec_id, round(list_cosine_similarity(list_transform(x.embedding, lambda e: e::DOUBLE), list_transform(y.embedding, lambda e: e::DOUBLE)), 6) AS score
+  FROM pairs JOIN embeddings x ON x.vec_id = q JOIN embeddings y ON y.vec_id = c)
+SELECT query_id, vec_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+FROM scored QUALIFY rank <= 5"""
+
+ORACLES["text_embeddings"] = f"""WITH tf AS (
+  SELECT doc_id, CAST(CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 64 AS INTEGER) AS place, count(*) AS tf
+  FROM (SELECT doc_id, unnest({tok("text")}) AS term FROM documents) GROUP BY ALL),
+df AS (SELECT place, count(*) AS f FROM tf GROUP BY place)
+SELECT doc_id, place, round(tf * ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + f)), 6) AS weight FROM tf JOIN df USING (place) WHERE weight <> 0"""
+
+ORACLES["trained_labels"] = f"""WITH terms AS (SELECT doc_id, unnest({tok("text")}) AS term FROM documents),
+counts AS (SELECT quality, term, count(*) AS c FROM terms JOIN labels USING (doc_id) GROUP BY ALL),
+vocabulary AS (SELECT count(DISTINCT term) AS v FROM counts),
+classes AS (SELECT quality, docs, coalesce(n, 0) AS n, docs / sum(docs) OVER () AS prior
+  FROM (SELECT quality, count(*) AS docs FROM labels JOIN documents USING (doc_id) GROUP BY quality) LEFT JOIN (SELECT quality, sum(c) AS n FROM counts GROUP BY quality) USING (quality)),
+known AS (SELECT DISTINCT term FROM counts),
+told AS (SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM known) GROUP BY ALL),
+summed AS (
+  SELECT doc_id, k.quality, sum(tf * ln((coalesce(c, 0) + 1.0::DOUBLE) / (n + v))) AS s
+  FROM told CROSS JOIN classes k CROSS JOIN vocabulary LEFT JOIN counts x ON x.term = told.term AND x.quality = k.quality GROUP BY doc_id, k.quality),
+scored AS (SELECT d.doc_id, k.quality, round(coalesce(s, 0) + ln(prior), 6) AS s FROM documents d CROSS JOIN classes k LEFT JOIN summed t ON t.doc_id = d.doc_id AND t.quality = k.quality)
+SELECT doc_id, quality FROM scored QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, quality) = 1"""
+
 _INDEX = f"""index_rows AS (
   SELECT 'documents' AS _index, md5(path) AS _id, path, regexp_extract(path, '[a-z]+$') AS file_type, label AS category,
          {field("text", FIELD_RULES["title"])} AS title, text AS full_text, n_chars

@@ -12,7 +12,7 @@ from docflow.functions import paths as P
 from docflow.functions import text as T
 from docflow.functions.sql import register_functions
 from docflow.operators import bronze, changes, enrich, flatten, pages, parsing, quality, routing, search, similarity
-from docflow.operators.model import hash_batch, model_enrich, train_label_model
+from docflow.operators.model import embed_text, hash_batch, label_by_words, model_enrich
 from docflow.plans import fixtures as X
 from docflow.plans.medallion import run_chain
 from docflow.session import scratch_path
@@ -349,8 +349,8 @@ def model_enrich_documents(spark, sf):
 @query
 def trained_labels(spark, sf):
     d = X.table(spark, sf, "documents").select("doc_id", "text")
-    labelled = d.join(X.table(spark, sf, "labels"), "doc_id").select("text", F.col("quality").cast("double").alias("label"))
-    return train_label_model(labelled).transform(d).select("doc_id", F.col("prediction").cast("int").alias("quality"))
+    labelled = d.join(X.table(spark, sf, "labels"), "doc_id").select("text", "quality")
+    return label_by_words(d, labelled, label="quality")
 
 
 # ---- similarity and search --------------------------------------------------------------------
@@ -401,6 +401,18 @@ def knn_cosine(spark, sf):
     return search.knn_cosine(v, search.label_centroids(v), "label", "centroid")
 
 
+@query
+def knn_buckets(spark, sf):
+    v = X.table(spark, sf, "embeddings")
+    return search.knn_buckets(v, v.filter("vec_id % 20 = 0"), "vec_id", "embedding", dim=64)
+
+
+@query
+def text_embeddings(spark, sf):
+    e = embed_text(X.table(spark, sf, "documents").select("doc_id", "text"), features=64)
+    return e.select("doc_id", F.posexplode("embedding").alias("place", "weight")).filter("weight <> 0")
+
+
 def _index(spark, sf):
     d = X.documents(spark, sf).select(
         "path",

@@ -123,7 +123,11 @@ def test_train_and_embed(spark):
     df = spark.createDataFrame(rows, "text string, label double")
     fitted = model.train_label_model(df)
     assert fitted.transform(spark.createDataFrame([("fine nice",)], "text string")).first()["prediction"] == 1.0
-    assert len(model.embed_text(df, features=16).first()["embedding"]) == 16
+    with_id = spark.createDataFrame([(1, "a b a"), (2, "c"), (3, None)], "doc_id int, text string")
+    got = {r["doc_id"]: r["embedding"] for r in model.embed_text(with_id, features=16).collect()}
+    assert [len(v) for v in got.values()] == [16] * 3 and sum(x > 0 for x in got[1]) == 2 and not any(got[3])
+    labels = model.label_by_words(with_id, spark.createDataFrame([("a b", 1), ("c d", 0), ("c", 0)], "text string, quality int"), label="quality")
+    assert {r["doc_id"]: r["quality"] for r in labels.collect()} == {1: 1, 2: 0, 3: 0}
 
 
 def test_knn_matches_brute_force_over_blocks(spark, monkeypatch):
