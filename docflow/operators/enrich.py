@@ -153,7 +153,8 @@ def summarize(df: DataFrame, text: str = "text", key: str = "doc_id", max_words:
     )
     # The chosen sentences are cut out of the text again: joining on the key alone needs no further shuffle.
     picked = let(sentences(text), lambda s: F.array_join(F.transform("_pos", lambda p: F.element_at(s, p + 1)), " "))
-    kept = docs.join(chosen, key).select(key, "sentences_kept", "_n", picked.alias("_s"))
+    # A text without any word has no summary but keeps its row.
+    kept = docs.join(chosen, key, "left").select(key, F.coalesce("sentences_kept", F.lit(0)).cast("bigint").alias("sentences_kept"), F.coalesce("_n", F.lit(0)).alias("_n"), picked.alias("_s"))
     cut = F.array_join(F.slice(F.split("_s", " "), 1, max_words), " ")
     return kept.select(
         key,

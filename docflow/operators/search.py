@@ -21,17 +21,32 @@ B = 0.75
 MAX_QUERY_BLOCK = 1024
 
 
-def analyse(text: str | Column, stop_words: list[str] | None = None) -> Column:
-    """Tokens of a text field without stop words."""
+def english_stem(term: Column) -> Column:
+    """The first step of Porter's stemmer: plurals, ``-ed``, ``-ing`` and a last ``y``."""
+    t = F.regexp_replace(F.regexp_replace(term, "(ss|i)es$", "$1"), "([^s])s$", "$1")
+    bare = F.regexp_extract(t, "^(.*[aeiouy].*)(ed|ing)$", 1)
+    last = F.right(bare, F.lit(1))
+    double = (last == F.substring(bare, -2, 1)) & (F.length(bare) > 1) & ~last.isin(*"aeiouylsz")
+    cut = F.when(bare.rlike("(at|bl|iz)$"), F.concat(bare, F.lit("e"))).when(double, F.left(bare, F.length(bare) - 1)).otherwise(bare)
+    t = F.when(t.rlike("eed$"), F.regexp_replace(t, "([aeiouy][^aeiouy].*)eed$", "$1ee")).when(bare != "", cut).otherwise(t)
+    return F.regexp_replace(t, "([aeiouy].*)y$", "$1i")
+
+
+def analyse(text: str | Column, stop_words: list[str] | None = None, stem: bool = False) -> Column:
+    """Tokens of a text field without stop words, as English stems if asked for."""
     stop = STOP_WORDS if stop_words is None else stop_words
-    return F.filter(tokens(text), lambda t: ~t.isin(stop)) if stop else tokens(text)
+    kept = F.filter(tokens(text), lambda t: ~t.isin(stop)) if stop else tokens(text)
+    return F.transform(kept, english_stem) if stem else kept
 
 
-def postings(df: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_id",), stop_words: list[str] | None = None) -> DataFrame:
+def postings(
+    df: DataFrame, text: str = "text", keys: tuple[str, ...] = ("doc_id",), stop_words: list[str] | None = None, stem: bool = False
+) -> DataFrame:
     """``term, keys, tf``. Counts are combined inside each document before the shuffle."""
     stop = STOP_WORDS if stop_words is None else stop_words
     rows = token_rows(df, text, keep=keys)
     rows = rows.filter(~F.col("term").isin(stop)) if stop else rows
+    rows = rows.withColumn("term", english_stem(F.col("term"))) if stem else rows
     return rows.groupBy("term", *keys).agg(F.count("*").alias("tf"))
 
 

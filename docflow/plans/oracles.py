@@ -323,6 +323,17 @@ _POSTS = f"""posts AS (
   FROM (SELECT doc_id, unnest({tok("text")}) AS term FROM documents) WHERE term NOT IN ({words(STOP_WORDS)}) GROUP BY term, doc_id)"""
 ORACLES["inverted_index"] = f"WITH {_POSTS} SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS total_tf FROM posts GROUP BY term"
 
+ORACLES["english_index"] = f"""WITH one AS (
+  SELECT doc_id, regexp_replace(regexp_replace(term, '(ss|i)es$', '\\1'), '([^s])s$', '\\1') AS t
+  FROM (SELECT doc_id, unnest({tok("text")}) AS term FROM documents WHERE lang = 'en') WHERE term NOT IN ({words(STOP_WORDS)})),
+two AS (SELECT doc_id, t, regexp_extract(t, '^(.*[aeiouy].*)(ed|ing)$', 1) AS b FROM one),
+three AS (
+  SELECT doc_id, CASE WHEN suffix(t, 'eed') THEN regexp_replace(t, '([aeiouy][^aeiouy].*)eed$', '\\1ee') WHEN b = '' THEN t
+                      WHEN regexp_matches(b, '(at|bl|iz)$') THEN b || 'e'
+                      WHEN length(b) > 1 AND b[-1] = b[-2] AND NOT regexp_matches(b, '[aeiouylsz]$') THEN b[:-2] ELSE b END AS t FROM two),
+posts AS (SELECT regexp_replace(t, '([aeiouy].*)y$', '\\1i') AS term, doc_id, count(*) AS tf FROM three GROUP BY ALL)
+SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS total_tf FROM posts GROUP BY term"""
+
 _QUERIES = " UNION ALL ".join(f"SELECT {lit(q)} AS query, unnest([{words(ts)}]) AS term" for q, ts in X.QUERIES.items())
 ORACLES["search_bm25"] = f"""WITH en AS (SELECT * FROM documents WHERE lang = 'en'),
 posts AS (

@@ -375,6 +375,12 @@ def inverted_index(spark, sf):
     return search.inverted_index(search.postings(X.table(spark, sf, "documents")))
 
 
+@query
+def english_index(spark, sf):
+    d = X.table(spark, sf, "documents").filter("lang = 'en'")
+    return search.inverted_index(search.postings(d, stem=True))
+
+
 @query
 def search_bm25(spark, sf):
     d = X.table(spark, sf, "documents")

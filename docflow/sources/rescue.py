@@ -1,17 +1,24 @@
-"""JSON records read against a declared schema, with other fields kept in ``_rescued_data``."""
+"""JSON and CSV records read against a declared schema, with other fields kept in ``_rescued_data``."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+
+CORRUPT = "_corrupt_record"
 
 
 def rescued_map(line: str | Column, known: list[str]) -> Column:
-    """Fields of a JSON object that the schema does not have, as ``map<string,string>``; NULL if there are none."""
+    """Fields of a JSON object that the schema does not have, as ``map<string,string>``; NULL if there are none.
+
+    A line that is no JSON is kept whole, under ``CORRUPT``.
+    """
     col = F.col(line) if isinstance(line, str) else line
     extra = F.map_filter(F.from_json(col, "map<string,string>"), lambda k, _: ~k.isin(known))
-    return F.when(F.size(extra) > 0, extra)
+    broken = F.try_parse_json(col).isNull() & (F.trim(col) != "")
+    return F.when(broken, F.create_map(F.lit(CORRUPT), col)).when(F.size(extra) > 0, extra)
 
 
 def with_rescue(df: DataFrame, line: str, schema: StructType) -> DataFrame:
@@ -37,3 +44,18 @@ def read_json_rescued(
     lines = reader.format("text").schema("value string").load(path)
     lines = lines.select("value", F.col("_metadata.file_path").alias("_source_file"))
     return with_rescue(lines, "value", schema)
+
+
+def read_csv_rescued(
+    spark: SparkSession, path: str, schema: StructType, stream: bool = False, max_files_per_trigger: int | None = None
+) -> DataFrame:
+    """CSV with a header against a declared schema; a line that does not fit it, such as one with more fields, is kept
+    whole in ``_rescued_data`` beside the fields that could be read."""
+    reader = spark.readStream if stream else spark.read
+    if stream and max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    reader = reader.option("header", True).option("escape", '"').option("columnNameOfCorruptRecord", CORRUPT)
+    rows = reader.schema(wide).format("csv").load(path)
+    rescued = F.when(F.col(CORRUPT).isNotNull(), F.create_map(F.lit(CORRUPT), F.col(CORRUPT)))
+    return rows.select(*schema.names, rescued.alias("_rescued_data"), F.col("_metadata.file_path").alias("_source_file"))

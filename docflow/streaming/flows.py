@@ -10,10 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docflow.operators.bronze import bronze_events, event_schema
 from docflow.operators.changes import changed_documents, latest_version
-from docflow.sinks.tables import last_batch, read_current, write_changes
+from docflow.session import scratch_path
+from docflow.sinks.tables import last_batch, materialise, read_current, write_changes
 from docflow.sources.files import literal_path, read_files
 from docflow.sources.load_log import list_files
-from docflow.sources.rescue import read_json_rescued
+from docflow.sources.rescue import read_csv_rescued, read_json_rescued
 
 Stage = Callable[[DataFrame], DataFrame]
 
@@ -54,8 +55,9 @@ def stream_bronze_events(
     rescue: bool = True,
 ) -> DataFrame:
     """Structured events from files, conditioned and deduplicated by the batch functions."""
-    if format == "json" and rescue:
-        raw = read_json_rescued(spark, source, event_schema(), stream=True, max_files_per_trigger=max_files_per_trigger)
+    rescuers = {"json": read_json_rescued, "csv": read_csv_rescued}
+    if format in rescuers and rescue:
+        raw = rescuers[format](spark, source, event_schema(), stream=True, max_files_per_trigger=max_files_per_trigger)
         return bronze_events(raw, F.col("_source_file"), watermark, checked=event_schema().names)
     raw = read_files(
         spark, source, format=format, schema=event_schema(), stream=True, recursive=False, max_files_per_trigger=max_files_per_trigger
@@ -101,24 +103,33 @@ TRACKING_SCHEMA = "path string, last_processed timestamp"
 
 
 def process_changed_files(
-    spark: SparkSession, source: str, tracking: str, work: Callable[[DataFrame, int], None], pattern: str | None = None
+    spark: SparkSession,
+    source: str,
+    tracking: str,
+    work: Callable[[DataFrame, int], None],
+    pattern: str | None = None,
+    group_files: int = 10_000,
 ) -> int:
     """Process files that are new or were modified since the last run; returns their number.
 
-    ``work`` gets the changed files with content and a run number to write under. Tracking is written last: a run
-    that breaks off is repeated with the same number.
+    The changed paths are listed once into the shared folder and worked through in groups of about ``group_files`` by a
+    hash of the path, so that only one group's paths are on the driver at a time. Each group is a run of its own:
+    ``work`` gets its files with content and a run number to write under, and tracking is written last. A run that breaks
+    off is repeated with the same number; groups before it are done.
     """
-    run = 1 + last_batch(spark, tracking)
     before = read_current(spark, tracking, ["path"], "last_processed", TRACKING_SCHEMA)
-    changed = changed_documents(list_files(spark, source, pattern), before)
-    # Paths only: Spark's own file index holds the listing on the driver as well. Contents stay in the tasks.
-    paths = [r["path"] for r in changed.select("path").toLocalIterator()]
-    if not paths:
-        return 0
-    files = spark.read.format("binaryFile").load([literal_path(p) for p in paths])
-    work(files, run)
-    write_changes(changed.select("path", F.col("modificationTime").alias("last_processed")), tracking, run)
-    return len(paths)
+    listed = changed_documents(list_files(spark, source, pattern), before)
+    changed = materialise(listed.select("path", F.col("modificationTime").alias("last_processed")), scratch_path(spark, "changed-files"))
+    total = changed.count()
+    groups = max(1, -(-total // group_files))
+    for g in range(groups if total else 0):
+        mine = changed.filter(F.pmod(F.xxhash64("path"), F.lit(groups)) == g)
+        paths = [r["path"] for r in mine.select("path").toLocalIterator()]
+        if paths:
+            run = 1 + last_batch(spark, tracking)
+            work(spark.read.format("binaryFile").load([literal_path(p) for p in paths]), run)
+            write_changes(mine, tracking, run)
+    return total
 
 
 def active_queries(spark: SparkSession) -> list[dict]:

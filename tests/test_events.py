@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from docflow.functions.text import column_checksum
 from docflow.operators import bronze
@@ -82,3 +83,17 @@ def test_ingest_columns(spark):
     )
     out = bronze.condition_events(raw, F.lit("f.json"))
     assert out.first()["_source_file"] == "f.json" and out.first()["_ingest_date"] is not None
+
+
+def test_lines_that_do_not_fit_are_rescued(spark, tmp_path):
+    from docflow.sources.rescue import CORRUPT, read_csv_rescued, read_json_rescued
+
+    schema = StructType([StructField("a", StringType()), StructField("b", StringType())])
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "x.json").write_text('{"a":"1","c":"2"}\n{"a":\n{"a":"3","b":"4"}\n')
+    rows = read_json_rescued(spark, str(tmp_path / "j"), schema).collect()
+    assert [(r["a"], r["_rescued_data"]) for r in rows] == [("1", {"c": "2"}), (None, {CORRUPT: '{"a":'}), ("3", None)]
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "x.csv").write_text("a,b\n1,2\n3,4,5\n")
+    rows = read_csv_rescued(spark, str(tmp_path / "c"), schema).collect()
+    assert [(r["a"], r["b"], r["_rescued_data"]) for r in rows] == [("1", "2", None), ("3", "4", {CORRUPT: "3,4,5"})]

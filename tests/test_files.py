@@ -232,3 +232,33 @@ def test_html_text_after_breaks_and_outside_blocks(spark):
     html = "<p>line one<br>line two</p><div>loose text</div><blockquote>quoted</blockquote><p>last</p>tail"
     got = spark.createDataFrame([(html,)], "h string").select(E.html_elements("h").alias("e")).first()["e"]
     assert [e["content"] for e in got if e["content"]] == ["line one", "line two", "loose text", "quoted", "last", "tail"]
+
+
+def test_changed_files_are_worked_through_in_groups(spark, tmp_path):
+    src, tracking = tmp_path / "in", str(tmp_path / "tracking")
+    src.mkdir()
+    for i in range(9):
+        (src / f"f{i}.txt").write_text(str(i))
+    seen: list[tuple[int, list[str]]] = []
+
+    def work(df, run):
+        seen.append((run, sorted(os.path.basename(r["path"]) for r in df.collect())))
+        if len(seen) == 2:
+            raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        flows.process_changed_files(spark, str(src), tracking, work, group_files=3)
+    assert flows.process_changed_files(spark, str(src), tracking, work, group_files=3) == 9 - len(seen[0][1])
+    assert seen[2][0] == seen[1][0] == 1
+    assert sorted(f for run, fs in [seen[0], *seen[2:]] for f in fs) == [f"f{i}.txt" for i in range(9)]
+    assert max(len(fs) for _, fs in seen) < 9
+    assert flows.process_changed_files(spark, str(src), tracking, work) == 0
+
+
+def test_page_count_follows_the_last_page_tree():
+    page = b"%d 0 obj <</Type /Page>> endobj\n"
+    first = b"%PDF-1.4\n1 0 obj <</Type /Catalog /Pages 2 0 R>> endobj\n2 0 obj <</Type /Pages /Count 2>> endobj\n" + page % 3 + page % 4
+    saved = first + b"trailer <</Root 1 0 R>>\n%%EOF\n"
+    again = saved + b"2 0 obj <</Type /Pages /Count 1>> endobj\n" + page % 3 + b"trailer <</Root 1 0 R>>\n%%EOF\n"
+    assert count_pages(saved) == 2 and count_pages(again) == 1
+    assert count_pages(b"%PDF-1.4\n" + page % 3 + b"%%EOF") == 1
