@@ -73,7 +73,7 @@ def systematic_copies(
     rows are separate rows. The same rows give the same copies at each run, except that rows alike in key, source and size
     may swap theirs.
     """
-    names = {n: free_name(df, n) for n in ("_size", "_source", "_null", "_bucket", "_rank", "mix")}
+    names = {n: free_name(df, n) for n in ("_size", "_source", "_null", "_bucket", "_rank", "_plan", "mix")}
     s, src, null, bucket, rank = (F.col(names[n]) for n in ("_size", "_source", "_null", "_bucket", "_rank"))
     buckets = max(1, -(-df.count() // BUCKET_ROWS))
     dealt = _hex_number(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))), 8)
@@ -96,17 +96,18 @@ def systematic_copies(
     plan = counts.join(targets, "_source").select(
         F.col("_source").alias(names["_source"]),
         F.col("_bucket").alias(names["_bucket"]),
-        F.struct(start.alias("start"), offset.alias("offset"), "source_size", "target").alias("_plan"),
+        F.struct(start.alias("start"), offset.alias("offset"), "source_size", "target").alias(names["_plan"]),
     )
     inside = Window.partitionBy(names["_source"], names["_bucket"]).orderBy(s, F.col(key))
     ranked = rows.withColumn(names["_rank"], F.row_number().over(inside)).join(plan, [names["_source"], names["_bucket"]])
-    rate = F.coalesce(F.try_divide(F.col("_plan.target"), F.col("_plan.source_size")), F.lit(0.0))
-    upto = F.col("_plan.start") + rank
-    crossed = F.floor(upto * rate + F.col("_plan.offset")) - F.floor((upto - 1) * rate + F.col("_plan.offset"))
+    p = F.col(names["_plan"])
+    rate = F.coalesce(F.try_divide(p["target"], p["source_size"]), F.lit(0.0))
+    upto = p["start"] + rank
+    crossed = F.floor(upto * rate + p["offset"]) - F.floor((upto - 1) * rate + p["offset"])
     mix = F.struct(
         s.alias("size"),
-        F.col("_plan.source_size").alias("source_size"),
-        F.col("_plan.target").alias("target"),
+        p["source_size"].alias("source_size"),
+        p["target"].alias("target"),
         F.least(crossed, F.lit(max_copies)).cast("long").alias("copies"),
     )
     return ranked.select(*[F.col(f"`{c}`") for c in df.columns], mix.alias(names["mix"]))
