@@ -476,7 +476,7 @@ def test_pipeline_equals_its_stages_in_plain_python(spark, docs, odd, empty, tmp
             if n >= 10 and 100 * rep <= 20 * n and 10 * symbols <= 3 * n and not (lines >= 4 and 2 * dup > lines) and 2 * n <= chars <= 20 * n:
                 rows.append((r["doc_id"], r["text"], r["source"]))
         rows = slow_line_dedup(rows)
-        codes = [slow_fingerprint(t, 5) for _, t, _ in rows]
+        codes = [slow_fingerprint(t) for _, t, _ in rows]
         roots = slow_groups(codes, 2)
         best = {}
         for (i, t, s), c in zip(rows, codes):
