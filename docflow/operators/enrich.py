@@ -170,8 +170,9 @@ def key_topics(df: DataFrame, text: str = "text", key: str = "doc_id", n: int =
     The join on terms meets hot words; the document-frequency side holds one row per term, so a skewed partition
     splits cheaply. The rank limit is applied before the shuffle by document.
     """
-    # Keys are checked here, so that both uses of ``tf`` are the same plan and share one shuffle.
-    tf = token_rows(df.filter(F.col(key).isNotNull()), text, keep=[key]).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    # The same shuffle of texts as in ``summarize``: used together they share it. Terms are counted inside it.
+    docs = df.filter(F.col(key).isNotNull()).select(key, text).repartition(key)
+    tf = token_rows(docs, text, keep=[key]).groupBy(key, "term").agg(F.count("*").alias("tf"))
     # Counting on ``tf`` keeps the column in this branch as well, or the shuffle would not be shared.
     df_ = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     total = df.agg(F.count("*").alias("n"))

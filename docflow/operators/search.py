@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from docflow.functions.lexicon import STOP_WORDS
 from docflow.functions.rows import array_rows, token_rows
 from docflow.functions.text import tokens
+from docflow.session import scratch_path
+from docflow.sinks.tables import materialise
 
 K1 = 1.2
 B = 0.75
@@ -126,6 +128,8 @@ def write_postings(
     docs = df.select(key, *keywords, analyse(text, stop_words).alias("_t")).withColumn("len", F.size("_t"))
     docs.select(key, *keywords, "len").write.mode("overwrite").parquet(f"{root}/documents")
     posts = array_rows(docs, "_t", "term", keep=[key, *keywords, "len"]).groupBy("term", key, *keywords, "len").agg(F.count("*").alias("tf"))
+    # Stored first: the ranges are found by a sample, which would tokenise all texts once more.
+    posts = materialise(posts, scratch_path(df.sparkSession, "postings"))
     posts.repartitionByRange("term", key).sortWithinPartitions("term", key).write.mode("overwrite").parquet(f"{root}/postings")
 
 
