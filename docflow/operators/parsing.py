@@ -13,7 +13,7 @@ from docflow.functions import elements as E
 from docflow.functions.paths import extension, file_name
 from docflow.functions.rows import array_rows
 from docflow.operators.office import parse_office
-from docflow.operators.pages import PAGE_LIMIT, explode_page_ranges, route_by_page_count
+from docflow.operators.pages import PAGE_LIMIT, chunk_page_ranges, explode_page_ranges, route_by_page_count
 
 SCHEMA_VERSION = "2.0"
 PAGE = "struct<pageId:int,imageUri:string>"
@@ -203,12 +203,18 @@ def parse_documents(
     """
     custom = {**{ext: parse_office for ext in _OFFICE}, **(parsers or {})}
     ext = extension(path)
-    is_custom, is_markup, is_plain = ext.isin(list(custom)), ext.isin(_MARKUP), ext.isin(_PLAIN)
-    text = F.try_validate_utf8(F.col(content))
-    ranges = F.col(page_range) if page_range else F.lit(None).cast("string")
+    ranges = F.array(F.col(page_range) if page_range else F.lit(None).cast("string"))
     # One scan for all types: rows of other types reach the Python worker as NULL.
-    called = _call_parser(custom)(F.when(is_custom, F.col(content)), ext, ranges)
-    rows = df.withColumn("_r", F.from_json(called, _RESULT))
+    called = _call_parser(custom)(F.when(ext.isin(list(custom)), F.col(content)), ext, ranges)
+    return _assembled(df.withColumn("_one", F.get(called, F.lit(0))), list(custom), content, path)
+
+
+def _assembled(rows: DataFrame, custom: list[str], content: str, path: str) -> DataFrame:
+    """``parsed`` from the parser's answer in ``_one``, or from the bytes of markup and plain text; both are dropped."""
+    ext = extension(path)
+    is_custom, is_markup, is_plain = ext.isin(custom), ext.isin(_MARKUP), ext.isin(_PLAIN)
+    text = F.try_validate_utf8(F.col(content))
+    rows = rows.withColumn("_r", F.from_json("_one", _RESULT))
     no_elements, no_pages = F.array().cast(E.ELEMENTS), F.array().cast(f"array<{PAGE}>")
     elements = (
         F.when(is_custom, F.col("_r.elements"))
@@ -222,35 +228,45 @@ def parse_documents(
         .when(~(is_markup | is_plain), F.concat(F.lit("no parser for ."), ext))
     )
     parsed = parsed_variant(F.coalesce(elements, no_elements), F.coalesce(pages, no_pages), error, file_name(path))
-    return rows.withColumn("parsed", parsed).drop("_r", content)
+    return rows.withColumn("parsed", parsed).drop("_r", "_one", content)
 
 
 _RESULT = f"struct<elements:{E.ELEMENTS},pages:array<{PAGE}>,error_status:string>"
 
 
 def _call_parser(parsers: dict[str, Parser]):
-    @F.pandas_udf("string")
+    @F.pandas_udf("array<string>")
     def run(data: pd.Series, exts: pd.Series, ranges: pd.Series) -> pd.Series:
         def one(content, ext, page_range):
-            if content is None:
-                return None
             try:
-                return json.dumps({**parsers[ext](bytes(content), page_range), "error_status": None})
+                return json.dumps({**parsers[ext](content, page_range), "error_status": None})
             except Exception as err:
                 return json.dumps({"elements": [], "pages": [], "error_status": f"{type(err).__name__}: {err}"})
 
-        return pd.Series([one(*row) for row in zip(data, exts, ranges)], dtype=object)
+        def each(content, ext, asked):
+            return None if content is None else [one(bytes(content), ext, r) for r in asked]
+
+        return pd.Series([each(*row) for row in zip(data, exts, ranges)], dtype=object)
 
     return run
 
 
-def parse_long_files(df: DataFrame, keys: list[str], size: int = PAGE_LIMIT, spread: bool = False, **kwargs) -> DataFrame:
+def parse_long_files(
+    df: DataFrame, keys: list[str], size: int = PAGE_LIMIT, spread: bool = False, content: str = "content", path: str = "path", parsers: dict[str, Parser] | None = None
+) -> DataFrame:
     """Parse long files by page range and merge.
 
-    Ranges of a file are parsed where the file was read, so its bytes are not shuffled. ``spread`` sends every range
-    to its own task instead, for parsers that cost more than moving the file.
+    A file goes to its parser once, with the list of its ranges, where it was read: its bytes are neither copied nor
+    shuffled. ``spread`` sends every range to its own task instead, for parsers that cost more than moving the file.
     """
-    chunks = explode_page_ranges(df, size)
     if spread:
-        chunks = chunks.repartition("path", "chunk_idx")
-    return merge_chunks(parse_documents(chunks, page_range="page_range", **kwargs), keys)
+        chunks = explode_page_ranges(df, size).repartition(path, "chunk_idx")
+        return merge_chunks(parse_documents(chunks, content, path, page_range="page_range", parsers=parsers), keys)
+    custom = {**{ext: parse_office for ext in _OFFICE}, **(parsers or {})}
+    is_custom = extension(path).isin(list(custom))
+    called = _call_parser(custom)(F.when(is_custom, F.col(content)), extension(path), chunk_page_ranges("page_count", size))
+    # Markup and plain text have no ranges: one row with the whole text.
+    rest = [c for c in df.columns if c != content]
+    rows = df.select(*rest, F.when(~is_custom, F.col(content)).alias(content), called.alias("_all"))
+    rows = rows.select(*rest, content, F.posexplode_outer("_all").alias("chunk_idx", "_one")).withColumn("chunk_idx", F.coalesce("chunk_idx", F.lit(0)))
+    return merge_chunks(_assembled(rows, list(custom), content, path), keys)
