@@ -534,3 +534,12 @@ def slow_line_dedup(rows):
         if not gone or words(text):
             out.append((i, text, s))
     return out
+
+
+def test_stages_keep_the_columns_they_are_given(spark, odd, empty):
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, clash(odd), "")
+        assert out.columns == odd.columns + CLASH, name
+        assert 0 < out.count() <= 3 * odd.count()
+        assert stage(spark, clash(empty), "").count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, clash(odd), "").count() == odd.count()
