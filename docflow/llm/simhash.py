@@ -151,9 +151,10 @@ def drop_near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id",
     """
     codes = simhash_groups(df, text, key, **options)
     mine, hashed = free_name(df, "_group_key"), free_name(df, "_group_text")
-    first = F.min(F.struct(F.col(key).isNull().alias("n"), F.col(key).alias(mine), F.col("text_hash").alias(hashed)))
-    chosen = codes.groupBy("root").agg(first.alias("f")).select(f"f.{mine}", f"f.{hashed}").distinct()
-    rows = df.withColumn(hashed, F.xxhash64(F.col(text))).alias("d")
-    same = F.col(f"d.`{key}`").eqNullSafe(F.col(f"c.{mine}")) & (F.col(f"d.{hashed}") == F.col(f"c.{hashed}"))
-    kept = rows.join(chosen.alias("c"), same, "left_semi")
-    return kept.dropDuplicates([key, hashed]).select(*[F.col(f"`{c}`") for c in df.columns])
+    # A key that is never NULL: the join and the choice among repeated rows then share one shuffle.
+    named = F.concat(F.when(F.col(key).isNull(), "n").otherwise("k"), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    first = F.min(F.struct(F.col(key).isNull().alias("n"), F.col(key).alias("k"), F.col("text_hash").alias("t"), named.alias("name")))
+    chosen = codes.groupBy("root").agg(first.alias("f")).select(F.col("f.name").alias(mine), F.col("f.t").alias(hashed)).distinct()
+    rows = df.withColumn(mine, named).withColumn(hashed, F.xxhash64(F.col(text)))
+    kept = rows.join(chosen, [mine, hashed], "left_semi").dropDuplicates([mine, hashed])
+    return kept.select(*[F.col(f"`{c}`") for c in df.columns])
