@@ -196,8 +196,9 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     found = rows.select(F.xxhash64(F.lit(42), F.col(key)).alias("k"), "_y", "text", *[f"f{i}" for i in range(len(fields))])
     sample = found.mapInPandas(count, "k bigint, y int, where array<int>, counts array<int>, meta array<int>").toPandas()
     sample = sample.sort_values("k", kind="stable").drop_duplicates("k")
-    texts = [(np.asarray(w, int), np.asarray(c, float)) for w, c in zip(sample["where"], sample["counts"])]
-    metas = [(np.asarray(m, int), np.ones(len(m))) for m in sample["meta"]]
+    # Small types: all counted features of the sample are held at once.
+    texts = [(np.asarray(w, np.int32), np.asarray(c, np.float32)) for w, c in zip(sample.pop("where"), sample.pop("counts"))]
+    metas = [(np.asarray(m, np.int32), np.ones(len(m), np.float32)) for m in sample.pop("meta")]
     y = sample["y"].to_numpy(int) if len(sample) else np.zeros(0, int)
     held = np.array([i % HELD_OUT == 0 for i in range(len(y))], dtype=bool)
     return cotrain(texts, metas, y, held)
