@@ -201,6 +201,11 @@ SELECT ext, CASE ext WHEN 'pdf' THEN 'full_parse' WHEN 'pptx' THEN 'slide_images
        count(*) AS n
 FROM (SELECT regexp_extract(path, '[a-z]+$') AS ext FROM docs) GROUP BY ext"""
 
+ORACLES["parse_by_file_type"] = f"""WITH {DOCS}, typed AS (SELECT *, regexp_extract(path, '[a-z]+$') AS ext FROM docs)
+SELECT doc_id, CASE ext WHEN 'pdf' THEN 'full_parse' WHEN 'pptx' THEN 'slide_images' ELSE 'text_only' END AS route,
+       CAST(CASE ext WHEN 'pdf' THEN page_count WHEN 'pptx' THEN len(string_split(text, chr(10))) ELSE 1 END AS INTEGER) AS elements,
+       CAST(CASE ext WHEN 'pptx' THEN length(replace(text, chr(10), '')) ELSE length(text) END AS INTEGER) AS chars FROM typed"""
+
 ORACLES["page_chunks"] = f"""WITH {DOCS}, firsts AS (
   SELECT doc_id, page_count, CAST(unnest(range(CAST(ceil(page_count / 10) AS BIGINT))) AS INTEGER) AS chunk_idx FROM docs)
 SELECT doc_id, chunk_idx, (chunk_idx * 10 + 1) || '-' || least(chunk_idx * 10 + 10, page_count) AS page_range FROM firsts"""

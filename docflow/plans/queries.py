@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docflow.functions import elements as E
@@ -121,6 +121,24 @@ def route_by_file_type(spark, sf):
     return routing.route_counts(routing.route_by_file_type(X.documents(spark, sf).select("path")), "ext", "route")
 
 
+@query
+def parse_by_file_type(spark, sf):
+    """Pages of PDFs, lines of slides, the text of other documents as one element."""
+
+    def by(elements: Callable[[], Column]) -> Callable[[DataFrame], DataFrame]:
+        return lambda d: d.select("doc_id", "route", elements().alias("e"))
+
+    whole = lambda: F.array(E.element(F.lit("text"), F.col("text"), F.lit(0)))
+    strategies = {
+        "full_parse": by(lambda: E.page_elements("text", F.lit(1), F.col("page_count"))),
+        "slide_images": by(lambda: E.line_elements("text")),
+        "text_only": by(whole),
+    }
+    done = routing.process_by_route(routing.route_by_file_type(X.documents(spark, sf)), strategies)
+    chars = F.aggregate("e", F.lit(0), lambda a, x: a + F.length(x["content"]))
+    return done.select("doc_id", "route", F.size("e").alias("elements"), chars.alias("chars"))
+
+
 @query
 def page_chunks(spark, sf):
     d = X.documents(spark, sf).select("doc_id", "page_count")

@@ -17,20 +17,28 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite", merge_schema:
 
     A column that the table does not have is refused on append; with ``merge_schema`` it is added to the table first.
     """
-    spark = df.sparkSession
-    if mode == "append" and spark.catalog.tableExists(name):
-        known = {c.lower() for c in spark.table(name).columns}
-        new = [f for f in df.schema.fields if f.name.lower() not in known]
-        if new and not merge_schema:
-            raise ValueError(f"new columns {[f.name for f in new]}; use merge_schema")
-        if new:
-            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
-        have = {c.lower() for c in df.columns}
-        table = spark.table(name).schema.fields
-        df = df.select(*[F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name) for f in table])
+    if mode == "append" and df.sparkSession.catalog.tableExists(name):
+        df = fit_to_table(df, name, merge_schema)
     df.write.mode(mode).saveAsTable(name)
 
 
+def fit_to_table(df: DataFrame, name: str, merge_schema: bool = False) -> DataFrame:
+    """``df`` with the columns of an existing table, in its order; missing ones are NULL. Batch or stream.
+
+    New columns are added to the table with ``merge_schema`` and refused without.
+    """
+    spark = df.sparkSession
+    known = {c.lower() for c in spark.table(name).columns}
+    new = [f for f in df.schema.fields if f.name.lower() not in known]
+    if new and not merge_schema:
+        raise ValueError(f"new columns {[f.name for f in new]}; use merge_schema")
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+    have = {c.lower() for c in df.columns}
+    fields = spark.table(name).schema.fields
+    return df.select(*[F.col(f"`{f.name}`") if f.name.lower() in have else F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
 def create_or_replace_as(spark: SparkSession, name: str, query: str) -> None:
     """Create or replace a table from a SQL query."""
     save_table(spark.sql(query), name)

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from docflow.operators.bronze import bronze_events, event_schema
 from docflow.operators.changes import changed_documents, latest_version
 from docflow.session import scratch_path
-from docflow.sinks.tables import last_batch, materialise, read_current, write_changes
+from docflow.sinks.tables import fit_to_table, last_batch, materialise, read_current, write_changes
 from docflow.sources.files import literal_path, read_files
 from docflow.sources.load_log import list_files
 from docflow.sources.rescue import read_csv_rescued, read_json_rescued
@@ -30,8 +30,15 @@ def write_stream(
     table: str | None = None,
     interval: str | None = None,
     name: str | None = None,
+    merge_schema: bool = False,
 ) -> StreamingQuery:
-    """Append a stream to a parquet folder or table. Runs over what is available, or at an interval."""
+    """Append a stream to a parquet folder or table. Runs over what is available, or at an interval.
+
+    A stream with columns that the table does not have is refused; with ``merge_schema`` they are added first. In a folder,
+    files with new columns stand beside the others: read it with ``mergeSchema``.
+    """
+    if table and df.sparkSession.catalog.tableExists(table):
+        df = fit_to_table(df, table, merge_schema)
     writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     writer = writer.trigger(**_trigger(True, interval))
     if name:

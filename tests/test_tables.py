@@ -221,3 +221,25 @@ def test_overwritten_index_hides_older_batches_at_once(spark, tmp_path):
     bulk.publish(docs(spark, ("c", "z", None, 3)), root, 1)
     got = {r["path"]: r["category"] for r in bulk.read_index(spark, root, SCHEMA).collect()}
     assert got == {"a": "y", "c": "z"}
+
+
+def test_stream_with_a_new_column(spark, tmp_path):
+    src, cp = str(tmp_path / "src"), str(tmp_path / "cp")
+    stream = lambda schema: flows.stream_table(spark, src, lambda df: df, schema)
+    spark.createDataFrame([(1,)], "id int").write.parquet(src)
+    flows.write_stream(stream("id int"), cp, table="grown").awaitTermination()
+    spark.createDataFrame([(2, "x")], "id int, extra string").write.mode("append").parquet(src)
+    with pytest.raises(ValueError, match="extra"):
+        flows.write_stream(stream("id int, extra string"), cp, table="grown")
+    flows.write_stream(stream("id int, extra string"), cp, table="grown", merge_schema=True).awaitTermination()
+    assert sorted(map(tuple, spark.table("grown").collect())) == [(1, None), (2, "x")]
+
+
+def test_routes_without_a_strategy_are_refused(spark):
+    from docflow.operators import routing
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, route string")
+    work = {"a": lambda d: d.withColumn("x", F.lit(1)), "b": lambda d: d.withColumn("y", F.lit(2))}
+    assert sorted(map(tuple, routing.process_by_route(df, work).select("id", "x", "y").collect())) == [(1, 1, None), (2, None, 2)]
+    with pytest.raises(Exception, match="no strategy for route b"):
+        routing.process_by_route(df, {"a": work["a"]}).collect()
