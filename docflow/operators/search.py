@@ -20,7 +20,8 @@ from docflow.sinks.tables import materialise
 
 K1 = 1.2
 B = 0.75
-MAX_QUERY_BLOCK = 1024
+QUERY_BLOCK = 512
+MAX_QUERIES = 10_000
 
 
 def english_stem(term: Column) -> Column:
@@ -184,24 +185,28 @@ def _nearest(ids: list, matrix: np.ndarray, key: str, vector: str, k: int):
 
 
 def knn_cosine(
-    corpus: DataFrame, queries: DataFrame, query_id: str, query_vector: str, key: str = "vec_id", vector: str = "embedding", k: int = 5
+    corpus: DataFrame,
+    queries: DataFrame,
+    query_id: str,
+    query_vector: str,
+    key: str = "vec_id",
+    vector: str = "embedding",
+    k: int = 5,
+    max_queries: int = MAX_QUERIES,
 ) -> DataFrame:
     """Exact top ``k`` corpus vectors per query by cosine: ``query_id, rank, key, score``.
 
-    Queries are taken in blocks of at most ``MAX_QUERY_BLOCK`` vectors, each block one matrix product per Arrow
+    For few queries, such as centroids or a user's questions: more than ``max_queries`` are refused, and ``knn_buckets``
+    takes any number. They go to the workers in blocks of ``QUERY_BLOCK`` vectors, each block one matrix product per Arrow
     batch of the corpus. Only the best k of a batch leave the task; corpus vectors are never shuffled.
     """
-    n = queries.count()
-    blocks = max(1, -(-n // (MAX_QUERY_BLOCK // 2)))
-    spread = queries.select(F.col(query_id).alias("q"), F.col(query_vector).alias("v"), F.pmod(F.xxhash64(query_id), F.lit(blocks)).alias("b"))
+    asked = queries.select(F.col(query_id).alias("q"), F.col(query_vector).alias("v")).limit(max_queries + 1).collect()
+    if len(asked) > max_queries:
+        raise ValueError(f"more than {max_queries} queries; use knn_buckets")
     schema = f"query_id {queries.schema[query_id].dataType.simpleString()}, {key} {corpus.schema[key].dataType.simpleString()}, score double"
     found: DataFrame | None = None
-    for b in range(blocks):
-        part = spread.filter(F.col("b") == b).limit(MAX_QUERY_BLOCK + 1).collect()
-        if len(part) > MAX_QUERY_BLOCK:
-            raise ValueError("query block above its size bound; query ids must be distinct")
-        if not part:
-            continue
+    for at in range(0, len(asked), QUERY_BLOCK):
+        part = asked[at : at + QUERY_BLOCK]
         matrix = np.array([r["v"] for r in part], dtype=np.float64)
         one = corpus.select(key, vector).mapInPandas(_nearest([r["q"] for r in part], matrix, key, vector, k), schema)
         found = one if found is None else found.unionByName(one)

@@ -131,7 +131,7 @@ def test_train_and_embed(spark):
 
 
 def test_knn_matches_brute_force_over_blocks(spark, monkeypatch):
-    monkeypatch.setattr(search, "MAX_QUERY_BLOCK", 8)
+    monkeypatch.setattr(search, "QUERY_BLOCK", 4)
     rng = np.random.default_rng(3)
     data, asked = rng.normal(size=(200, 6)), rng.normal(size=(11, 6))
     corpus = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id bigint, embedding array<double>").repartition(5)
