@@ -22,6 +22,11 @@ K1 = 1.2
 B = 0.75
 QUERY_BLOCK = 512
 MAX_QUERIES = 10_000
+PIVOT_SAMPLE = 4096  # rows that place the pivots; results are exact with any pivots
+PIVOTS = 32
+RINGS = 64
+CHUNK_ROWS = 1024
+QUERY_ROWS = 1024
 
 
 def english_stem(term: Column) -> Column:
@@ -248,10 +253,14 @@ def knn_buckets(
     tables: int = 8,
     bits: int = 6,
 ) -> DataFrame:
-    """Top ``k`` by cosine among the corpus vectors that share a hyperplane bucket with the query: ``query_id, rank, key,
-    score``. Scores are exact; rows on other sides in all tables are missed, so more tables find more.
+    """Exact top ``k`` corpus vectors per query by cosine: ``query_id, rank, key, score``.
+
+    The corpus vectors that share a hyperplane bucket with a query give it a bound: its k-th score so far. Rows are kept
+    by nearest pivot and angle to it; by the triangle inequality a query needs only the rings that can hold a better row,
+    and those are compared as matrix products. Without a bound it visits all.
 
-    Queries are a frame like any other: nothing is collected. A query never finds the row of its own id.
+    Queries are a frame like any other: only the sample that places the pivots and the list of at most ``PIVOTS * RINGS``
+    rings are collected. A query never finds the row of its own id. Shorter vectors count as filled up with zeros.
     """
     mine = plane_buckets(queries, query_vector, dim, tables, bits, [F.col(query_id).alias("query_id")])
     theirs = plane_buckets(corpus, vector, dim, tables, bits, [F.col(key).alias("_key")])
@@ -265,4 +274,69 @@ def knn_buckets(
     score = F.round(F.coalesce(F.try_divide(dot(F.col("_q"), F.col("_c")), F.col("_q_n") * F.col("_c_n")), F.lit(0.0)), 6)
     order = W.partitionBy("query_id").orderBy(F.desc("score"), key)
     ranked = met.select("query_id", F.col("_key").alias(key), score.alias("score")).withColumn("rank", F.row_number().over(order))
-    return ranked.filter(F.col("rank") <= k)
+    bounds = ranked.filter(F.col("rank") == k).select("query_id", F.col("score").alias("bound"))
+
+    root = scratch_path(corpus.sparkSession, "knn")
+    rows = corpus.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("v")).filter("key IS NOT NULL AND v IS NOT NULL")
+    sample = rows.orderBy(F.xxhash64("key", "v"), "key").limit(PIVOT_SAMPLE).collect()
+    pivots = unit_rows([r["v"] for r in sample[:: max(1, len(sample) // PIVOTS)][:PIVOTS]], dim)
+    asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vector).cast("array<double>").alias("v")).filter("query_id IS NOT NULL AND v IS NOT NULL")
+    asked = asked.join(bounds, "query_id", "left")
+    key_type, query_type = rows.schema["key"].dataType.simpleString(), asked.schema["query_id"].dataType.simpleString()
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            m = unit_rows(list(pdf["v"]), dim)
+            angles = np.arccos(np.clip(m @ pivots.T, -1, 1))
+            near = angles.argmin(1) if len(m) else np.zeros(0, int)
+            ring = np.minimum((angles[np.arange(len(m)), near] / np.pi * RINGS).astype(int), RINGS - 1)
+            # A vector without a direction has no angle: all queries visit its cell.
+            cell = np.where((m * m).sum(1) > 0, near * RINGS + ring, -1)
+            yield pd.DataFrame({"key": pdf["key"], "cell": cell.astype("int32"), "u": [x.tobytes() for x in m]})
+
+    placed = materialise(rows.mapInPandas(place, f"key {key_type}, cell int, u binary"), f"{root}/placed")
+    sizes = placed.groupBy("cell").agg(F.count("*").alias("n")).collect()
+    cells = np.array(sorted(r["cell"] for r in sizes), int)
+    parts = max([1, *(-(-r["n"] // CHUNK_ROWS) for r in sizes)])
+    part = F.pmod(F.xxhash64("key"), F.lit(parts)).alias("part")
+    chunks = placed.groupBy("cell", part).agg(F.collect_list(F.struct("key", "u")).alias("rows"))
+
+    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        low_edge, which = (cells % RINGS) * np.pi / RINGS, np.maximum(cells, 0) // RINGS
+        for pdf in batches:
+            m = unit_rows(list(pdf["v"]), dim)
+            angles = np.arccos(np.clip(m @ pivots.T, -1, 1))
+            out = []
+            for q, x, d, bound in zip(pdf["query_id"], m, angles, pdf["bound"]):
+                least = np.maximum(0, np.maximum(low_edge - d[which], d[which] - low_edge - np.pi / RINGS))
+                # Room for the rounding of scores and angles: a visit too many does no harm.
+                go = (cells < 0) | (np.cos(np.minimum(least, np.pi)) >= (-2 if pd.isna(bound) or not x.any() else bound - 1e-5))
+                out += [(q, int(c), x.tobytes()) for c in cells[go]]
+            yield pd.DataFrame(out, columns=["query_id", "cell", "x"])
+
+    block = F.pmod(F.xxhash64("query_id"), F.lit(max(1, -(-asked.count() // QUERY_ROWS)))).alias("block")
+    probes = asked.mapInPandas(probe, f"query_id {query_type}, cell int, x binary").groupBy("cell", block).agg(F.collect_list(F.struct("query_id", "x")).alias("asked"))
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for found, wanted in zip(pdf["rows"], pdf["asked"]):
+                keys, ids = np.array([r["key"] for r in found]), [r["query_id"] for r in wanted]
+                u, x = (np.frombuffer(b"".join(r[c] for r in s)).reshape(len(s), dim) for s, c in ((found, "u"), (wanted, "x")))
+                scores = np.round(x @ u.T, 6) + 0.0
+                for i, q in enumerate(ids):
+                    other = np.flatnonzero(keys != q)
+                    best = other[np.lexsort((keys[other], -scores[i][other]))[:k]]
+                    out += [(q, keys[j], scores[i, j]) for j in best]
+            yield pd.DataFrame(out, columns=["query_id", key, "score"])
+
+    hits = probes.join(chunks, "cell").select("rows", "asked").mapInPandas(compare, f"query_id {query_type}, {key} {key_type}, score double")
+    return hits.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def unit_rows(vectors: list, dim: int) -> np.ndarray:
+    """Matrix of the vectors at length 1; vectors of zeros stay."""
+    m = np.zeros((len(vectors), dim))
+    for line, v in zip(m, vectors):
+        line[: len(v)] = v
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
