@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import bpe, cotraining, line_dedup, mixing, packing, pii, pivot_topk, rule_ledger, simhash, url_trust
+from docflow.llm import bpe, cotraining, line_dedup, mixing, packing, pii, pivot_topk, rule_ledger, simhash, toxicity, url_trust, whitening
 from docflow.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,16 @@ def op10_pii(spark, sf):
     base = F.filter("pii", lambda s: s["kind"].isin("email", "ip", "card", "phone"))
     counts = [pii.count_of(F.col("pii"), k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
     return found.select("doc_id", *counts, F.sha2(pii.span_list(base), 256).alias("base_sha256"), pii.span_list(F.col("pii")).alias("spans"))
+
+
+@query
+def op11_whitening(spark, sf):
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return whitening.component_rows(vectors, whitening.fit(vectors))
+
+
+@query
+def op13_toxicity(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf, "labels"))
+    return toxicity.scored(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "toxicity.*")
