@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docflow.llm import bpe, cotraining, line_dedup, mixing, packing, pii, pivot_topk, rule_ledger, simhash, toxicity, url_trust, whitening
+from docflow.llm import bpe, conversations, cotraining, line_dedup, mixing, packing, pii, pivot_topk, rule_ledger, simhash, toxicity, url_trust, whitening
 from docflow.llm.oracles import ORACLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,11 @@ def op11_whitening(spark, sf):
     return whitening.component_rows(vectors, whitening.fit(vectors))
 
 
+@query
+def op12_conversation_repair(spark, sf):
+    return conversations.repaired(table(spark, sf, "conversations"))[0]
+
+
 @query
 def op13_toxicity(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")

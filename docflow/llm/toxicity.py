@@ -27,7 +27,7 @@ OWN_BYTES = 1024  # of each dictionary alone
 SEGMENT, DMER = 16, 6
 GRAM = 5
 OFTEN = 50  # it stands in one of so many texts at least, so copies of one text teach nothing
-RATIO = 10  # a gram is told as toxic if its share of toxic texts is that many times its share of ordinary ones
+RATIO = 20  # a gram is told as toxic if its share of toxic texts is that many times its share of ordinary ones
 LOW, HIGH = -16, 48  # advantages are counted between these
 QUANTILES = (0.99, 0.999)
 TOP = 8
@@ -137,7 +137,7 @@ def grouped(words: list[bytes], size: int = 16) -> list[bytes]:
     """Samples of some words each, in a fixed random order."""
     words = sorted(words)
     random.Random(42).shuffle(words)
-    return [b" ".join(words[i : i + size]) + b" " for i in range(0, len(words), size)]
+    return [b" " + b" ".join(words[i : i + size]) + b" " for i in range(0, len(words), size)]
 
 
 def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
@@ -186,16 +186,19 @@ def fit_weights(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 6
 
 
 def learn(texts: list[str | None], labels: np.ndarray) -> Model:
-    """Of two texts of a kind, one trains the dictionaries; the other, which they haven't seen, gives thresholds and weights.
+    """Of two texts of a kind, each is measured with dictionaries trained on the other half, which haven't seen it: that gives
+    thresholds and weights. The dictionaries of the model are then trained on both halves.
     With only one kind there is nothing to compare: every score is the share of toxic rows."""
     share = float(labels.mean()) if len(labels) else 0.0
     kinds = {y: [folded(t) for t, z in zip(texts, labels) if z == y] for y in (0, 1)}
     if min(len(kinds[0]), len(kinds[1])) < 4:
         return Model(share=share)
-    ordinary, toxic = dictionaries(kinds[1][::2], kinds[0][::2])
-    model = Model(ordinary, toxic, share=share)
-    old, new = model.compressors()
-    hists = {y: [advantages(t, old, new) for t in kinds[y][1::2]] for y in (0, 1)}
+    hists: dict[int, list[np.ndarray]] = {0: [], 1: []}
+    for half in (0, 1):
+        old, new = (compressor(d).compress for d in dictionaries(kinds[1][half::2], kinds[0][half::2]))
+        for y in (0, 1):
+            hists[y] += [advantages(t, old, new) for t in kinds[y][1 - half :: 2]]
+    model = Model(*dictionaries(kinds[1], kinds[0]), share=share)
     total = np.cumsum(np.sum(hists[0], axis=0))
     model.cuts = tuple(int(LOW + np.searchsorted(total, q * total[-1])) for q in QUANTILES)
     rows = np.array([features(h, model.cuts) for y in (0, 1) for h in hists[y]])
