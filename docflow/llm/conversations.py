@@ -207,9 +207,14 @@ def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(run, names)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Dealt by keys over a fixed number of tasks: rows here are small, but each one takes time."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def pieces(rows: DataFrame) -> DataFrame:
     """One row per conversation and partition that it lies in: its codes, cost matrix, illegal neighbours, outer roles."""
-    lists = rows.groupBy("ck", "part").agg(F.sort_array(F.collect_list(F.struct("at", "code", "copies"))).alias("rows"))
+    lists = spread(rows.select("ck", "part", "at", "code", "copies"), "ck", "part").groupBy("ck", "part").agg(F.sort_array(F.collect_list(F.struct("at", "code", "copies"))).alias("rows"))
 
     def piece(row):
         codes = b"".join(bytes([r["code"]]) + bytes([r["code"] & 3 | GONE]) * (r["copies"] - 1) for r in row["rows"])
@@ -222,7 +227,7 @@ def pieces(rows: DataFrame) -> DataFrame:
 def cost_chain(found: DataFrame) -> DataFrame:
     """``ck, part, ends, closing`` of each piece: costs to go at its end; with the whole cost and illegal neighbours on the first
     piece. A conversation has at most one small matrix per partition here."""
-    lists = found.groupBy("ck").agg(F.sort_array(F.collect_list(F.struct("part", "matrix", "illegal", "first", "last"))).alias("ps"))
+    lists = spread(found, "ck").groupBy("ck").agg(F.sort_array(F.collect_list(F.struct("part", "matrix", "illegal", "first", "last"))).alias("ps"))
 
     def chain(row):
         ps, ends, out = row["ps"], end_costs(), []
@@ -246,7 +251,7 @@ def audits(found: DataFrame, chained: DataFrame) -> DataFrame:
         paths = ranked_paths(row["codes"], row["ends"], row["closing"])
         yield {"ck": row["ck"], "part": row["part"], "paths": [dict(zip(("audit", "given", "last"), p)) for p in paths]}
 
-    paths = stored(mapped(found.join(chained, ["ck", "part"]).select("ck", "part", "codes", "ends", "closing"), ranked, f"ck string, part int, paths {PATHS}"), "turn-paths")
+    paths = stored(mapped(spread(found, "ck", "part").join(spread(chained, "ck", "part").hint("merge"), ["ck", "part"]).select("ck", "part", "codes", "ends", "closing"), ranked, f"ck string, part int, paths {PATHS}"), "turn-paths")
     lists = paths.select("ck", "part", F.transform("paths", lambda p: p["last"]).alias("to")).groupBy("ck").agg(F.sort_array(F.collect_list(F.struct("part", "to"))).alias("ps"))
 
     def entries(row):
@@ -256,7 +261,7 @@ def audits(found: DataFrame, chained: DataFrame) -> DataFrame:
             state = p["to"][state]
 
     taken = F.col("paths")[F.col("state")]
-    return paths.join(mapped(lists, entries, "ck string, part int, state int"), ["ck", "part"]).select("ck", "part", taken["audit"].alias("audit"), taken["given"].alias("given"))
+    return paths.join(mapped(lists, entries, "ck string, part int, state int").hint("merge"), ["ck", "part"]).select("ck", "part", taken["audit"].alias("audit"), taken["given"].alias("given"))
 
 
 def repaired_turns(rows: DataFrame, audited: DataFrame) -> DataFrame:
@@ -271,7 +276,7 @@ def repaired_turns(rows: DataFrame, audited: DataFrame) -> DataFrame:
 
     made = mapped(audited, turns, "ck string, part int, at bigint, sub int, edit string, given string")
     own = rows.select("ck", "part", "at", F.col("role").alias("was"), "text")
-    kept = made.filter("edit <> 'I'").join(own, ["ck", "part", "at"])
+    kept = made.filter("edit <> 'I'").join(own.hint("merge"), ["ck", "part", "at"])
     kept = kept.select("ck", "part", "at", "sub", F.when(F.col("edit") == "K", F.col("was")).otherwise(F.col("given")).alias("role"), "text")
     return kept.unionAll(made.filter("edit = 'I'").select("ck", "part", "at", "sub", F.col("given").alias("role"), F.lit("").alias("text")))
 
@@ -329,7 +334,7 @@ def repaired(df: DataFrame, names: tuple[str, str, str, str] = COLUMNS, damage:
     joined = audited.groupBy("ck").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "audit"))), lambda p: p["audit"]), "").alias("audit"))
     report = all_rows.groupBy("ck").agg(F.min("conv").alias(names[0]))
     for more in (spans, counts, costs, joined, digests(turns)):
-        report = report.join(more, "ck", "left")
+        report = report.join(more.hint("merge"), "ck", "left")
     numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     empty = F.lit(hashlib.sha256(b"").hexdigest())
     return report.select(names[0], *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", empty).alias("repaired_sha256")), turns
