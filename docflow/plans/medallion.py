@@ -70,12 +70,15 @@ def run_stages(
     lexicon: dict | None = None,
     rules: dict | None = None,
     max_bytes: int = bronze.MAX_FILE_BYTES,
+    writer: str = "run",
 ) -> None:
     """All stages for the given files; results are merged into the gold table and published.
 
+    ``writer`` and ``run`` together name the run: a repeated one replaces its folders, batches and records, and runs of
+    several writers on one root stand beside each other.
     Files that are refused, and those that can't be parsed, are kept as quarantine.
     """
-    here = f"{root}/runs/run={run:020d}"
+    here = f"{root}/runs/run={run:020d}" + ("" if writer == "run" else f"-by={writer}")
     spark = files.sparkSession
     times: list[tuple] = []
 
@@ -103,7 +106,7 @@ def run_stages(
         quality.expectation_metrics(parsed, {**quality.PARSED_RULES, "no_error": "try_variant_get(parsed, '$.error_status', 'string') IS NULL"}),
         quality.expectation_metrics(enriched, quality.ENRICHED_RULES),
     ]
-    stamp = {"run": F.lit(run), "recorded_at": F.current_timestamp()}
+    stamp = {"run": F.lit(run), "writer": F.lit(writer), "recorded_at": F.current_timestamp()}
     named = [m.withColumns({"stage": F.lit(s), **stamp}) for s, m in zip(("files", "bronze", "parsed", "enriched"), counts)]
     reduce(DataFrame.unionByName, named).write.mode("overwrite").parquet(f"{here}/metrics")
     # Rows, bytes and errors of each stage from what it stored.
@@ -115,10 +118,10 @@ def run_stages(
     }
     clock = spark.createDataFrame(times, "stage string, started_at timestamp, ended_at timestamp")
     measured = reduce(DataFrame.unionByName, [m.select(F.lit(s).alias("stage"), *[F.coalesce(F.col(c).cast("bigint"), F.lit(0)).alias(c) for c in ("rows", "bytes", "errors")]) for s, m in sizes.items()])
-    clock.join(measured, "stage").withColumn("run", F.lit(run)).write.mode("overwrite").parquet(f"{here}/stages")
+    clock.join(measured, "stage").withColumns({"run": F.lit(run), "writer": F.lit(writer)}).write.mode("overwrite").parquet(f"{here}/stages")
     columns = [c.split()[0] for c in GOLD_SCHEMA.split(", ")]
-    upsert_batches(f"{root}/gold", ["doc_key"], "modificationTime")(enriched.select(*columns), run)
-    bulk.publish(index_rows(enriched, index), f"{root}/index", batch=run)
+    upsert_batches(f"{root}/gold", ["doc_key"], "modificationTime", writer=writer)(enriched.select(*columns), run)
+    bulk.publish(index_rows(enriched, index), f"{root}/index", batch=run, writer=writer)
 
 
 def run_changed(spark: SparkSession, source: str, root: str, pattern: str | None = GLOB, **options) -> int:
@@ -135,7 +138,7 @@ def run_stream(
 ) -> StreamingQuery:
     """Process files as they arrive, one run per micro-batch of at most ``max_files_per_trigger`` files."""
     files = read_files(spark, source, stream=True, glob=pattern, max_files_per_trigger=max_files_per_trigger)
-    return foreach_batch(files, lambda df, batch: run_stages(df, batch, root, **options), f"{root}/checkpoint")
+    return foreach_batch(files, lambda df, batch, writer: run_stages(df, batch, root, writer=writer, **options), f"{root}/checkpoint")
 
 
 def run_chain(
@@ -175,7 +178,7 @@ def read_metrics(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_stages(spark: SparkSession, root: str) -> DataFrame:
-    """``run, stage, started_at, ended_at, rows, bytes, errors`` of all recorded runs."""
+    """``run, writer, stage, started_at, ended_at, rows, bytes, errors`` of all recorded runs."""
     return spark.read.parquet(f"{root}/runs/*/stages")
 
 

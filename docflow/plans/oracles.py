@@ -315,8 +315,8 @@ SELECT doc_id, rep AS duplicate_of, CAST(1.0 AS DOUBLE) AS similarity FROM hashe
 UNION ALL SELECT y, min(x), arg_min(sim, x) FROM alike WHERE sim >= 0.8 GROUP BY y"""
 
 ORACLES["compare_extractions"] = rf"""WITH {HTML},
-a AS (SELECT page_id, {tok("string_agg(content, ' ' ORDER BY pos)")} AS w FROM web WHERE page_id % 10 <> 3 GROUP BY page_id),
-articles AS (SELECT page_id, regexp_extract(html, '(?is)<article\b.*</article>') AS block FROM pages WHERE page_id % 10 <> 7),
+a AS (SELECT page_id, {tok("string_agg(content, ' ' ORDER BY pos)")} AS w FROM web GROUP BY page_id),
+articles AS (SELECT page_id, regexp_extract(html, '(?is)<article\b.*</article>') AS block FROM pages),
 b AS (SELECT page_id, {tok(_PLAIN)} AS w FROM articles),
 sides AS (SELECT page_id, coalesce(a.w, []) AS u, coalesce(b.w, []) AS v FROM a FULL JOIN b USING (page_id))
 SELECT page_id, CAST(len(u) AS INTEGER) AS words_a, CAST(len(v) AS INTEGER) AS words_b,
@@ -370,16 +370,11 @@ scored AS (
 SELECT query_id, vec_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
 FROM scored QUALIFY rank <= 5"""
 
-ORACLES["knn_buckets"] = """WITH planes AS (
-  SELECT p, d, CASE WHEN md5(p || ':' || d)[1] IN ('0', '1', '2', '3', '4', '5', '6', '7') THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS s
-  FROM range(48) a(p), range(64) b(d)),
-flat AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(64)) AS d FROM embeddings),
-sides AS (SELECT vec_id, p, sum(x * s ORDER BY d) > 0 AS side FROM flat JOIN planes USING (d) GROUP BY vec_id, p),
-buckets AS (SELECT vec_id, p // 6 AS t, sum(CASE WHEN side THEN 1 << (p % 6)::INT ELSE 0 END) AS b FROM sides GROUP BY ALL),
-pairs AS (SELECT DISTINCT q.vec_id AS q, c.vec_id AS c FROM buckets q JOIN buckets c USING (t, b) WHERE q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+# Every query against every other row.
+ORACLES["knn_buckets"] = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda e: e::DOUBLE) AS e FROM embeddings),
 scored AS (
-  SELECT q AS query_id, c AS vec_id, round(list_cosine_similarity(list_transform(x.embedding, lambda e: e::DOUBLE), list_transform(y.embedding, lambda e: e::DOUBLE)), 6) AS score
-  FROM pairs JOIN embeddings x ON x.vec_id = q JOIN embeddings y ON y.vec_id = c)
+  SELECT q.vec_id AS query_id, c.vec_id, round(list_cosine_similarity(q.e, c.e), 6) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
 SELECT query_id, vec_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
 FROM scored QUALIFY rank <= 5"""
 

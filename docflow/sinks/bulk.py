@@ -70,16 +70,16 @@ def bulk_lines(docs: DataFrame) -> DataFrame:
     return docs.select(F.concat(action, F.lit("\n"), source).alias("value"))
 
 
-def publish(docs: DataFrame, root: str, batch: int | None = None, mode: str = "append") -> int:
+def publish(docs: DataFrame, root: str, batch: int | None = None, mode: str = "append", writer: str | None = None) -> int:
     """Write a batch of an index folder and return its number.
 
     ``append`` upserts: the reader prefers the newest batch of an id. ``overwrite`` replaces the index by a base folder:
     readers see nothing that is older, so the change is made by the commit of that folder, and what it replaces is removed
-    afterwards. Numbers are the index's own; ``batch`` is the writer's count, which tells a replay of the newest batch.
+    afterwards. Numbers are the index's own; ``writer`` and its count ``batch`` together tell a replay, which replaces itself.
     Documents without an id are refused.
     """
     spark = docs.sparkSession
-    number, name = next_folder(spark, root, "base=" if mode == "overwrite" else "batch=", batch)
+    number, name = next_folder(spark, root, "base=" if mode == "overwrite" else "batch=", batch, writer)
     old = [p for p in committed_parts(spark, root) if not p.endswith(name)]
     checked = docs.withColumn("_id", F.coalesce("_id", F.raise_error(F.lit("document without id")).cast("string")))
     bulk_lines(checked).write.mode("overwrite").text(f"{root}/{name}")
@@ -106,12 +106,12 @@ def read_index(spark: SparkSession, root: str, schema: str) -> DataFrame:
     rows = raw.filter(F.trim("value") != "").select(
         F.get_json_object(F.element_at(lines, 1), "$.index._id").alias("_id"),
         F.from_json(F.element_at(lines, 2), shape).alias("_source"),
-        F.regexp_extract(F.col("_metadata.file_path"), r"(?:batch|base)=([0-9]+)", 1).cast("bigint").alias("_batch"),
+        F.regexp_extract(F.col("_metadata.file_path"), r"(?:batch|base)=([0-9]+[^/]*)/[^/]*$", 1).alias("_batch"),
     )
     if len(parts) == 1:
         return rows.select("_id", "_source.*")
     # Ids that later batches hold too: their older versions go. The first folder, the bulk of an index, only gives rows.
-    later = rows.filter(F.col("_batch") > min(map(_number_of, parts))).groupBy("_id").agg(F.max("_batch").alias("_newest"))
+    later = rows.filter(F.col("_batch") > min(p.rsplit("/", 1)[-1].split("=", 1)[1] for p in parts)).groupBy("_id").agg(F.max("_batch").alias("_newest"))
     kept = rows.join(later, "_id", "left").filter(F.col("_newest").isNull() | (F.col("_batch") == F.col("_newest")))
     return kept.select("_id", "_source.*")
 
@@ -154,10 +154,12 @@ def send_bulk(docs: DataFrame, connect: Callable[[], Transport], size: int = 100
     return sent.groupBy("index").agg(F.sum("ok").alias("ok"), F.sum("errors").alias("errors"))
 
 
-def batch_publisher(root: str, index: str, id_column: Column, mapping: dict[str, str] | None = None):
-    """Callback for ``foreachBatch``: publishes a micro-batch under its batch id, so a replay replaces itself."""
+def batch_publisher(root: str, index: str, id_column: Column, mapping: dict[str, str] | None = None, writer: str | None = None):
+    """Callback for ``foreachBatch``: publishes a micro-batch under its batch id, so a replay replaces itself.
 
-    def write(df: DataFrame, batch_id: int) -> None:
-        publish(index_documents(df, index, id_column, mapping), root, batch=batch_id)
+    ``writer`` names the stream's start; ``foreach_batch`` gives the checkpoint's own name to callbacks that take one."""
+
+    def write(df: DataFrame, batch_id: int, by: str | None = None) -> None:
+        publish(index_documents(df, index, id_column, mapping), root, batch=batch_id, writer=writer or by)
 
     return write

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import inspect
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docflow.operators.bronze import bronze_events, event_schema
 from docflow.operators.changes import changed_documents, latest_version
-from docflow.session import scratch_path
+from docflow.session import hadoop_fs, scratch_path
 from docflow.sinks.tables import fit_to_table, last_batch, materialise, read_current, write_changes
 from docflow.sources.files import literal_path, read_files
 from docflow.sources.load_log import list_files
@@ -46,10 +48,29 @@ def write_stream(
     return writer.toTable(table) if table else writer.start(path)
 
 
+def checkpoint_writer(spark: SparkSession, checkpoint: str) -> str:
+    """Identity of a stream's start: Spark's id of the query, kept in its checkpoint. A restart from the checkpoint has the same
+    one; a deleted or new checkpoint gives another."""
+    fs, path = hadoop_fs(spark, f"{checkpoint}/metadata")
+    if not fs.exists(path):
+        raise ValueError(f"no stream has started from {checkpoint}")
+    return json.loads(spark.read.text(literal_path(path.toString()), wholetext=True).first()["value"])["id"].replace("-", "")
+
+
 def foreach_batch(
-    df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, interval: str | None = None
+    df: DataFrame, write: Callable[..., None], checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
-    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    """Run ``write(batch, batch_id)`` for each micro-batch; a callback that takes a third argument also gets the identity of the
+    stream's start, by which keyed tables and indexes tell a replay from a stream that starts again."""
+    known = {}
+
+    def identified(batch: DataFrame, batch_id: int) -> None:
+        if "writer" not in known:
+            known["writer"] = checkpoint_writer(batch.sparkSession, checkpoint)
+        write(batch, batch_id, known["writer"])
+
+    takes = len([p for p in inspect.signature(write).parameters.values() if p.kind in (p.POSITIONAL_ONLY, p.POSITIONAL_OR_KEYWORD)])
+    writer = df.writeStream.foreachBatch(identified if takes > 2 else write).option("checkpointLocation", checkpoint)
     return writer.trigger(**_trigger(True, interval)).start()
 
 
@@ -87,21 +108,28 @@ def append_flows(flows: dict[str, DataFrame], target: str, checkpoints: str) ->
 
 
 def upsert_batches(
-    table: str, keys: list[str], version: str, stage: Stage | None = None, rows: DataFrame | None = None, by: list[str] | None = None
-) -> Callable[[DataFrame, int], None]:
-    """Callback that keeps a keyed table current: the newest row per key of the micro-batch, tagged with its batch id.
-
-    Only changed rows are written; ``read_current`` merges them. A replayed batch replaces itself; a stream that starts
-    again with a new checkpoint goes on with the table's next number. With ``rows``, the whole source table, and
+    table: str,
+    keys: list[str],
+    version: str,
+    stage: Stage | None = None,
+    rows: DataFrame | None = None,
+    by: list[str] | None = None,
+    writer: str | None = None,
+) -> Callable[..., None]:
+    """Callback that keeps a keyed table current: the newest row per key of the micro-batch, under its writer and batch id.
+
+    Only changed rows are written; ``read_current`` merges them. A batch that the same writer repeats replaces itself; a
+    stream that starts again with a new checkpoint is another writer and goes on with the table's next number, also
+    after a single batch. ``writer`` is given by ``foreach_batch``, or fixed here; without one nothing is replaced. With ``rows``, the whole source table, and
     ``by``, ``stage`` is computed anew from all rows of the keys that the micro-batch touches.
     """
 
-    def write(df: DataFrame, batch_id: int) -> None:
+    def write(df: DataFrame, batch_id: int, started: str | None = None) -> None:
         if rows is not None and by:
             df = rows.join(df.select(*by).distinct(), by, "left_semi")
         changed = stage(df) if stage else df
         rest = [c for c in changed.columns if c not in (*keys, version)]
-        write_changes(latest_version(changed, keys, [version, *rest]), table, tag=batch_id)
+        write_changes(latest_version(changed, keys, [version, *rest]), table, tag=batch_id, writer=writer or started)
 
     return write
 
