@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import csv
+import io
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
-
+from pyspark.sql.types import StructType
 
 CORRUPT = "_corrupt_record"
 
@@ -49,13 +53,116 @@ def read_json_rescued(
 def read_csv_rescued(
     spark: SparkSession, path: str, schema: StructType, stream: bool = False, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """CSV with a header against a declared schema; a line that does not fit it, such as one with more fields, is kept
-    whole in ``_rescued_data`` beside the fields that could be read."""
+    """CSV files against a declared schema, each by its own header: columns may stand in any order, be missing or be more.
+
+    Values land by name (an exact one first, else one that differs in case only). ``_rescued_data`` keeps what has no place:
+    columns that the schema doesn't have, values that their type refuses, and, under ``CORRUPT``, a whole line with more or
+    fewer fields than its header. An empty field is NULL. A second column of one name is kept as ``name#2``.
+
+    Files are read line by line from their start, so a file is not split, and is never held as a whole.
+    """
     reader = spark.readStream if stream else spark.read
     if stream and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
-    reader = reader.option("header", True).option("escape", '"').option("columnNameOfCorruptRecord", CORRUPT)
-    rows = reader.schema(wide).format("csv").load(path)
-    rescued = F.when(F.col(CORRUPT).isNotNull(), F.create_map(F.lit(CORRUPT), F.col(CORRUPT)))
-    return rows.select(*schema.names, rescued.alias("_rescued_data"), F.col("_metadata.file_path").alias("_source_file"))
+    # As multi-line CSV with one field: a file goes to one task, its lines in order.
+    reader = reader.option("multiLine", True).option("header", False).option("sep", "\x01").option("quote", "\x00").option("escape", "\x00")
+    lines = reader.schema("line string").format("csv").load(path).select("line", F.col("_metadata.file_path").alias("_source_file"))
+    named = lines.mapInArrow(lines_by_header, "_source_file string, fields map<string,string>, corrupt string")
+    columns, refused = [], []
+    for f in schema.fields:
+        text = F.col("fields")[f.name]
+        value = text.try_cast(f.dataType)
+        columns.append(value.alias(f.name))
+        refused.append(F.when(text.isNotNull() & value.isNull(), F.lit(f.name)))
+    bad = F.array_compact(F.array(*refused)) if refused else F.array().cast("array<string>")
+    extra = F.map_filter("fields", lambda k, v: v.isNotNull() & (~k.isin(schema.names) | F.array_contains(bad, k)))
+    whole = F.when(F.col("corrupt").isNotNull(), F.create_map(F.lit(CORRUPT), F.col("corrupt"))).otherwise(F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
+    rescued = F.map_concat(extra, whole)
+    spelled = named.withColumn("fields", named_as(F.col("fields"), schema.names))
+    return spelled.select(*columns, F.when(F.size(rescued) > 0, rescued).alias("_rescued_data"), "_source_file")
+
+
+def named_as(fields: Column, names: list[str]) -> Column:
+    """Fields under the names of the schema where they differ in case only and the exact name is not there."""
+    if not names:
+        return fields
+    by_case = F.create_map(*[F.lit(x) for n in reversed(list({n.lower(): n for n in reversed(names)}.values())) for x in (n.lower(), n)])
+
+    def name(k: Column) -> Column:
+        known = F.coalesce(by_case[F.lower(k)], k)
+        return F.when(k.isin(names) | F.map_contains_key(fields, known), k).otherwise(known)
+
+    # Two spellings of one name: the first takes it.
+    keys = F.map_keys(fields)
+    plain = F.transform(keys, lambda k, i: F.when(F.array_position(F.transform(keys, name), name(k)) == i + 1, name(k)).otherwise(k))
+    return F.map_from_arrays(plain, F.map_values(fields))
+
+
+OPEN_LINES = 1000  # a quoted field that goes on for more lines is no field: its lines count one by one
+
+
+class _Lines:
+    """Lines of files, each file in order from its header."""
+
+    def __init__(self) -> None:
+        self.file, self.header, self.open, self.odd = None, None, [], 0
+        csv.field_size_limit(1 << 30)
+        self.clear()
+
+    def clear(self) -> None:
+        self.files, self.rows, self.corrupt = [], [], []
+
+    def add(self, path: str, line: str) -> None:
+        if path != self.file:
+            self.end()
+            self.file, self.header = path, None
+        self.odd = (self.odd if self.open else 0) ^ (line.count('"') & 1)
+        self.open.append(line)
+        if not self.odd:
+            self.record("\n".join(self.open))
+            self.open = []
+        elif len(self.open) > OPEN_LINES:
+            self.end()
+
+    def end(self) -> None:
+        """A quote that is never closed: every line stands for itself."""
+        for line in self.open:
+            self.record(line)
+        self.open = []
+
+    def record(self, text: str) -> None:
+        if not text:
+            return
+        values = next(csv.reader(io.StringIO(text, newline="")), [])
+        if self.header is None:
+            self.header = unique_names(v.strip().lstrip("\ufeff") for v in values)
+            return
+        self.files.append(self.file)
+        self.rows.append([(n, v or None) for n, v in zip(self.header, values)])
+        self.corrupt.append(text if len(values) != len(self.header) else None)
+
+    def batch(self) -> pa.RecordBatch:
+        made = [pa.array(self.files, pa.string()), pa.array(self.rows, pa.map_(pa.string(), pa.string())), pa.array(self.corrupt, pa.string())]
+        self.clear()
+        return pa.RecordBatch.from_arrays(made, names=["_source_file", "fields", "corrupt"])
+
+
+def lines_by_header(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines as fields by name, and the line where it doesn't fit its header."""
+    lines = _Lines()
+    for b in batches:
+        for line, path in zip(b.column("line").to_pylist(), b.column("_source_file").to_pylist()):
+            lines.add(path, line or "")
+        yield lines.batch()
+    lines.end()
+    yield lines.batch()
+
+
+def unique_names(names: Iterable[str]) -> list[str]:
+    out: list[str] = []
+    for n in names:
+        k = 1
+        while (n if k == 1 else f"{n}#{k}") in out:
+            k += 1
+        out.append(n if k == 1 else f"{n}#{k}")
+    return out
