@@ -102,8 +102,10 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def secret_after(t: str, end: int) -> tuple[int, int] | None:
-    """A value of at least 8 characters, one a digit, after a cue and ``=`` or ``:``; quotes and spaces may stand between."""
+def secret_after(t: str, end: int, runs: dict | None = None) -> tuple[int, int] | None:
+    """A value of at least 8 characters, one a digit, after a cue and ``=`` or ``:``; quotes and spaces may stand between.
+
+    ``runs`` keeps the run that was read last, its end and its last digit: cues that stand in one run don't read it again."""
     at = end
     while t[at : at + 1] in ("'", '"', " ", "\t"):
         at += 1
@@ -112,10 +114,17 @@ def secret_after(t: str, end: int) -> tuple[int, int] | None:
     at += 1
     while t[at : at + 1] in ("=", ">", "'", '"', " ", "\t"):
         at += 1
-    stop = run_of(t, at, SECRET)
-    while stop > at and t[stop - 1] == ".":
-        stop -= 1
-    return (at, stop) if stop - at >= 8 and not DIGITS.isdisjoint(t[at:stop]) else None
+    runs = {} if runs is None else runs
+    if not runs.get("start", 0) <= at < runs.get("end", 0):
+        whole = run_of(t, at, SECRET)
+        stop, digit = whole, whole - 1
+        while stop > at and t[stop - 1] == ".":
+            stop -= 1
+        while digit >= at and t[digit] not in DIGITS:
+            digit -= 1
+        runs.update(start=at, end=whole, stop=stop, digit=digit)
+    stop = max(at, runs["stop"])
+    return (at, stop) if stop - at >= 8 and at <= runs["digit"] else None
 
 
 def iban_valid(code: str) -> bool:
@@ -146,11 +155,14 @@ def account_after(t: str, end: int) -> tuple[int, int] | None:
     return None
 
 
-def address_at(t: str, at: int) -> tuple[int, int] | None:
-    """A web address around ``://``: letters to the left, a host with a dot, then everything up to a space or quote."""
+def address_at(t: str, at: int, floor: int = 0) -> tuple[int, int] | None:
+    """A web address around ``://``: letters to the left, a host with a dot, then everything up to a space or quote. None, before
+    anything to the right is read, if it would begin before ``floor``."""
     start = at
     while start > 0 and t[start - 1] in ALNUM:
         start -= 1
+    if start < floor:
+        return None
     host = at + 3
     end = run_of(t, host, HOST | {"@", ":"})
     name = t[host:end].rpartition("@")[2].partition(":")[0].strip(".")
@@ -167,10 +179,13 @@ def spans_of(t: str, anchors: ahocorasick.Automaton) -> list[tuple[str, int, int
     """All spans, by kind in the order of ``KINDS``, then start; code points, end exclusive.
 
     Anchors come from left to right. For each kind, ``done`` is where its next match may begin, so the matches of a kind
-    don't overlap; a span that fails its check is passed over as a whole.
+    don't overlap; a span that fails its check is passed over as a whole. What an anchor would read again is not read: the work
+    grows with the text, whatever it repeats.
     """
     found: dict[str, list[tuple[int, int]]] = {k: [] for k in KINDS}
     done = dict.fromkeys(KINDS, 0)
+    runs: dict[str, int] = {}
+    closing = -1
 
     def add(kind: str, span: tuple[int, int] | None) -> None:
         if span and span[0] >= done[kind]:
@@ -198,17 +213,21 @@ def spans_of(t: str, anchors: ahocorasick.Automaton) -> list[tuple[str, int, int
                     found["phone"].append((at, end))
                 done["phone"] = end
         elif kind == "scheme":
-            add("address", address_at(t, at))
+            add("address", address_at(t, at, done["address"]))
         elif kind == "key_id":
-            end = run_of(t, last + 1, ALNUM)
-            if end - at == 20 and t[at:end].isupper() and t[at - 1 : at] not in ALNUM:
-                add("secret", (at, end))
+            if at == 0 or t[at - 1] not in ALNUM:  # else it stands within a run that was read already
+                end = run_of(t, last + 1, ALNUM)
+                if end - at == 20 and t[at:end].isupper():
+                    add("secret", (at, end))
         elif kind == "block":
-            end = t.find("-----END ", last)
-            end = t.find("-----", end + 9) + 5 if end >= 0 else last + 1
-            add("secret", (at, max(end, last + 1)))
+            if at >= done["secret"]:
+                if last > closing:  # the next closing mark, one for all blocks before it
+                    closing = t.find("-----END ", last)
+                    closing = len(t) if closing < 0 else closing
+                end = t.find("-----", closing + 9) + 5 if closing < len(t) else last + 1
+                add("secret", (at, max(end, last + 1)))
         elif kind == "secret":
-            add("secret", secret_after(t, last + 1))
+            add("secret", secret_after(t, last + 1, runs))
         elif t[at - 1 : at] not in ALNUM or at == 0:
             add("account", account_after(t, last + 1))
     return [(k, a, b) for k in KINDS for a, b in sorted(found[k])]
