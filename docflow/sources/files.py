@@ -27,11 +27,18 @@ def read_files(
 ) -> DataFrame:
     """Scan a folder. ``stream=True`` reads the files there first and then only new ones.
 
-    CSV is read with a header, inferred types (batch) and ``"`` as escape. ``excel`` goes to the spreadsheet reader.
+    CSV is read with a header, inferred types (batch) and ``"`` as escape. ``excel`` goes to the spreadsheet reader,
+    as a stream with a schema.
     """
     if format == "excel":
-        from docflow.sources.spreadsheet import read_excel
-
+        from docflow.sources.spreadsheet import read_excel, stream_excel
+
+        if stream:
+            if schema is None:
+                raise ValueError("a stream of workbooks needs a schema")
+            return stream_excel(spark, path, schema, glob=glob or "*.xlsx", max_files_per_trigger=max_files_per_trigger, **options)
+        if schema is not None:
+            options["schema"] = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         return read_excel(spark, path, glob=glob or "*.xlsx", **options)
     reader = (spark.readStream if stream else spark.read).format(format)
     if recursive:

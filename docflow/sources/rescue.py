@@ -68,6 +68,11 @@ def read_csv_rescued(
     reader = reader.option("multiLine", True).option("header", False).option("sep", "\x01").option("quote", "\x00").option("escape", "\x00")
     lines = reader.schema("line string").format("csv").load(path).select("line", F.col("_metadata.file_path").alias("_source_file"))
     named = lines.mapInArrow(lines_by_header, "_source_file string, fields map<string,string>, corrupt string")
+    return typed_fields(named, schema)
+
+
+def typed_fields(named: DataFrame, schema: StructType) -> DataFrame:
+    """Columns of the schema, ``_rescued_data`` and ``_source_file`` from ``fields`` by name and ``corrupt``, a record that doesn't fit."""
     columns, refused = [], []
     for f in schema.fields:
         text = F.col("fields")[f.name]

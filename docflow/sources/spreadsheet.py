@@ -9,11 +9,14 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docflow.session import scratch_path
 from docflow.sinks.tables import materialise
+from docflow.sources.rescue import typed_fields, unique_names
 
 M = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 R = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}"
@@ -114,8 +117,6 @@ def read_excel(
     else string), unless a schema is given. Workbooks are parsed once into the shared folder. A file that cannot be read
     gives no rows here and one in ``unreadable_workbooks``.
     """
-    from pyspark.sql.types import StructType
-
     _, box = parse_address(data_address)
     cells = materialise(workbook_cells(spark, path, data_address, glob), scratch_path(spark, "workbooks")).filter("error IS NULL")
     first_row = box[1] if box else 1
@@ -123,6 +124,9 @@ def read_excel(
     if schema is None and header_rows:
         heads = cells.groupBy("path").agg(F.min_by("cells", "row_no").alias("head"))
         pairs = heads.select("path", F.explode("head").alias("col", "name"))
+        # A second cell of one name is named apart, as in streams.
+        again = F.row_number().over(Window.partitionBy("path", "name").orderBy("col"))
+        pairs = pairs.select("path", "col", again.alias("k"), "name").select("path", "col", F.when(F.col("k") == 1, F.col("name")).otherwise(F.concat("name", F.lit("#"), F.col("k"))).alias("name"))
         order = pairs.groupBy("name").agg(F.min(F.struct("path", "col")).alias("at")).orderBy("at").select("name")
         names = [r["name"] for r in order.collect()]
         # Where each file has each name; one short row per file.
@@ -146,6 +150,52 @@ def read_excel(
     return body.select(*[c.try_cast(types[n]).alias(n) for n, c in columns.items()])
 
 
+def stream_excel(
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType,
+    data_address: str | None = None,
+    header_rows: int = 1,
+    glob: str = "*.xlsx",
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """Rows of workbooks as they arrive, against a declared schema.
+
+    Columns are matched by each workbook's own header (without one: ``_c1, _c2, ..``); a second column of a name is ``name#2``.
+    ``_rescued_data`` keeps columns that the schema doesn't have and values that their type refuses. A workbook that cannot
+    be read gives one row, with its error under ``_corrupt_record``. Which files are new is Spark's own record in the
+    stream's checkpoint, so a restart reads none twice."""
+    shape = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    sheet, box = parse_address(data_address)
+    first = box[1] if box else 1
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, content in zip(b.column("path").to_pylist(), b.column("content")):
+                files, rows, corrupt = [], [], []
+                try:
+                    where: dict[int, str] = {}
+                    for number, cells in workbook_rows(content.as_py(), sheet, box):
+                        if header_rows and not where and number >= first:
+                            where = dict(zip(sorted(cells), unique_names(str(cells[c]) for c in sorted(cells))))
+                        if number >= first + header_rows:
+                            rows.append([(where.get(c, f"_c{c}"), v) for c, v in cells.items()])
+                    files, corrupt = [name] * len(rows), [None] * len(rows)
+                except (zipfile.BadZipFile, KeyError, ValueError, IndexError, ET.ParseError) as err:
+                    files, rows, corrupt = [name], [[]], [f"{type(err).__name__}: {err}"]
+                for i in range(0, len(files), 10_000):
+                    part = slice(i, i + 10_000)
+                    made = [pa.array(files[part], pa.string()), pa.array(rows[part], pa.map_(pa.string(), pa.string())), pa.array(corrupt[part], pa.string())]
+                    yield pa.RecordBatch.from_arrays(made, names=["_source_file", "fields", "corrupt"])
+
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length bigint, content binary")
+    reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    named = reader.load(path).select("path", "content").mapInArrow(records, "_source_file string, fields map<string,string>, corrupt string")
+    return typed_fields(named, shape)
+
+
 def _frame(rows: list[tuple[str, int, dict[int, str]]]) -> pd.DataFrame:
     path, number, cells, error = zip(*rows)
     return pd.DataFrame({"path": path, "row_no": pd.array(number, dtype="Int32"), "cells": cells, "error": error})
