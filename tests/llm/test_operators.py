@@ -314,6 +314,52 @@ def test_common_blocks_go_from_the_later_document(spark):
     assert got[6] == (f"{a}\r", 5)
 
 
+def slow_line_dedup(rows):
+    """``key, text, source, lines gone`` of each row: a line goes if it stands in a run of lines with five words or more that any
+    earlier document has as well; blank lines go between two lines that go. All runs, no partners and no alignment."""
+    by_key, seen, cut = sorted({(i is None, i or 0, t or "") for i, t, _ in rows}), set(), {}
+    for d in by_key:
+        listed = [(k, x) for k, x in enumerate(d[2].split("\n")) if words(x)]
+        gone, own = set(), set()
+        for x in range(len(listed)):
+            run, n = (), 0
+            for y in range(x, len(listed)):
+                run, n = (*run, listed[y][1]), n + len(words(listed[y][1]))
+                if n >= 5:
+                    own.add(run)
+                    if run in seen:
+                        gone |= set(range(x, y + 1))
+        seen |= own
+        between = {k for r in gone if r + 1 in gone for k in range(listed[r][0], listed[r + 1][0])}
+        places = between | {listed[r][0] for r in gone}
+        cut[d] = "\n".join(x for k, x in enumerate(d[2].split("\n")) if k not in places), len(gone)
+    return [(i, t if not cut[i is None, i or 0, t or ""][1] else cut[i is None, i or 0, t][0], s, cut[i is None, i or 0, t or ""][1]) for i, t, s in rows]
+
+
+def test_line_dedup_equals_brute_force(spark, docs, odd):
+    r = random.Random(5)
+    made = [(i, "\n".join(r.choice(["a", "b c", "d e f", "", "g h i j", "k l m n o p"]) for _ in range(r.randrange(0, 9)))) for i in range(120)]
+    frames = [spark.createDataFrame(made, "doc_id bigint, text string"), docs, odd]
+    for df in frames:
+        rows = [(r["doc_id"], r["text"], None) for r in df.select("doc_id", "text").collect()]
+        got = line_dedup.remove_repeated_lines(df.select("doc_id", "text")).collect()
+        want = slow_line_dedup(rows)
+        assert Counter((r["doc_id"], r["text"], r["line_dedup"]["removed_lines"]) for r in got) == Counter((i, t, n) for i, t, _, n in want)
+
+
+def test_a_block_goes_whole_though_its_lines_have_other_first_documents(spark):
+    got = dedup(spark, [(1, "short one"), (2, "short one\nx y\nz w"), (3, "short one\nx y\nz w\nown text"), (4, "x y\nshort one")])
+    assert got == {1: ("short one", 0), 2: ("short one\nx y\nz w", 0), 3: ("own text", 6), 4: ("x y\nshort one", 0)}
+
+
+def test_blocks_name_their_partner(spark):
+    a, b = [f"a{i} one two three four" for i in range(3)], [f"b{i} five six seven" for i in range(2)]
+    df = spark.createDataFrame([(1, "\n".join([*a, "own", *b])), (2, "\n".join([*b, "", "mine", *a, *a[:1]]))], "doc_id bigint, text string")
+    blocks = line_dedup.line_blocks(df).select("doc", "rank", "lines", "partner", "partner_rank").collect()
+    assert sorted(map(tuple, blocks)) == [(2, 0, 2, 1, 4), (2, 3, 3, 1, 0), (2, 6, 1, 1, 0)]
+    assert dedup(spark, df.collect())[2] == ("\nmine", 28)
+
+
 def test_no_long_line_is_lost_and_none_is_left_twice(docs, odd, empty):
     for df in (docs, clash(odd)):
         before, after = df.select("doc_id", "text").collect(), line_dedup.remove_repeated_lines(df)
@@ -475,14 +521,13 @@ def test_pipeline_equals_its_stages_in_plain_python(spark, docs, odd, empty, tmp
             n, chars, symbols, lines, dup, rep = slow_measures(r["text"])
             if n >= 10 and 100 * rep <= 20 * n and 10 * symbols <= 3 * n and not (lines >= 4 and 2 * dup > lines) and 2 * n <= chars <= 20 * n:
                 rows.append((r["doc_id"], r["text"], r["source"]))
-        rows = slow_line_dedup(rows)
-        codes = [slow_fingerprint(t) for _, t, _ in rows]
-        roots = slow_groups(codes, 2)
+        rows = [(i, t, s) for i, t, s, gone in slow_line_dedup(rows) if not gone or words(t)]
+        root = slow_near_copies([t or "" for _, t, _ in rows])
         best = {}
-        for (i, t, s), c in zip(rows, codes):
-            key = (i is None, i or 0, F_HASH(spark, t))
-            if roots[c] not in best or key < best[roots[c]][0]:
-                best[roots[c]] = (key, (i, t, s))
+        for i, t, s in rows:
+            key, group = (i is None, i or 0, F_HASH(spark, t)), root[t or ""]
+            if group not in best or key < best[group][0]:
+                best[group] = (key, (i, t, s))
         kept = [x for _, x in best.values()]
         frame = spark.createDataFrame(kept, "doc_id bigint, text string, source string")
         copies = {(r["doc_id"], r["text"]): r["mix"]["copies"] for r in mixing.systematic_copies(frame, mixing.n_words("text")).collect()}
@@ -499,41 +544,29 @@ def F_HASH(spark, t):
     return spark.range(1).select(F.xxhash64(F.lit(t))).first()[0] if t is not None else 42
 
 
-def slow_line_dedup(rows):
-    """Line by line: a line with an earlier first document goes if its block there has five words or more."""
-    order = sorted({(i is None, i or 0, t) for i, t, _ in rows})
-    first: dict[str, tuple] = {}
-    listed = {d: [x for x in d[2].split("\n") if words(x)] for d in order}
-    for d in order:
-        for x in listed[d]:
-            first.setdefault(x, d)
-    out = []
-    for i, t, s in rows:
-        me = (i is None, i or 0, t)
-        partners = defaultdict(list)
-        for x in dict.fromkeys(listed[me]):
-            if first[x] != me:
-                a = listed[first[x]]
-                partners[first[x]].append(([k for k, y in enumerate(a) if y == x], [k for k, y in enumerate(listed[me]) if y == x], len(words(x))))
-        gone = {b for c in partners.values() for x, y in line_dedup.common_blocks(c) for b in range(x, y + 1)}
-        lines, rank, keep, last = t.split("\n"), -1, [], False
-        ranks = []
-        for x in lines:
-            rank += bool(words(x))
-            ranks.append(rank if words(x) else None)
-        for k, x in enumerate(lines):
-            if ranks[k] is None:
-                before = next((ranks[j] for j in range(k, -1, -1) if ranks[j] is not None), None)
-                after = next((ranks[j] for j in range(k, len(lines)) if ranks[j] is not None), None)
-                same = any(x0 <= (before if before is not None else -1) and (after if after is not None else 10**9) <= y0 for c in partners.values() for x0, y0 in line_dedup.common_blocks(c))
-                if not same:
-                    keep.append(x)
-            elif ranks[k] not in gone:
-                keep.append(x)
-        text = "\n".join(keep)
-        if not gone or words(text):
-            out.append((i, text, s))
-    return out
+def slow_near_copies(texts):
+    """Group of each distinct text: five-word shingles at least 80 % alike, through others as well."""
+    sets = {}
+    for t in dict.fromkeys(texts):
+        w = words(t.lower())
+        sets[t] = {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    having, root = defaultdict(list), {t: t for t in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for t, mine in sets.items():
+        for other, n in Counter(o for x in mine for o in having[x]).items():
+            if 5 * n >= 4 * (len(mine) + len(sets[other]) - n):
+                root[find(t)] = find(other)
+        for x in mine:
+            having[x].append(t)
+    empty = [t for t in sets if not sets[t]]
+    for t in empty:
+        root[find(t)] = find(empty[0])
+    return {t: find(t) for t in sets}
 
 
 def test_stages_keep_the_columns_they_are_given(spark, odd, empty):

@@ -116,8 +116,30 @@ def test_patience_gives_a_common_subsequence():
     assert line_dedup.patience(common(a, b)) == [(1, 0), (2, 1), (3, 3), (4, 4)]
 
 
+def blocks(a: list[str], b: list[str], min_words: int) -> list[tuple[int, int, int]]:
+    at_a, at_b = (line_dedup.runs_of("\n".join(x), min_words) for x in (a, b))
+    return line_dedup.common_blocks([(at_a[run][0][0], at_b[run][0], len(at_b[run][3])) for run in at_b if run in at_a])
+
+
 def test_blocks_follow_each_other_in_both():
     a, b = ["p q r", "s t u", "v w x", "only a"], ["s t u", "v w x", "own", "p q r", "z"]
-    shared = [([a.index(x)], [b.index(x)], 3) for x in ("p q r", "s t u", "v w x")]
-    assert line_dedup.common_blocks(shared, 5) == [(0, 1)]
-    assert line_dedup.common_blocks(shared, 3) == [(0, 1), (3, 3)]
+    assert blocks(a, b, 5) == [(1, 0, 2)]
+    assert blocks(a, b, 3) == [(1, 0, 2), (0, 3, 1)]
+
+
+def test_blocks_cover_all_common_runs():
+    r = random.Random(11)
+    for _ in range(300):
+        a, b = ([r.choice(["a", "b c", "d e f", "g", "h i j k l"]) for _ in range(r.randint(0, 14))] for _ in range(2))
+        found = blocks(a, b, 5)
+        assert all(a[x : x + n] == b[y : y + n] and sum(len(t.split()) for t in b[y : y + n]) >= 5 for x, y, n in found)
+        runs = {tuple(a[i:j]) for i in range(len(a)) for j in range(i + 1, len(a) + 1)}
+        spans = [(i, j) for i in range(len(b)) for j in range(i + 1, len(b) + 1) if tuple(b[i:j]) in runs and len(" ".join(b[i:j]).split()) >= 5]
+        assert {k for i, j in spans for k in range(i, j)} == {k for _, y, n in found for k in range(y, y + n)}
+
+
+def test_many_repeats_of_a_run_align_in_time():
+    line = "the same five words here"
+    assert len(blocks([line], [line] * 200_000, 5)) == 200_000
+    back = [f"{i} {line}" for i in range(20_000)]
+    assert len(blocks(back, back[::-1], 5)) == 20_000
