@@ -1,32 +1,37 @@
-"""Quality by co-training: a classifier over the words and one over the metadata teach each other."""
+"""Quality by co-training: a classifier over the words and one over the metadata teach each other on all unlabelled rows."""
 
 from __future__ import annotations
 
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from operator import eq
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docflow.llm.common import free_name
+from docflow.llm.common import free_name, stored
 
-# Bounds of what the classifiers are fitted on. Everything is scored.
+# Bound of the labelled rows that the classifiers start from. All unlabelled rows take part in the rounds.
 MAX_LABELLED = 4000
-MAX_POOL = 4000
 HELD_OUT = 5  # every fifth labelled row calibrates and is never trained on
 ROUNDS = 4
 CONFIDENT = 0.95
-TAKE = 0.1  # of the pool, at most, by each view in each round
+TAKE = 0.1  # of the unlabelled rows, by each view in each round
+BINS = 1024  # of confidence, from CONFIDENT up; rows of one bin go together
+BINS_PER_UNIT = 32
+UNIT = 1 << 20  # feature counts of pseudo-labelled rows are summed as whole numbers: no order of tasks changes a sum
 BUCKETS = 1 << 16
 SMOOTH = 0.5
 KEEP_FROM = 0.5
 KNOWN_WORDS = 400_000
+ROWS_AT_ONCE = 512
 
 
 def bucket(name: bytes) -> int:
@@ -42,12 +47,16 @@ def word_features(word: bytes) -> tuple[int, int, int]:
 SAME, OTHER = bucket(b"same as before"), bucket(b"not as before")
 
 
-def text_counts(text: str | None) -> Counter:
-    """Features of the content view with their counts; blank texts have none."""
+def text_counts(text: str | None, known: dict[bytes, tuple[int, int, int]]) -> Counter:
+    """Features of the content view with their counts; blank texts have none. ``known`` remembers the features of words."""
     words = (text or "").encode("utf-8", "surrogatepass").split()
+    if len(known) > KNOWN_WORDS:
+        known.clear()
     found: Counter = Counter()
     for w, n in Counter(words).items():
-        for b in word_features(w):
+        if (features := known.get(w)) is None:
+            features = known[w] = word_features(w)
+        for b in features:
             found[b] += n
     same = sum(map(eq, words, words[1:]))
     if words:
@@ -74,12 +83,18 @@ def _class(value) -> str:
     return str(value)
 
 
-def fit_bayes(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:
-    """Log ratio of each feature's smoothed share among good and bad rows."""
-    sums = np.full((2, BUCKETS), SMOOTH)
+def label_sums(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> np.ndarray:
+    """Weighted counts of each feature among bad (0) and good (1) rows, in ``UNIT``s."""
+    sums = np.zeros((2, BUCKETS), np.int64)
     for (where, counts), y in zip(rows, labels):
         # A long document counts for more than a short one, but not in proportion.
-        np.add.at(sums[int(y)], where, counts / math.sqrt(max(1.0, counts.sum())))
+        np.add.at(sums[int(y)], where, np.rint(counts.astype(float) * (UNIT / math.sqrt(max(1.0, float(counts.sum()))))).astype(np.int64))
+    return sums
+
+
+def fit_bayes(sums: np.ndarray) -> np.ndarray:
+    """Log ratio of each feature's smoothed share among good and bad rows."""
+    sums = sums / UNIT + SMOOTH
     shares = np.log(sums / sums.sum(axis=1, keepdims=True))
     return shares[1] - shares[0]
 
@@ -125,83 +140,197 @@ def raw_score(weights: np.ndarray, row: tuple[np.ndarray, np.ndarray]) -> float:
     return float(weights[where] @ counts / max(1.0, counts.sum()))
 
 
-def cotrain(texts: list, metas: list, labels: np.ndarray, held: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """``labels``: 1 good, 0 bad, -1 unknown. ``held``: labelled rows that only calibrate.
-
-    In each round, each view is fitted on its own rows, calibrated on the held-out ones, and scores the unknown rows that
+@dataclass
+class Round:
+    """What a round has fitted, text view first: weights, calibration, and the least bin of confidence from which a view hands
+    a row to the other one, by view and label (``BINS``: none). Of fixed size."""
+
+    weights: np.ndarray
+    lines: np.ndarray
+    cuts: np.ndarray = field(default_factory=lambda: np.full((2, 2), BINS))
+
+
+class Features:
+    """Counted features of several rows in one piece, for both views."""
+
+    def __init__(self, texts: list[tuple[np.ndarray, np.ndarray]], metas: list[np.ndarray]):
+        self.n = len(metas)
+        both = ([w for w, _ in texts], metas)
+        self.where = [np.concatenate([np.zeros(0, np.uint16), *x]) for x in both]
+        self.counts = [np.concatenate([np.zeros(0, np.float32), *[c for _, c in texts]]).astype(float), np.ones(len(self.where[1]))]
+        self.row = [np.repeat(np.arange(self.n), [len(w) for w in x]) for x in both]
+        self.size = [np.maximum(1.0, np.bincount(r, c, self.n)) for r, c in zip(self.row, self.counts)]
+
+    def logits(self, at: Round) -> np.ndarray:
+        """Calibrated score of each view and row."""
+        raw = [np.bincount(self.row[v], at.weights[v][self.where[v]] * self.counts[v], self.n) / self.size[v] for v in (0, 1)]
+        return np.stack([raw[v] * at.lines[v][0] + at.lines[v][1] for v in (0, 1)])
+
+    def handed(self, rounds: list[Round]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The labels that each view has been given before and after the last round (-1: none yet), and what each view says in
+        that round, as labels and bins of confidence (-1: not confident)."""
+        given = np.full((2, self.n), -1)
+        for at in rounds:
+            before, z = given.copy(), self.logits(at)
+            label, bins = (z > 0).astype(int), confidence(z)
+            for v in (0, 1):
+                new = (before[1 - v] < 0) & (bins[v] >= 0) & (bins[v] >= at.cuts[v][label[v]])
+                given[1 - v][new] = label[v][new]
+        return before, given, label, bins
+
+    def confident(self, rounds: list[Round]) -> np.ndarray:
+        """Rows by view, label and bin that the view could hand over in the last round, whose cuts are open yet."""
+        given, _, label, bins = self.handed(rounds)
+        out = np.zeros((2, 2, BINS), np.int64)
+        for v in (0, 1):
+            new = (given[1 - v] < 0) & (bins[v] >= 0)
+            np.add.at(out[v], (label[v][new], bins[v][new]), 1)
+        return out
+
+    def taught(self, rounds: list[Round]) -> np.ndarray:
+        """Sums by view, label and bucket of the rows that the last round gives to each view."""
+        before, given, _, _ = self.handed(rounds)
+        out = np.zeros((2, 2, BUCKETS), np.int64)
+        for v in (0, 1):
+            units = np.rint(self.counts[v] * (UNIT / np.sqrt(self.size[v]))[self.row[v]]).astype(np.int64)
+            label = np.where(before[v] < 0, given[v], -1)[self.row[v]]
+            for y in (0, 1):
+                np.add.at(out[v][y], self.where[v][label == y], units[label == y])
+        return out
+
+
+def confidence(z: np.ndarray) -> np.ndarray:
+    """Bins of calibrated scores by how far they are from 0; -1 below ``CONFIDENT``."""
+    from_ = math.log(CONFIDENT / (1 - CONFIDENT))
+    return np.where(np.abs(z) >= from_, np.minimum(BINS - 1, np.floor((np.abs(z) - from_) * BINS_PER_UNIT)), -1).astype(int)
+
+
+def cut_of(bins: np.ndarray, most: int) -> int:
+    """The lowest bin from which at most ``most`` rows are left. Where the highest bin alone has more (copies score alike), it
+    goes as a whole."""
+    if most < 1 or not bins.any():
+        return BINS
+    above, highest = np.cumsum(bins[::-1])[::-1], int(np.flatnonzero(bins)[-1])
+    return min(int(np.argmax(above <= most)), highest) if above[highest] <= most else highest
+
+
+class Pool:
+    """All unlabelled rows as a stored frame of counted features. A pass gives vectors of fixed size: tasks add up their rows, Spark
+    adds up the tasks. What earlier rounds decided on a row is told again from its features, so no state is kept of it."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = stored(rows, "cotraining-pool")
+        self.size = self.rows.count()
+
+    def total(self, of: str, rounds: list[Round], shape: tuple[int, ...]) -> np.ndarray:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros(shape, np.int64)
+            for batch in batches:
+                for i in range(0, batch.num_rows, ROWS_AT_ONCE):
+                    part = batch.slice(i, ROWS_AT_ONCE)
+                    where, counts, meta = ([np.frombuffer(x, t) for x in part.column(c).to_pylist()] for c, t in FEATURES.items())
+                    sums += getattr(Features(list(zip(where, counts)), meta), of)(rounds)
+            at = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(sums.reshape(-1)[at], pa.int64())], names=["at", "n"])
+
+        out = np.zeros(shape, np.int64)
+        found = self.rows.mapInArrow(add, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+        out.reshape(-1)[found["at"].to_numpy(int)] = found["n"].to_numpy(np.int64)
+        return out
+
+    def confident(self, rounds: list[Round]) -> np.ndarray:
+        return self.total("confident", rounds, (2, 2, BINS))
+
+    def taught(self, rounds: list[Round]) -> np.ndarray:
+        return self.total("taught", rounds, (2, 2, BUCKETS))
+
+
+def cotrain(texts: list, metas: list, labels: np.ndarray, held: np.ndarray, pool: Callable[[], Pool], rounds: int = ROUNDS) -> Model:
+    """``texts, metas, labels``: the labelled sample, 1 good, 0 bad. ``held``: rows of it that only calibrate.
+
+    In each round, each view is fitted on its own rows, calibrated on the held-out ones, and scores the unlabelled rows that
     the other view has no label for; its most confident ones, in the proportion of the known labels, go to the other view.
     With only one label known there is nothing to learn: every score is 0.5.
     """
     model = Model()
-    known = np.flatnonzero((labels >= 0) & ~held)
-    check = np.flatnonzero((labels >= 0) & held)
+    known, check = np.flatnonzero(~held), np.flatnonzero(held)
     if len(set(labels[known])) < 2 or len(set(labels[check])) < 2:
         return model
-    pool = np.flatnonzero(labels < 0)
+    rest = pool()
     share = float((labels[known] == 1).mean())
-    views = {"text": texts, "meta": metas}
-    taught = {v: {int(i): int(labels[i]) for i in known} for v in views}
+    most = [round(TAKE * rest.size * (1 - share)), round(TAKE * rest.size * share)]
+    views = (texts, metas)
+    sums = np.stack([label_sums([rows[i] for i in known], labels[known]) for rows in views])
+    done: list[Round] = []
     for turn in range(rounds + 1):
-        lines, raw = {}, {}
-        for v, rows in views.items():
-            own = sorted(taught[v])
-            weights = fit_bayes([rows[i] for i in own], np.array([taught[v][i] for i in own]))
-            setattr(model, v, weights)
-            raw[v] = np.array([raw_score(weights, r) for r in rows])
-            lines[v] = fit_logistic(raw[v][check][:, None], labels[check])
-            setattr(model, f"{v}_line", lines[v])
-        if turn == rounds:
+        weights = np.stack([fit_bayes(sums[v]) for v in (0, 1)])
+        raw = [np.array([raw_score(weights[v], views[v][i]) for i in check]) for v in (0, 1)]
+        lines = np.stack([fit_logistic(raw[v][:, None], labels[check]) for v in (0, 1)])
+        if turn == rounds or not rest.size:
             break
-        given = []
-        for v, other in (("text", "meta"), ("meta", "text")):
-            p = sigmoid(raw[v] * lines[v][0] + lines[v][1])
-            new = np.array([i for i in pool if int(i) not in taught[other]], dtype=int)
-            most = int(TAKE * len(pool))
-            good = sorted((i for i in new if p[i] >= CONFIDENT), key=lambda i: (-p[i], i))[: round(most * share)]
-            bad = sorted((i for i in new if p[i] <= 1 - CONFIDENT), key=lambda i: (p[i], i))[: round(most * (1 - share))]
-            given.append((other, {int(i): 1 for i in good} | {int(i): 0 for i in bad}))
-        for other, new in given:
-            taught[other].update(new)
-        model.rounds.append((len(given[0][1]), len(given[1][1])))
-        if not any(new for _, new in given):
+        done.append(Round(weights, lines))
+        counts = rest.confident(done)
+        done[-1].cuts = np.array([[cut_of(counts[v][y], most[y]) for y in (0, 1)] for v in (0, 1)])
+        handed = [int(sum(counts[v][y][done[-1].cuts[v][y] :].sum() for y in (0, 1))) for v in (0, 1)]
+        model.rounds.append((handed[0], handed[1]))
+        if not any(handed):
             break
-    a = raw["text"][check] * model.text_line[0] + model.text_line[1]
-    b = raw["meta"][check] * model.meta_line[0] + model.meta_line[1]
+        sums += rest.taught(done)
+    model.text, model.meta = weights
+    model.text_line, model.meta_line = lines
+    a, b = (raw[v] * lines[v][0] + lines[v][1] for v in (0, 1))
     model.union = fit_logistic(np.stack([a, b], axis=1), labels[check], ridge=1.0)
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", fields: tuple[str, ...] = ("lang", "source"), max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL) -> Model:
-    """Model from at most ``max_labelled`` labelled and ``max_pool`` unlabelled documents, chosen by a hash of the key.
+# Features of a row in its stored form: distinct buckets of the text, how often, buckets of the metadata.
+FEATURES = {"where": np.uint16, "counts": np.float32, "meta": np.uint16}
+
 
-    Only the counted features of those rows reach the driver. A key with several labels takes the mean, rounded up.
+def counted(docs: DataFrame, carried: list[str], text: str, fields: tuple[str, ...]) -> DataFrame:
+    """``carried`` columns and ``FEATURES`` of each row. No shuffle."""
+    columns = [F.col(f"`{f}`").cast("string").alias(f"_f{i}") for i, f in enumerate(fields)]
+    rows = docs.select(*carried, F.col(f"`{text}`").alias("_text"), *columns)
+    own = [rows.schema[i] for i in range(len(carried))]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, tuple[int, int, int]] = {}
+        for batch in batches:
+            out: dict[str, list[bytes]] = {c: [] for c in FEATURES}
+            for t, *values in zip(*[batch.column(i).to_pylist() for i in range(len(own), batch.num_columns)]):
+                found = text_counts(t, known)
+                for c, x in zip(FEATURES, (list(found.keys()), list(found.values()), meta_features(t, values))):
+                    out[c].append(np.array(x, FEATURES[c]).tobytes())
+            kept = [batch.column(i) for i in range(len(own))]
+            yield pa.RecordBatch.from_arrays(kept + [pa.array(x, pa.binary()) for x in out.values()], names=[f.name for f in own] + list(out))
+
+    return rows.mapInArrow(count, T.StructType([*own, *[T.StructField(c, T.BinaryType()) for c in FEATURES]]))
+
+
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality", fields: tuple[str, ...] = ("lang", "source"), max_labelled: int = MAX_LABELLED) -> Model:
+    """Model from at most ``max_labelled`` labelled documents, chosen by a hash of the key, and all rows without a label.
+
+    The counted features of the labelled sample reach the driver, and sums of fixed size; those of the unlabelled rows are
+    stored once in the shared folder and read twice a round. A key with several labels takes the mean, rounded up; rows
+    without a key have no label. Repeated rows are separate rows, but of a labelled key one is taken.
     """
     known = labels.filter(f"{label} IS NOT NULL AND {key} IS NOT NULL").groupBy(key).agg((F.avg(label) >= 0.5).cast("int").alias("_y"))
-    order = [F.xxhash64(F.lit(42), F.col(key)), F.col(key)]
     keys = docs.select(key).filter(F.col(key).isNotNull()).distinct()
-    some = keys.join(known, key).orderBy(*order).limit(max_labelled)
-    rest = keys.join(known, key, "left_anti").orderBy(*order).limit(max_pool).withColumn("_y", F.lit(-1))
-    chosen = some.unionAll(rest)  # at most max_labelled + max_pool rows
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                found = text_counts(row[2])
-                out.append((row[0], row[1], list(found.keys()), list(found.values()), meta_features(row[2], list(row[3:]))))
-            yield pd.DataFrame(out, columns=["k", "y", "where", "counts", "meta"])
-
-    columns = [F.col(f"`{f}`").cast("string").alias(f"f{i}") for i, f in enumerate(fields)]
-    rows = docs.select(F.col(key), F.col(f"`{text}`").alias("text"), *columns).join(F.broadcast(chosen), key)
-    found = rows.select(F.xxhash64(F.lit(42), F.col(key)).alias("k"), "_y", "text", *[f"f{i}" for i in range(len(fields))])
-    sample = found.mapInPandas(count, "k bigint, y int, where array<int>, counts array<int>, meta array<int>").toPandas()
-    sample = sample.sort_values("k", kind="stable").drop_duplicates("k")
-    # Small types: all counted features of the sample are held at once.
-    texts = [(np.asarray(w, np.int32), np.asarray(c, np.float32)) for w, c in zip(sample.pop("where"), sample.pop("counts"))]
-    metas = [(np.asarray(m, np.int32), np.ones(len(m), np.float32)) for m in sample.pop("meta")]
-    y = sample["y"].to_numpy(int) if len(sample) else np.zeros(0, int)
+    chosen = keys.join(known, key).orderBy(F.xxhash64(F.lit(42), F.col(key)), F.col(key)).limit(max_labelled)  # a bounded sample
+    plain = docs.select(F.col(f"`{key}`").alias("_key"), *[F.col(f"`{c}`") for c in dict.fromkeys([text, *fields])])
+    rows = plain.join(F.broadcast(chosen.withColumnRenamed(key, "_key")), "_key").withColumn("_k", F.xxhash64(F.lit(42), "_key"))
+    sample = counted(rows, ["_k", "_y"], text, fields).groupBy("_k").agg(F.min(F.struct("_y", *FEATURES)).alias("x")).select("_k", "x.*").toPandas()
+    sample = sample.sort_values("_k", kind="stable")
+    where, counts, meta = ([np.frombuffer(x, t) for x in sample.pop(c)] for c, t in FEATURES.items())
+    texts, metas = list(zip(where, counts)), [(m, np.ones(len(m), np.float32)) for m in meta]
+    y = sample["_y"].to_numpy(int)
     held = np.array([i % HELD_OUT == 0 for i in range(len(y))], dtype=bool)
-    return cotrain(texts, metas, y, held)
+
+    def pool() -> Pool:
+        named = counted(plain.filter("_key IS NOT NULL"), ["_key"], text, fields).join(known.withColumnRenamed(key, "_key"), "_key", "left_anti")
+        return Pool(named.drop("_key").unionAll(counted(plain.filter("_key IS NULL"), [], text, fields)))
+
+    return cotrain(texts, metas, y, held, pool)
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", fields: tuple[str, ...] = ("lang", "source"), keep_from: float = KEEP_FROM) -> DataFrame:

@@ -477,7 +477,7 @@ def test_cotraining_beats_its_views_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     train, test = labels.filter("doc_id % 3 <> 0"), labels.filter("doc_id % 3 = 0")
-    model = cotraining.fit(docs.join(test.select("doc_id"), "doc_id", "left_anti"), train, max_labelled=1200, max_pool=1200)
+    model = cotraining.fit(docs.join(test.select("doc_id"), "doc_id", "left_anti"), train, max_labelled=1200)
     assert sum(a + b for a, b in model.rounds) > 0
     got = cotraining.scored(docs.join(test, "doc_id"), model).selectExpr("quality", "_quality.kept", "_quality.score").toPandas()
     good, bad = got[got["quality"] == 1], got[got["quality"] == 0]
@@ -493,6 +493,64 @@ def test_cotraining_without_labels_and_on_odd_rows(spark, odd, empty):
     assert cotraining.scored(empty, cotraining.fit(empty, labels.limit(0))).count() == 0
 
 
+class SlowPool:
+    """Rounds over unlabelled rows one by one, each with its state, as ``cotrain`` asks for them."""
+
+    def __init__(self, texts, metas):
+        self.rows = [(t, (m, np.ones(len(m)))) for t, m in zip(texts, metas)]
+        self.given = [[None, None] for _ in self.rows]
+        self.size = len(self.rows)
+
+    def open_rows(self, at):
+        for i, row in enumerate(self.rows):
+            for v in (0, 1):
+                where, counts = row[v]
+                z = sum(at.weights[v][w] * c for w, c in zip(where, counts)) / max(1.0, sum(counts)) * at.lines[v][0] + at.lines[v][1]
+                if self.given[i][1 - v] is None and 1 / (1 + math.exp(-abs(z))) >= 0.95:
+                    yield i, v, int(z > 0), min(1023, int((abs(z) - math.log(19)) * 32))
+
+    def confident(self, rounds):
+        out = np.zeros((2, 2, 1024), int)
+        for _, v, y, b in self.open_rows(rounds[-1]):
+            out[v][y][b] += 1
+        return out
+
+    def taught(self, rounds):
+        out = np.zeros((2, 2, cotraining.BUCKETS), int)
+        new = [(i, v, y) for i, v, y, b in self.open_rows(rounds[-1]) if b >= rounds[-1].cuts[v][y]]
+        for i, v, y in new:
+            self.given[i][1 - v] = y
+            where, counts = self.rows[i][1 - v]
+            for w, c in zip(where, counts):
+                out[1 - v][y][w] += round(c * (1 << 20) / math.sqrt(max(1.0, sum(counts))))
+        return out
+
+
+def test_cotraining_rounds_equal_brute_force(spark, docs, odd, monkeypatch):
+    sf = "/root/testdata/sf0.01"
+    some = spark.read.parquet(f"{sf}/documents.parquet").filter("doc_id < 600").select(odd.columns)
+    some = some.unionAll(odd.selectExpr("doc_id + 100000 as doc_id", *odd.columns[1:])).unionAll(odd.filter("doc_id IS NULL"))
+    labels = spark.read.parquet(f"{sf}/labels.parquet").filter("doc_id < 300")
+    got = cotraining.fit(some, labels)
+    known = {r["doc_id"] for r in labels.collect()}
+    rest = [r for r in some.collect() if r["doc_id"] not in known]
+    counts = [cotraining.text_counts(r["text"], {}) for r in rest]
+    texts = [(np.array(list(c), int), np.array(list(c.values()), float)) for c in counts]
+    metas = [np.array(cotraining.meta_features(r["text"], [r["lang"], r["source"]]), int) for r in rest]
+    monkeypatch.setattr(cotraining, "Pool", lambda rows: SlowPool(texts, metas))
+    want = cotraining.fit(some, labels)
+    assert got.rounds == want.rounds and sum(map(sum, got.rounds)) > 50
+    for name in ("text", "meta", "text_line", "meta_line", "union"):
+        assert np.allclose(getattr(got, name), getattr(want, name), rtol=1e-6, atol=1e-6), name
+
+
+def test_cuts_take_the_most_confident_and_copies_together():
+    bins = np.zeros(cotraining.BINS, int)
+    assert cotraining.cut_of(bins, 5) == cotraining.BINS
+    bins[[3, 10, 20]] = 4, 2, 3
+    assert [cotraining.cut_of(bins, n) for n in (0, 1, 3, 4, 5, 8, 9)] == [cotraining.BINS, 20, 11, 11, 4, 4, 0]
+
+
 def test_cotraining_views_teach_each_other():
     r = np.random.default_rng(1)
     n = 600
@@ -500,8 +558,8 @@ def test_cotraining_views_teach_each_other():
     flip = lambda p: np.where(r.random(n) < p, 1 - y, y)
     texts = [(np.array([10 + v]), np.array([1.0])) for v in flip(0.1)]
     metas = [(np.array([20 + v, 40 + u]), np.ones(2)) for v, u in zip(flip(0.05), flip(0.3))]
-    labels = np.where(np.arange(n) < 60, y, -1)
-    model = cotraining.cotrain(texts, metas, labels, np.arange(n) % 5 == 0)
+    pool = SlowPool(texts[60:], [m for m, _ in metas[60:]])
+    model = cotraining.cotrain(texts[:60], metas[:60], y[:60], np.arange(60) % 5 == 0, lambda: pool)
     raw = [np.array([cotraining.raw_score(w, x) for x in rows]) for w, rows in ((model.text, texts), (model.meta, metas))]
     assert ((model.logits(*raw)[2] > 0) == y)[60:].mean() > 0.92
 
