@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from operator import eq
@@ -24,6 +23,7 @@ HELD_OUT = 5  # every fifth labelled row calibrates and is never trained on
 ROUNDS = 4
 CONFIDENT = 0.95
 TAKE = 0.1  # of the unlabelled rows, by each view in each round
+PSEUDO = 0.5  # weight of all pseudo-labelled rows of a label, at most, by that of its labelled rows
 BINS = 1024  # of confidence, from CONFIDENT up; rows of one bin go together
 BINS_PER_UNIT = 32
 UNIT = 1 << 20  # feature counts of pseudo-labelled rows are summed as whole numbers: no order of tasks changes a sum
@@ -47,22 +47,32 @@ def word_features(word: bytes) -> tuple[int, int, int]:
 SAME, OTHER = bucket(b"same as before"), bucket(b"not as before")
 
 
-def text_counts(text: str | None, known: dict[bytes, tuple[int, int, int]]) -> Counter:
-    """Features of the content view with their counts; blank texts have none. ``known`` remembers the features of words."""
+class Words:
+    """Features of the words that a task has met, one row each, in a table of bounded size."""
+
+    def __init__(self):
+        self.at: dict[bytes, int] = {}
+        self.table = np.zeros((1 << 12, 3), np.uint16)
+
+    def rows(self, words: list[bytes]) -> np.ndarray:
+        """Three features of each word."""
+        if len(self.at) > KNOWN_WORDS:
+            self.at.clear()
+        for w in set(words).difference(self.at):
+            i = self.at[w] = len(self.at)
+            if i == len(self.table):
+                self.table = np.vstack([self.table, np.zeros_like(self.table)])
+            self.table[i] = word_features(w)
+        return self.table[np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))]
+
+
+def text_counts(text: str | None, known: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Features of the content view, rising, with their counts; blank texts have none."""
     words = (text or "").encode("utf-8", "surrogatepass").split()
-    if len(known) > KNOWN_WORDS:
-        known.clear()
-    found: Counter = Counter()
-    for w, n in Counter(words).items():
-        if (features := known.get(w)) is None:
-            features = known[w] = word_features(w)
-        for b in features:
-            found[b] += n
     same = sum(map(eq, words, words[1:]))
-    if words:
-        found[SAME] += same
-        found[OTHER] += len(words) - same
-    return found
+    again = np.repeat(np.array([SAME, OTHER], np.uint16), [same, len(words) - same])
+    where, counts = np.unique(np.concatenate([known.rows(words).reshape(-1), again]), return_counts=True)
+    return where, counts.astype(np.float32)
 
 
 def meta_features(text: str | None, fields: list) -> list[int]:
@@ -92,6 +102,13 @@ def label_sums(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) ->
     return sums
 
 
+def united(own: np.ndarray, pseudo: np.ndarray) -> np.ndarray:
+    """Sums of labelled and pseudo-labelled rows. However many of the latter there are, they don't drown the former: those of a
+    label weigh ``PSEUDO`` times its labelled rows at most."""
+    weight = np.minimum(1.0, PSEUDO * own.sum(axis=1) / np.maximum(1, pseudo.sum(axis=1)))
+    return own + pseudo * weight[:, None]
+
+
 def fit_bayes(sums: np.ndarray) -> np.ndarray:
     """Log ratio of each feature's smoothed share among good and bad rows."""
     sums = sums / UNIT + SMOOTH
@@ -260,10 +277,11 @@ def cotrain(texts: list, metas: list, labels: np.ndarray, held: np.ndarray, pool
     share = float((labels[known] == 1).mean())
     most = [round(TAKE * rest.size * (1 - share)), round(TAKE * rest.size * share)]
     views = (texts, metas)
-    sums = np.stack([label_sums([rows[i] for i in known], labels[known]) for rows in views])
+    own = np.stack([label_sums([rows[i] for i in known], labels[known]) for rows in views])
+    pseudo = np.zeros_like(own)
     done: list[Round] = []
     for turn in range(rounds + 1):
-        weights = np.stack([fit_bayes(sums[v]) for v in (0, 1)])
+        weights = np.stack([fit_bayes(united(own[v], pseudo[v])) for v in (0, 1)])
         raw = [np.array([raw_score(weights[v], views[v][i]) for i in check]) for v in (0, 1)]
         lines = np.stack([fit_logistic(raw[v][:, None], labels[check]) for v in (0, 1)])
         if turn == rounds or not rest.size:
@@ -275,7 +293,7 @@ def cotrain(texts: list, metas: list, labels: np.ndarray, held: np.ndarray, pool
         model.rounds.append((handed[0], handed[1]))
         if not any(handed):
             break
-        sums += rest.taught(done)
+        pseudo += rest.taught(done)
     model.text, model.meta = weights
     model.text_line, model.meta_line = lines
     a, b = (raw[v] * lines[v][0] + lines[v][1] for v in (0, 1))
@@ -294,13 +312,12 @@ def counted(docs: DataFrame, carried: list[str], text: str, fields: tuple[str, .
     own = [rows.schema[i] for i in range(len(carried))]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, tuple[int, int, int]] = {}
+        known = Words()
         for batch in batches:
             out: dict[str, list[bytes]] = {c: [] for c in FEATURES}
             for t, *values in zip(*[batch.column(i).to_pylist() for i in range(len(own), batch.num_columns)]):
-                found = text_counts(t, known)
-                for c, x in zip(FEATURES, (list(found.keys()), list(found.values()), meta_features(t, values))):
-                    out[c].append(np.array(x, FEATURES[c]).tobytes())
+                for c, x in zip(FEATURES, (*text_counts(t, known), meta_features(t, values))):
+                    out[c].append(np.asarray(x, FEATURES[c]).tobytes())
             kept = [batch.column(i) for i in range(len(own))]
             yield pa.RecordBatch.from_arrays(kept + [pa.array(x, pa.binary()) for x in out.values()], names=[f.name for f in own] + list(out))
 

@@ -493,6 +493,14 @@ def test_cotraining_without_labels_and_on_odd_rows(spark, odd, empty):
     assert cotraining.scored(empty, cotraining.fit(empty, labels.limit(0))).count() == 0
 
 
+def slow_features(text):
+    w = words(text)
+    found = Counter(b for x in w for b in cotraining.word_features(x))
+    same = sum(x == y for x, y in zip(w, w[1:]))
+    found += Counter({cotraining.SAME: same, cotraining.OTHER: len(w) - same})
+    return np.array(list(found), int), np.array(list(found.values()), float)
+
+
 class SlowPool:
     """Rounds over unlabelled rows one by one, each with its state, as ``cotrain`` asks for them."""
 
@@ -534,8 +542,7 @@ def test_cotraining_rounds_equal_brute_force(spark, docs, odd, monkeypatch):
     got = cotraining.fit(some, labels)
     known = {r["doc_id"] for r in labels.collect()}
     rest = [r for r in some.collect() if r["doc_id"] not in known]
-    counts = [cotraining.text_counts(r["text"], {}) for r in rest]
-    texts = [(np.array(list(c), int), np.array(list(c.values()), float)) for c in counts]
+    texts = [slow_features(r["text"]) for r in rest]
     metas = [np.array(cotraining.meta_features(r["text"], [r["lang"], r["source"]]), int) for r in rest]
     monkeypatch.setattr(cotraining, "Pool", lambda rows: SlowPool(texts, metas))
     want = cotraining.fit(some, labels)
