@@ -30,11 +30,7 @@ def build_session(app: str = "docflow", master: str | None = None, **conf: str)
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared folder, ``spark.checkpoint.dir``. A session without one uses a folder below its warehouse,
     which driver and executors share as well; a machine-local temporary folder is never used."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return spark.conf.get("spark.checkpoint.dir", None) or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
