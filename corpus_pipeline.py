@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docflow.llm import bpe, line_dedup, mixing, near_copies, rule_ledger
+from docflow.llm import bpe, line_dedup, mixing, near_copies, rule_ledger, simhash
 from docflow.session import scratch_path
 
 
@@ -22,9 +22,11 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: texts whose five-word shingles are at least 80 % alike, linked
-    completely, however many bits their fingerprints differ by. The thin query of SimHash keeps its own contract."""
-    return near_copies.drop_near_copies(docs)
+    """One document of each group of near copies stays. SimHash groups texts whose fingerprints differ by at most two bits, as its
+    own query does; what it can't see is added exactly: all texts whose five-word shingles are at least 80 % alike, however many
+    bits their fingerprints differ by. Both kinds of links connect a group."""
+    linked = simhash.simhash_groups(docs).select("text_hash", "root").distinct()
+    return near_copies.drop_near_copies(docs, linked=linked)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

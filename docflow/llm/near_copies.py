@@ -204,12 +204,21 @@ def links(rows: DataFrame, placed: DataFrame, shingle: int, percent: int) -> Dat
     return first.unionAll(alike(apart.unionAll(more), sets, percent))
 
 
-def copy_groups(df: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+def group_links(placed: DataFrame, linked: DataFrame) -> DataFrame:
+    """``a, b``: every text of a group of ``linked`` (text_hash, root) with the group's least one."""
+    named = stored(placed.select("text_hash", "node").distinct().join(linked, "text_hash").select("root", "node").distinct(), "copies-linked")
+    return named.join(named.groupBy("root").agg(F.min("node").alias("a")), "root").select("a", F.col("node").alias("b"))
+
+
+def copy_groups(
+    df: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, percent: int = PERCENT, linked: DataFrame | None = None
+) -> DataFrame:
     """``_key, text_hash, root``: one row per row of ``df``; rows connected by near copies have one root. Texts without words
-    are alike."""
+    are alike. ``linked`` (text_hash, root): groups that another method has found; both kinds of links connect."""
     rows = df.select(F.col(f"`{key}`").alias("_key"), F.xxhash64(f"`{text}`").alias("text_hash"), F.col(f"`{text}`").alias("text"))
     placed = stored(prefixes(rows, shingle, percent), "copies-prefixes")
-    roots = components(links(rows, placed, shingle, percent))
+    found = links(rows, placed, shingle, percent)
+    roots = components(found if linked is None else found.unionAll(group_links(placed, linked)))
     named = placed.select("_key", "text_hash", "node").join(roots.withColumnRenamed("root", "_root"), "node", "left")
     return named.select("_key", "text_hash", F.coalesce("_root", "node").alias("root"))
 

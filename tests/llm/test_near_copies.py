@@ -6,7 +6,7 @@ import random
 from itertools import combinations
 
 import corpus_pipeline
-from docflow.llm import near_copies
+from docflow.llm import near_copies, simhash
 
 
 def five(t):
@@ -57,3 +57,18 @@ def test_the_stage_drops_edited_copies(spark):
     df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
     left = {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()}
     assert 0 in left and not any(i in left and j in left for i, j in slow_pairs(texts))
+
+
+def test_the_stage_groups_by_fingerprint_and_by_shingles(spark):
+    """Texts of one fingerprint whose shingles differ, chained to a near copy whose fingerprint differs."""
+    r = random.Random(8)
+    often = "a b c " * 50
+    tails = [" ".join(f"t{r.randrange(10**6)}" for _ in range(40)) for _ in range(2)]
+    texts = {1: often + tails[0], 2: often + tails[1]}
+    base = [f"w{k}" for k in range(60)]
+    texts[3], texts[4] = " ".join(base), " ".join([*base[:58], "x", "y"])
+    assert (simhash.fingerprint_of(texts[1]) ^ simhash.fingerprint_of(texts[2])).bit_count() <= 2
+    assert bin((simhash.fingerprint_of(texts[3]) ^ simhash.fingerprint_of(texts[4])) & simhash.FULL).count("1") > 2
+    assert slow_pairs(texts) == {(3, 4)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()} == {1, 3}
