@@ -245,8 +245,8 @@ class Pool:
             for batch in batches:
                 for i in range(0, batch.num_rows, ROWS_AT_ONCE):
                     part = batch.slice(i, ROWS_AT_ONCE)
-                    where, counts, meta = ([np.frombuffer(x, t) for x in part.column(c).to_pylist()] for c, t in FEATURES.items())
-                    sums += getattr(Features(list(zip(where, counts)), meta), of)(rounds)
+                    rows = [unpacked(*x) for x in zip(*[part.column(c).to_pylist() for c in FEATURES])]
+                    sums += getattr(Features([x[:2] for x in rows], [x[2] for x in rows]), of)(rounds)
             at = np.flatnonzero(sums)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(sums.reshape(-1)[at], pa.int64())], names=["at", "n"])
 
@@ -301,8 +301,19 @@ def cotrain(texts: list, metas: list, labels: np.ndarray, held: np.ndarray, pool
     return model
 
 
-# Features of a row in its stored form: distinct buckets of the text, how often, buckets of the metadata.
-FEATURES = {"where": np.uint16, "counts": np.float32, "meta": np.uint16}
+# Features of a row in its stored form: distinct buckets of the text, how often (see ``packed``), buckets of the metadata.
+FEATURES = ("where", "counts", "meta")
+
+
+def packed(where: np.ndarray, counts: np.ndarray, meta: list[int]) -> tuple[bytes, bytes, bytes]:
+    """Counts take one byte each if all of a row fit, which few do not; else four."""
+    small = not len(counts) or counts.max() < 256
+    return np.asarray(where, np.uint16).tobytes(), np.asarray(counts, np.uint8 if small else np.float32).tobytes(), np.asarray(meta, np.uint16).tobytes()
+
+
+def unpacked(where: bytes, counts: bytes, meta: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    at = np.frombuffer(where, np.uint16)
+    return at, np.frombuffer(counts, np.uint8 if len(counts) == len(at) else np.float32).astype(np.float32), np.frombuffer(meta, np.uint16)
 
 
 def counted(docs: DataFrame, carried: list[str], text: str, fields: tuple[str, ...]) -> DataFrame:
@@ -316,8 +327,8 @@ def counted(docs: DataFrame, carried: list[str], text: str, fields: tuple[str, .
         for batch in batches:
             out: dict[str, list[bytes]] = {c: [] for c in FEATURES}
             for t, *values in zip(*[batch.column(i).to_pylist() for i in range(len(own), batch.num_columns)]):
-                for c, x in zip(FEATURES, (*text_counts(t, known), meta_features(t, values))):
-                    out[c].append(np.asarray(x, FEATURES[c]).tobytes())
+                for c, x in zip(FEATURES, packed(*text_counts(t, known), meta_features(t, values))):
+                    out[c].append(x)
             kept = [batch.column(i) for i in range(len(own))]
             yield pa.RecordBatch.from_arrays(kept + [pa.array(x, pa.binary()) for x in out.values()], names=[f.name for f in own] + list(out))
 
@@ -338,13 +349,15 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_
     rows = plain.join(F.broadcast(chosen.withColumnRenamed(key, "_key")), "_key").withColumn("_k", F.xxhash64(F.lit(42), "_key"))
     sample = counted(rows, ["_k", "_y"], text, fields).groupBy("_k").agg(F.min(F.struct("_y", *FEATURES)).alias("x")).select("_k", "x.*").toPandas()
     sample = sample.sort_values("_k", kind="stable")
-    where, counts, meta = ([np.frombuffer(x, t) for x in sample.pop(c)] for c, t in FEATURES.items())
-    texts, metas = list(zip(where, counts)), [(m, np.ones(len(m), np.float32)) for m in meta]
+    features = [unpacked(*x) for x in zip(*[sample.pop(c) for c in FEATURES])]
+    texts, metas = [x[:2] for x in features], [(m, np.ones(len(m), np.float32)) for _, _, m in features]
     y = sample["_y"].to_numpy(int)
     held = np.array([i % HELD_OUT == 0 for i in range(len(y))], dtype=bool)
 
     def pool() -> Pool:
-        named = counted(plain.filter("_key IS NOT NULL"), ["_key"], text, fields).join(known.withColumnRenamed(key, "_key"), "_key", "left_anti")
+        # Labels grow with the rows: hashed apart at any size, and features are not sorted.
+        taken = known.select(F.col(key).alias("_key")).hint("shuffle_hash")
+        named = counted(plain.filter("_key IS NOT NULL"), ["_key"], text, fields).join(taken, "_key", "left_anti")
         return Pool(named.drop("_key").unionAll(counted(plain.filter("_key IS NULL"), [], text, fields)))
 
     return cotrain(texts, metas, y, held, pool)

@@ -551,6 +551,24 @@ def test_cotraining_rounds_equal_brute_force(spark, docs, odd, monkeypatch):
         assert np.allclose(getattr(got, name), getattr(want, name), rtol=1e-6, atol=1e-6), name
 
 
+def test_counts_are_packed_without_loss():
+    for counts in ([1, 255, 3], [1, 256, 70_000], []):
+        where, meta = np.arange(len(counts), dtype=np.uint16), [5, 9]
+        row = cotraining.packed(where, np.array(counts, np.float32), meta)
+        assert len(row[1]) == len(counts) * (1 if max(counts, default=0) < 256 else 4)
+        assert [x.tolist() for x in cotraining.unpacked(*row)] == [where.tolist(), counts, meta]
+
+
+def test_features_meet_labels_by_one_plan_at_any_size(spark, docs, monkeypatch):
+    """A few labels are not broadcast, so disk grows with the rows and doesn't jump."""
+    frames = []
+    monkeypatch.setattr(cotraining, "Pool", lambda rows: frames.append(rows) or SlowPool([], []))
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    cotraining.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), labels)
+    plan = frames[0]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_cuts_take_the_most_confident_and_copies_together():
     bins = np.zeros(cotraining.BINS, int)
     assert cotraining.cut_of(bins, 5) == cotraining.BINS
