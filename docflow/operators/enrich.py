@@ -14,6 +14,8 @@ from docflow.functions.lexicon import LABEL_TERMS, NEGATIVE, POSITIVE
 from docflow.functions.rows import array_rows, token_rows
 from docflow.functions.text import let, lexicon_hits, pig_latin, sentences, tokens
 
+FREQUENT = 1 << 16  # terms whose frequencies go to all tasks; the others are joined
+
 RESPONSE = "struct<response:array<string>,error_message:string>"
 
 # ---- classification ---------------------------------------------------------------------------
@@ -167,8 +169,8 @@ def summarize(df: DataFrame, text: str = "text", key: str = "doc_id", max_words:
 def key_topics(df: DataFrame, text: str = "text", key: str = "doc_id", n: int = 5) -> DataFrame:
     """Top ``n`` TF-IDF terms per document: ``key, rank, term, score``; ties by term.
 
-    The join on terms meets hot words; the document-frequency side holds one row per term, so a skewed partition
-    splits cheaply. The rank limit is applied before the shuffle by document.
+    The frequencies of the ``FREQUENT`` most frequent terms are a bounded list that goes to all tasks: of those terms, only the
+    best ``n`` of a document leave it. The rows of all other terms, which are rare, are joined by term.
     """
     # The same shuffle of texts as in ``summarize``: used together they share it. Terms are counted inside it.
     docs = df.filter(F.col(key).isNotNull()).select(key, text).repartition(key)
@@ -177,9 +179,18 @@ def key_topics(df: DataFrame, text: str = "text", key: str = "doc_id", n: int =
     df_ = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     total = df.agg(F.count("*").alias("n"))
     idf = F.log((F.lit(1.0) + total.scalar()) / (F.lit(1.0) + F.col("df")))
-    scored = tf.join(df_, "term").select(key, "term", F.round(F.col("tf") * idf, 6).alias("score"))
+    score = F.round(F.col("tf") * idf, 6).alias("score")
     order = W.partitionBy(key).orderBy(F.desc("score"), "term")
-    return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+
+    def best(scored: DataFrame) -> DataFrame:
+        return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
+
+    frequent = F.broadcast(df_.orderBy(F.desc("df"), "term").limit(FREQUENT))
+    # Both sides ask for the same columns of the list, so it is sent once.
+    marked = tf.join(frequent, "term", "left")
+    known = best(marked.filter("df IS NOT NULL").select(key, "term", score)).drop("rank")
+    rare = marked.filter("df IS NULL").drop("df").join(df_, "term").select(key, "term", score)
+    return best(known.unionByName(rare))
 
 
 # ---- sentiment --------------------------------------------------------------------------------

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -276,3 +278,22 @@ def test_one_key_with_a_third_of_the_rows(spark):
     assert model.model_enrich(df.select("doc_id", "text"), "text", connect).filter("result = 'hot'").count() == n // 3
     links = similarity.near_duplicates(df.filter("doc_id % 3 = 0"))
     assert links.count() == n // 3 - 1 and links.select("duplicate_of").distinct().count() == 1
+
+
+def test_rare_terms_alone_are_joined_by_term(spark, monkeypatch):
+    """Frequent terms beyond a document's best stay in their partition, whatever the length of the list; results do not change."""
+    r = random.Random(4)
+    words = ["".join(r.choices("abcdefghij", k=4)) for _ in range(300)]
+    rows = [(i, " ".join(r.choices(words, weights=[1 / (k + 1) for k in range(300)], k=120)) + f" only{'abcdefghij'[i % 10] * 3}") for i in range(60)]
+    df = spark.createDataFrame([*rows, (7, "abcd more"), (99, ""), (98, None), (None, "abcd")], "doc_id bigint, text string")
+    got = {}
+    for most in (0, 20, 1 << 16):
+        monkeypatch.setattr(enrich, "FREQUENT", most)
+        got[most] = sorted(enrich.key_topics(df).collect())
+    assert got[0] == got[20] == got[1 << 16] and len(got[0]) == 300
+    counts = {i: Counter(t.split()) for i, t in rows}
+    counts[7].update(["abcd", "more"])
+    freq = Counter(t for c in counts.values() for t in c)
+    for i, c in counts.items():
+        want = sorted(((-round(n * math.log(65 / (1 + freq[t])), 6), t) for t, n in c.items()))[:5]
+        assert sorted(r["score"] for r in got[20] if r["doc_id"] == i) == pytest.approx(sorted(-s for s, _ in want), abs=2e-6)
