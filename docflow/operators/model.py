@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from docflow.functions.rows import token_rows
 
+ROWS_AT_ONCE = 256
+
 # Builds one client per Python worker. The client maps a prompt (and file bytes, if asked for) to text.
 ModelFactory = Callable[[], Callable[..., "str | None"]]
 
@@ -32,22 +34,28 @@ def hash_batch(key: str | Column, n: int) -> Column:
 
 
 def _call_model(factory: ModelFactory, fields: list[str], fail_on_error: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Calls in slices of a batch. Prompts and file bytes are not sent back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = factory()
-        for pdf in batches:
-            results, errors = [], []
-            for row in pdf[fields].itertuples(index=False, name=None):
-                try:
-                    if row[0] is None:
-                        raise ValueError("no prompt")
-                    results.append(client(*row))
-                    errors.append(None)
-                except Exception as err:
-                    if fail_on_error:
-                        raise
-                    results.append(None)
-                    errors.append(f"{type(err).__name__}: {err}")
-            yield pdf.drop(columns=[f for f in fields if f == "_file"]).assign(result=results, error_message=errors)
+        for batch in batches:
+            kept = [c for c in batch.schema.names if c not in ("_prompt", "_file")]
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                results, errors = [], []
+                for row in zip(*[part.column(f) for f in fields]):
+                    try:
+                        if not row[0].is_valid:
+                            raise ValueError("no prompt")
+                        results.append(client(*[v.as_py() for v in row]))
+                        errors.append(None)
+                    except Exception as err:
+                        if fail_on_error:
+                            raise
+                        results.append(None)
+                        errors.append(f"{type(err).__name__}: {err}")
+                answers = [pa.array(results, pa.string()), pa.array(errors, pa.string())]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], *answers], names=[*kept, "result", "error_message"])
 
     return run
 
@@ -75,27 +83,24 @@ def model_enrich(
         text = F.left(text, F.lit(max_chars))
     if files_col is not None:
         rows = df.withColumn("_prompt", text).withColumnRenamed(files_col, "_file")
-        out_schema = StructType(
-            [f for f in rows.schema.fields if f.name != "_file"]
-            + [StructField("result", StringType()), StructField("error_message", StringType())]
-        )
-        called = rows.mapInPandas(_call_model(model, ["_prompt", "_file"], fail_on_error), out_schema)
-        return _parse_result(called.drop("_prompt"), schema)
+        return _parse_result(rows.mapInArrow(_call_model(model, ["_prompt", "_file"], fail_on_error), _answered(rows)), schema)
     if not dedupe:
         rows = df.withColumn("_prompt", text)
-        out_schema = StructType([*rows.schema.fields, StructField("result", StringType()), StructField("error_message", StringType())])
-        return _parse_result(rows.mapInPandas(_call_model(model, ["_prompt"], fail_on_error), out_schema).drop("_prompt"), schema)
+        return _parse_result(rows.mapInArrow(_call_model(model, ["_prompt"], fail_on_error), _answered(rows)), schema)
     mark = F.coalesce(F.sha2("_prompt", 256), F.lit(""))
     keyed = df.withColumn("_prompt", text).withColumn("_hash", mark)
     distinct = keyed.select("_hash", "_prompt").dropDuplicates(["_hash"])
     if partitions:
         distinct = distinct.repartition(partitions, "_hash")
-    answers = distinct.mapInPandas(
-        _call_model(model, ["_prompt"], fail_on_error), "_hash string, _prompt string, result string, error_message string"
-    ).drop("_prompt")
+    answers = distinct.mapInArrow(_call_model(model, ["_prompt"], fail_on_error), _answered(distinct))
     return _parse_result(keyed.drop("_prompt").join(answers, "_hash", "left").drop("_hash"), schema)
 
 
+def _answered(rows: DataFrame) -> StructType:
+    kept = [f for f in rows.schema.fields if f.name not in ("_prompt", "_file")]
+    return StructType([*kept, StructField("result", StringType()), StructField("error_message", StringType())])
+
+
 def translate(df: DataFrame, text: str, lang: str, target: str, model: ModelFactory, template: str | None = None, **options) -> DataFrame:
     """Add ``result`` in the target language. Rows that are in it already keep their text and are not sent."""
     asked = template or "Translate from {lang} to {target}: {text}"

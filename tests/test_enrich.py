@@ -6,6 +6,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -297,3 +298,13 @@ def test_rare_terms_alone_are_joined_by_term(spark, monkeypatch):
     for i, c in counts.items():
         want = sorted(((-round(n * math.log(65 / (1 + freq[t])), 6), t) for t, n in c.items()))[:5]
         assert sorted(r["score"] for r in got[20] if r["doc_id"] == i) == pytest.approx(sorted(-s for s, _ in want), abs=2e-6)
+
+
+def test_model_calls_hold_a_slice_of_a_batch():
+    batch = pa.RecordBatch.from_pydict({"_hash": [str(i) for i in range(1000)], "_prompt": ["x" * i if i % 3 else None for i in range(1000)]})
+    out = list(model._call_model(lambda: lambda p: str(len(p)), ["_prompt"], False)(iter([batch])))
+    assert max(b.num_rows for b in out) <= model.ROWS_AT_ONCE < 1000 and out[0].schema.names == ["_hash", "result", "error_message"]
+    got = pa.Table.from_batches(out).to_pylist()
+    assert [r["_hash"] for r in got] == [str(i) for i in range(1000)]
+    assert [r["result"] for r in got] == [str(i) if i % 3 else None for i in range(1000)]
+    assert {r["error_message"] for r in got} == {None, "ValueError: no prompt"}
