@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from docflow.functions.rows import token_rows
+from docflow.session import scratch_path
+from docflow.sinks.tables import materialise
 
 ROWS_AT_ONCE = 256
+FREQUENT = 1 << 16  # words whose weights go to all tasks; the others are joined
 
 # Builds one client per Python worker. The client maps a prompt (and file bytes, if asked for) to text.
 ModelFactory = Callable[[], Callable[..., "str | None"]]
@@ -141,19 +144,26 @@ def label_by_words(docs: DataFrame, labelled: DataFrame, text: str = "text", key
     """``key, label``: multinomial naive Bayes over words, from plain aggregates.
 
     Word counts get one added (Laplace). Words that no labelled text has say nothing; scores are compared at 6 digits,
-    ties go to the smaller label. Counts are combined before each shuffle; only one row per label reaches the driver.
+    ties go to the smaller label. The weights of the ``FREQUENT`` most frequent words are a bounded list that goes to all
+    tasks, where their sums stay in the row's partition; only rare words are joined. One row per label reaches the driver.
     """
-    words = token_rows(labelled, text, keep=[label]).groupBy(label, "term").agg(F.count("*").alias("c"))
+    counted = token_rows(labelled, text, keep=[label]).groupBy(label, "term").agg(F.count("*").alias("c"))
+    words = materialise(counted, scratch_path(docs.sparkSession, "label-words"))
     sizes = words.groupBy(label).agg(F.sum("c").alias("n"))
     classes = labelled.groupBy(label).agg(F.count("*").alias("docs")).join(sizes, label, "left").orderBy(label).collect()
-    known = words.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct(label, "c"))).alias("m"))
-    vocabulary, total = known.count(), sum(r["docs"] for r in classes)
-    counts = token_rows(docs, text, keep=[key]).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    merged = words.groupBy("term").agg(F.map_from_entries(F.collect_list(F.struct(label, "c"))).alias("m"), F.sum("c").alias("c"))
+    vocabulary, total = merged.count(), sum(r["docs"] for r in classes)
     logs = [
-        F.sum(F.col("tf") * F.log((F.coalesce(F.element_at("m", F.lit(r[label])), F.lit(0)) + 1.0) / F.lit(float((r["n"] or 0) + vocabulary)))).alias(f"s{i}")
+        F.log((F.coalesce(F.element_at("m", F.lit(r[label])), F.lit(0)) + 1.0) / F.lit(float((r["n"] or 0) + vocabulary))).alias(f"s{i}")
         for i, r in enumerate(classes)
     ]
-    scored = docs.select(key).distinct().join(counts.join(known, "term").groupBy(key).agg(*logs), key, "left")
+    places = [f"s{i}" for i in range(len(classes))]
+    known = materialise(merged.select("term", "c", *logs), scratch_path(docs.sparkSession, "label-weights"))
+    frequent = known.orderBy(F.desc("c"), "term").limit(FREQUENT).select("term", F.struct(*places).alias("w"))
+    marked = token_rows(docs, text, keep=[key]).join(F.broadcast(frequent), "term", "left")
+    rare = marked.filter("w IS NULL").select(key, "term").join(known, "term").select(key, *places)
+    weights = marked.filter("w IS NOT NULL").select(key, "w.*").unionByName(rare)
+    scored = docs.select(key).distinct().join(weights.groupBy(key).agg(*[F.sum(c).alias(c) for c in places]), key, "left")
     ranked = [
         F.struct((-F.round(F.coalesce(f"s{i}", F.lit(0.0)) + F.log(F.lit(r["docs"] / total)), 6)).alias("s"), F.lit(r[label]).alias("l"))
         for i, r in enumerate(classes)

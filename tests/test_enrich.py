@@ -308,3 +308,15 @@ def test_model_calls_hold_a_slice_of_a_batch():
     assert [r["_hash"] for r in got] == [str(i) for i in range(1000)]
     assert [r["result"] for r in got] == [str(i) if i % 3 else None for i in range(1000)]
     assert {r["error_message"] for r in got} == {None, "ValueError: no prompt"}
+
+
+def test_labels_do_not_depend_on_the_length_of_the_frequent_list(spark, monkeypatch):
+    r = random.Random(6)
+    words = ["".join(r.choices("abcdefghij", k=3)) for _ in range(200)]
+    docs = spark.createDataFrame([(i, " ".join(r.choices(words, k=30))) for i in range(80)] + [(80, None), (81, "zzzz")], "doc_id bigint, text string")
+    labelled = docs.selectExpr("text", "cast(doc_id % 3 as int) as quality").limit(50)
+    got = {}
+    for most in (0, 15, 1 << 16):
+        monkeypatch.setattr(model, "FREQUENT", most)
+        got[most] = {x["doc_id"]: x["quality"] for x in model.label_by_words(docs, labelled, label="quality").collect()}
+    assert got[0] == got[15] == got[1 << 16] and len(got[0]) == 82 and set(got[0].values()) == {0, 1, 2}
