@@ -59,8 +59,10 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", thre
 
 def _rarest(sets: DataFrame, threshold: float) -> DataFrame:
     """``g, k``: the shingle codes under which a text can meet one that is alike, rarest first."""
-    rows = sets.select("k", F.size("s").alias("n"), F.explode("s").alias("g"))
-    frequency = rows.groupBy("g").agg(F.count("*").alias("f"))
+    # Most codes stand in one text, so counting first saves no rows: one shuffle by code serves the counts and the join.
+    rows = sets.select("k", F.size("s").alias("n"), F.explode("s").alias("g")).repartition("g")
+    # Counting on the other columns keeps them in this branch as well, or the shuffle would not be shared.
+    frequency = rows.groupBy("g").agg(F.count_if(F.col("k").isNotNull() & (F.col("n") > 0)).alias("f"))
     # Codes of one text only lead to nobody, but they stand first in the order and so count.
     ordered = rows.join(frequency, "g").groupBy("k", "n").agg(F.sort_array(F.collect_list(F.struct("f", "g"))).alias("o"))
     need = F.col("n") - F.ceil(F.round(F.lit(threshold) * F.col("n"), 9)) + 1

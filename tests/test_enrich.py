@@ -320,3 +320,11 @@ def test_labels_do_not_depend_on_the_length_of_the_frequent_list(spark, monkeypa
         monkeypatch.setattr(model, "FREQUENT", most)
         got[most] = {x["doc_id"]: x["quality"] for x in model.label_by_words(docs, labelled, label="quality").collect()}
     assert got[0] == got[15] == got[1 << 16] and len(got[0]) == 82 and set(got[0].values()) == {0, 1, 2}
+
+
+def test_shingles_are_dealt_by_code_once(spark):
+    sets = spark.range(50).selectExpr("if(id < 0, null, id) as k", "array(id, id % 7, 100L) as s")
+    found = similarity._rarest(sets, 0.8)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("REPARTITION_BY_COL") >= 1 and "ReusedExchange" in plan
